@@ -89,6 +89,31 @@ class Context:
             loyalty=self.loyalty,
         )
 
+    # ---- raw exports and the cleaning flow -----------------------------
+    @cached_property
+    def raw_transactions(self) -> DataFrame:
+        return self.src.raw_transactions()
+
+    @cached_property
+    def raw_labour(self) -> DataFrame:
+        return self.src.labour(raw=True)
+
+    @cached_property
+    def raw_customer_feedback(self) -> DataFrame:
+        return self.src.customer_feedback(raw=True)
+
+    @cached_property
+    def raw_waste(self) -> DataFrame:
+        return self.src.waste(raw=True)
+
+    def flagged_lines(self, max_quantity: int = 50):
+        """Deduplicated raw lines with rule columns (quantity bound is a parameter:
+        the driver data has up to 50 units per line)."""
+        from ..operators import quality
+
+        rules = quality.LineRules(max_quantity=max_quantity)
+        return quality.line_rules(self.raw_transactions.dropDuplicates(), self.products, rules)
+
     # ---- marts -----------------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:

@@ -1,3 +1,133 @@
-"""Registered queries."""
+"""Analysis queries: customers, anomalies, correlations, staffing, promotions, forecasts."""
 
 from __future__ import annotations
+
+from ..operators import customers
+from .oracle_base import cte, msum, typed, with_ctes
+from .registry import query
+
+cte(
+    "customer_profiles",
+    ["orders_mart", "loyalty"],
+    f"""WITH ident AS (SELECT * FROM orders_mart WHERE customer_id IS NOT NULL),
+asof_d AS (SELECT max(business_date) AS d FROM ident),
+fv AS (SELECT customer_id, min(business_date) AS first_visit FROM ident GROUP BY customer_id),
+e AS (SELECT i.*, fv.first_visit, i.business_date - fv.first_visit AS days
+      FROM ident i JOIN fv USING (customer_id)),
+c AS (SELECT customer_id, min(first_visit) AS first_visit, max(business_date) AS last_visit,
+             count(DISTINCT business_date) AS visits, count(*) AS orders, {msum('revenue')} AS spend,
+             arg_min(restaurant_id, (business_date, order_id)) AS restaurant_id,
+             bool_or(days BETWEEN 1 AND 90) AS rep, bool_or(days BETWEEN 31 AND 90) AS later,
+             count(DISTINCT CASE WHEN days BETWEEN 0 AND 30 THEN business_date END) AS early_visits
+      FROM e GROUP BY customer_id),
+red AS (SELECT DISTINCT l.customer_id FROM loyalty l JOIN fv USING (customer_id)
+        WHERE l.event_type = 'Redeem' AND l.event_date - fv.first_visit BETWEEN 0 AND 30),
+r AS (SELECT c.*, (SELECT d FROM asof_d) - last_visit AS recency_days,
+             first_visit <= (SELECT d FROM asof_d) - 90 AS eligible_90d,
+             red.customer_id IS NOT NULL AS early_redemption
+      FROM c LEFT JOIN red USING (customer_id))
+SELECT customer_id, first_visit, last_visit, visits, orders, spend, restaurant_id, recency_days,
+       CASE WHEN recency_days <= 30 AND visits >= 12 THEN 'Champions'
+            WHEN recency_days > 90 THEN 'Lapsed'
+            WHEN visits <= 2 AND recency_days <= 30 THEN 'New / occasional'
+            WHEN visits >= 6 THEN 'Regulars' ELSE 'Developing' END AS segment,
+       eligible_90d,
+       CASE WHEN eligible_90d THEN CAST(rep AS INTEGER) END AS repeat_within_90d,
+       CASE WHEN eligible_90d THEN CAST(later AS INTEGER) END AS return_days31_90,
+       early_redemption, early_visits,
+       CASE WHEN early_visits <= 0 THEN 'nan' WHEN early_visits <= 1 THEN '1 visit'
+            WHEN early_visits <= 3 THEN '2–3 visits' ELSE '4+ visits' END AS early_activity_band,
+       strftime(first_visit, '%Y-%m') AS cohort_month
+FROM r""",
+)
+
+PROFILE_SPEC = (
+    "customer_id:i, first_visit:t, last_visit:t, visits:i, orders:i, spend:d, restaurant_id:i, recency_days:i, "
+    "segment:s, eligible_90d:b, repeat_within_90d:i, return_days31_90:i, early_redemption:b, early_visits:i, "
+    "early_activity_band:s, cohort_month:s"
+)
+
+
+def _profiles(ctx):
+    return customers.customer_profiles(ctx.orders, ctx.loyalty)
+
+
+@query("c01_customer_segments", typed(with_ctes(["customer_profiles"], "SELECT * FROM customer_profiles"), PROFILE_SPEC))
+def c01_customer_segments(ctx):
+    """RFM profile, ordered segment rules, 90-day eligibility/repeat, early visits and
+    redemption per identified customer (C01-C05, J07, N14)."""
+    return _profiles(ctx)
+
+
+@query(
+    "c06_customer_cohorts",
+    typed(
+        with_ctes(
+            ["customer_profiles"],
+            """SELECT restaurant_id, cohort_month, count(*) AS identified_customers,
+       count(*) FILTER (WHERE eligible_90d) AS eligible_customers, sum(repeat_within_90d) AS repeat_customers,
+       sum(repeat_within_90d) / nullif(count(*) FILTER (WHERE eligible_90d), 0) AS repeat_customer_rate
+FROM customer_profiles GROUP BY restaurant_id, cohort_month""",
+        ),
+        "restaurant_id:i, cohort_month:s, identified_customers:i, eligible_customers:i, repeat_customers:i, "
+        "repeat_customer_rate:d",
+    ),
+)
+def c06_customer_cohorts(ctx):
+    """Repeat cohorts by site and first-visit month."""
+    return customers.cohorts(_profiles(ctx))
+
+
+@query(
+    "c07_loyalty_behaviours",
+    typed(
+        with_ctes(
+            ["customer_profiles"],
+            """SELECT early_activity_band, early_redemption, count(*) AS customers,
+       sum(return_days31_90) AS later_returners, sum(return_days31_90) / nullif(count(*), 0) AS later_return_rate
+FROM customer_profiles WHERE eligible_90d GROUP BY early_activity_band, early_redemption""",
+        ),
+        "early_activity_band:s, early_redemption:b, customers:i, later_returners:i, later_return_rate:d",
+    ),
+)
+def c07_loyalty_behaviours(ctx):
+    """Later-return rate by early activity band and early redemption."""
+    return customers.behaviours(_profiles(ctx))
+
+
+@query(
+    "a37_segment_summary",
+    typed(
+        with_ctes(
+            ["customer_profiles"],
+            """SELECT restaurant_id, segment, count(*) AS customers, sum(spend) AS spend, sum(visits) AS visits,
+       count(*) FILTER (WHERE eligible_90d) AS eligible_customers, sum(repeat_within_90d) AS repeat_customers
+FROM customer_profiles GROUP BY restaurant_id, segment""",
+        ),
+        "restaurant_id:i, segment:s, customers:i, spend:d, visits:i, eligible_customers:i, repeat_customers:i",
+    ),
+)
+def a37_segment_summary(ctx):
+    """Segment summary per site."""
+    return customers.segment_summary(_profiles(ctx))
+
+
+@query(
+    "w09_first_order",
+    typed(
+        with_ctes(
+            ["orders_mart"],
+            """SELECT customer_id, order_id, restaurant_id, business_date, revenue FROM (
+  SELECT customer_id, order_id, restaurant_id, business_date, revenue,
+         row_number() OVER (PARTITION BY customer_id ORDER BY business_date, order_id) AS rn
+  FROM orders_mart WHERE customer_id IS NOT NULL) WHERE rn = 1""",
+        ),
+        "customer_id:i, order_id:i, restaurant_id:i, business_date:t, revenue:d",
+    ),
+)
+def w09_first_order(ctx):
+    """First order per customer by (date, order id)."""
+    o = ctx.orders.filter("customer_id IS NOT NULL").select(
+        "customer_id", "order_id", "restaurant_id", "business_date", "revenue"
+    )
+    return customers.first_events(o, "customer_id", ["business_date", "order_id"])

@@ -1,3 +1,500 @@
-"""Registered queries."""
+"""Data-quality queries over the raw exports: duplicates, keys, line rules,
+complete-order quarantine, cascades, repairs, contracts and reconciliations."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import marts, quality
+from .oracle_base import cte, msum, typed, with_ctes
+from .q_sql import KPI_SQL_SPEC, _kpi_sql, smsum  # noqa: F401
+from .registry import query
+
+RULE_NAMES = [
+    "Missing order identifier",
+    "Invalid product foreign key",
+    "Invalid timestamp",
+    "Outside trading hours",
+    "Invalid quantity",
+    "Invalid monetary values",
+    "Invalid channel category",
+    "Revenue reconciliation",
+    "GST reconciliation",
+]
+
+cte(
+    "flagged",
+    ["raw_transactions", "products"],
+    """WITH d AS (SELECT DISTINCT * FROM raw_transactions),
+p AS (SELECT DISTINCT product_id AS pid FROM products),
+t AS (SELECT d.*, p.pid, try_strptime(d.timestamp_local, '%Y-%m-%d %H:%M:%S') AS ts
+      FROM d LEFT JOIN p ON d.product_id = p.pid),
+r AS (SELECT t.*,
+  coalesce(order_id IS NULL, true) AS r0,
+  coalesce(pid IS NULL, true) AS r1,
+  coalesce(ts IS NULL OR NOT ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2025-12-31 23:59:59', true) AS r2,
+  coalesce(ts IS NOT NULL AND NOT hour(ts) BETWEEN 11 AND 21, true) AS r3,
+  coalesce(NOT quantity BETWEEN 1 AND 50, true) AS r4,
+  coalesce(isnan(net_revenue) OR isinf(net_revenue) OR net_revenue < 0
+        OR isnan(list_revenue) OR isinf(list_revenue) OR list_revenue < 0
+        OR isnan(discount_amount) OR isinf(discount_amount) OR discount_amount < 0
+        OR isnan(gst_amount) OR isinf(gst_amount) OR gst_amount < 0
+        OR isnan(ingredient_cost) OR isinf(ingredient_cost) OR ingredient_cost < 0
+        OR discount_amount > list_revenue, true) AS r5,
+  coalesce(NOT coalesce(channel IN ('Dine-in', 'Takeaway', 'Delivery'), false), true) AS r6,
+  coalesce(abs(list_revenue - discount_amount - net_revenue) > 0.011, true) AS r7,
+  coalesce(abs(net_revenue * 0.10 - gst_amount) > 0.011, true) AS r8
+FROM t)
+SELECT *, (r0 OR r1 OR r2 OR r3 OR r4 OR r5 OR r6 OR r7 OR r8) AS invalid,
+  concat(CASE WHEN r0 THEN 'Missing order identifier; ' ELSE '' END,
+         CASE WHEN r1 THEN 'Invalid product foreign key; ' ELSE '' END,
+         CASE WHEN r2 THEN 'Invalid timestamp; ' ELSE '' END,
+         CASE WHEN r3 THEN 'Outside trading hours; ' ELSE '' END,
+         CASE WHEN r4 THEN 'Invalid quantity; ' ELSE '' END,
+         CASE WHEN r5 THEN 'Invalid monetary values; ' ELSE '' END,
+         CASE WHEN r6 THEN 'Invalid channel category; ' ELSE '' END,
+         CASE WHEN r7 THEN 'Revenue reconciliation; ' ELSE '' END,
+         CASE WHEN r8 THEN 'GST reconciliation; ' ELSE '' END) AS reasons
+FROM r""",
+)
+cte(
+    "bad_orders",
+    ["flagged"],
+    "SELECT DISTINCT order_id FROM flagged WHERE invalid AND order_id IS NOT NULL",
+)
+cte(
+    "quarantined",
+    ["flagged", "bad_orders"],
+    """SELECT *, CASE WHEN reasons = '' THEN 'Companion line in rejected order' ELSE reasons END AS quality_reason
+FROM flagged WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM bad_orders)""",
+)
+cte(
+    "clean_lines",
+    ["flagged", "bad_orders"],
+    "SELECT * FROM flagged WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM bad_orders)",
+)
+
+
+def _flag(ctx):
+    return ctx.flagged_lines()
+
+
+def _split(ctx):
+    flagged, _ = _flag(ctx)
+    return quality.quarantine_orders(flagged)
+
+
+_DUP_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{n}' AS tbl, rows, distinct_rows, rows - distinct_rows AS duplicates_removed FROM "
+    f"(SELECT (SELECT count(*) FROM {t}) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM {t})) AS distinct_rows)"
+    for n, t in (("transactions", "raw_transactions"), ("labour", "raw_labour"),
+                 ("customer_feedback", "raw_customer_feedback"), ("waste", "raw_waste"))
+)
+
+
+@query(
+    "q01_duplicate_audit",
+    typed(
+        with_ctes(["raw_transactions", "raw_labour", "raw_customer_feedback", "raw_waste"], _DUP_SQL),
+        "tbl:s, rows:i, distinct_rows:i, duplicates_removed:i",
+    ),
+)
+def q01_duplicate_audit(ctx):
+    """Exact duplicate rows per raw export."""
+    return quality.duplicate_audit(
+        {
+            "transactions": ctx.raw_transactions,
+            "labour": ctx.raw_labour,
+            "customer_feedback": ctx.raw_customer_feedback,
+            "waste": ctx.raw_waste,
+        }
+    ).withColumnRenamed("table", "tbl")
+
+
+_KEYS = {
+    "transactions": ("raw_transactions", ["transaction_line_id"]),
+    "labour": ("raw_labour", ["shift_id"]),
+    "customer_feedback": ("raw_customer_feedback", ["feedback_id"]),
+    "waste": ("raw_waste", ["waste_id"]),
+    "loyalty": ("loyalty", ["loyalty_event_id"]),
+    "delivery": ("delivery", ["order_id"]),
+    "targets": ("targets", ["restaurant_id", "month"]),
+    "calendar": ("calendar", ["business_date", "state"]),
+    "transactions_by_line": ("raw_transactions", ["order_id", "product_id"]),
+}
+
+
+def _kc_sql() -> str:
+    parts = []
+    for name, (src, keys) in _KEYS.items():
+        k = ", ".join(keys)
+        nul = " OR ".join(f"{x} IS NULL" for x in keys)
+        parts.append(
+            f"""SELECT '{name}' AS tbl, coalesce(sum(n - 1), 0) AS duplicate_key_rows,
+       coalesce(sum(CASE WHEN has_null THEN n END), 0) AS null_key_rows
+FROM (SELECT {k}, count(*) AS n, bool_or({nul}) AS has_null FROM (SELECT DISTINCT * FROM {src}) GROUP BY {k})"""
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+@query(
+    "q02_key_conflicts",
+    typed(
+        with_ctes([v[0] for v in _KEYS.values()], _kc_sql()),
+        "tbl:s, duplicate_key_rows:i, null_key_rows:i",
+    ),
+)
+def q02_key_conflicts(ctx):
+    """Conflicting and null primary keys after exact dedup (Q02)."""
+    out = None
+    for name, (src, keys) in _KEYS.items():
+        df = getattr(ctx, src).dropDuplicates()
+        part = quality.key_conflicts(df, name, keys).withColumnRenamed("table", "tbl")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+_RULE_SQL = "\nUNION ALL\n".join(
+    f"SELECT 'transactions' AS tbl, '{n}' AS rule, count(*) FILTER (WHERE r{i}) AS affected_rows FROM flagged"
+    for i, n in enumerate(RULE_NAMES)
+)
+
+
+@query("q05_rule_audit", typed(with_ctes(["flagged"], _RULE_SQL), "tbl:s, rule:s, affected_rows:i"))
+def q05_rule_audit(ctx):
+    """Per-rule affected rows of the nine line rules."""
+    flagged, names = _flag(ctx)
+    return quality.rule_audit(flagged, names).select(
+        F.col("table").alias("tbl"), "rule", "affected_rows"
+    )
+
+
+@query(
+    "q06_quarantine_lines",
+    typed(
+        with_ctes(
+            ["quarantined"],
+            "SELECT transaction_line_id, order_id, restaurant_id, net_revenue, quality_reason FROM quarantined",
+        ),
+        "transaction_line_id:i, order_id:i, restaurant_id:i, net_revenue:d, quality_reason:s",
+    ),
+)
+def q06_quarantine_lines(ctx):
+    """Complete-order quarantine with reasons, companions included."""
+    _, rejected = _split(ctx)
+    return rejected.select("transaction_line_id", "order_id", "restaurant_id", "net_revenue", "quality_reason")
+
+
+@query(
+    "a41_quality_summary",
+    typed(
+        with_ctes(
+            ["flagged", "clean_lines", "quarantined"],
+            f"""SELECT (SELECT count(*) FROM flagged) AS raw_lines_after_dedup,
+       (SELECT count(*) FROM clean_lines) AS clean_lines,
+       (SELECT count(DISTINCT order_id) FROM clean_lines) AS clean_orders,
+       (SELECT count(DISTINCT order_id) FROM flagged WHERE invalid) AS quarantined_orders,
+       (SELECT {msum('net_revenue')} FROM clean_lines) AS clean_revenue,
+       (SELECT {msum('net_revenue')} FROM quarantined) AS quarantined_revenue""",
+        ),
+        "raw_lines_after_dedup:i, clean_lines:i, clean_orders:i, quarantined_orders:i, clean_revenue:d, "
+        "quarantined_revenue:d",
+    ),
+)
+def a41_quality_summary(ctx):
+    """Clean vs quarantined lines, orders and revenue."""
+    from ..functions.semantics import money_sum
+
+    flagged, _ = _flag(ctx)
+    clean, rejected = quality.quarantine_orders(flagged)
+    return flagged.agg(
+        F.count(F.lit(1)).alias("raw_lines_after_dedup"),
+        F.countDistinct(F.when(F.col("_invalid"), F.col("order_id"))).alias("quarantined_orders"),
+    ).select(
+        "raw_lines_after_dedup",
+        clean.select(F.count(F.lit(1))).scalar().alias("clean_lines"),
+        clean.select(F.countDistinct("order_id")).scalar().alias("clean_orders"),
+        "quarantined_orders",
+        clean.select(money_sum("net_revenue")).scalar().alias("clean_revenue"),
+        rejected.select(money_sum("net_revenue")).scalar().alias("quarantined_revenue"),
+    )
+
+
+@query(
+    "q07_event_cascade",
+    typed(
+        with_ctes(
+            ["clean_lines", "delivery", "loyalty"],
+            """SELECT 'delivery' AS tbl,
+       count(*) FILTER (WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM clean_lines)) AS lost_rows,
+       count(*) FILTER (WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM clean_lines)) AS kept_rows
+FROM delivery
+UNION ALL
+SELECT 'loyalty',
+       count(*) FILTER (WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM clean_lines)),
+       count(*) FILTER (WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM clean_lines))
+FROM loyalty""",
+        ),
+        "tbl:s, lost_rows:i, kept_rows:i",
+    ),
+)
+def q07_event_cascade(ctx):
+    """Delivery and loyalty events of quarantined orders are excluded (Q07)."""
+    clean, _ = _split(ctx)
+    out = None
+    for name, df in (("delivery", ctx.delivery), ("loyalty", ctx.loyalty)):
+        kept, lost = quality.cascade_lost_orders(df, clean)
+        part = lost.agg(F.count(F.lit(1)).alias("lost_rows")).select(
+            F.lit(name).alias("tbl"), "lost_rows", kept.select(F.count(F.lit(1))).scalar().alias("kept_rows")
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query(
+    "q08_survey_repair",
+    typed(
+        with_ctes(
+            ["raw_customer_feedback", "clean_lines"],
+            """WITH ok AS (SELECT DISTINCT order_id AS ok_id FROM clean_lines)
+SELECT feedback_id,
+       CASE WHEN f.order_id IS NOT NULL AND ok.ok_id IS NULL THEN NULL ELSE f.order_id END AS order_id,
+       restaurant_id, business_date,
+       CASE WHEN overall_score IS NOT NULL AND NOT overall_score BETWEEN 1 AND 5 THEN NULL ELSE overall_score END AS overall_score,
+       food_score, service_score,
+       (overall_score IS NOT NULL AND NOT overall_score BETWEEN 1 AND 5) AS score_repaired,
+       (f.order_id IS NOT NULL AND ok.ok_id IS NULL) AS order_link_removed
+FROM raw_customer_feedback f LEFT JOIN ok ON f.order_id = ok.ok_id""",
+        ),
+        "feedback_id:i, order_id:i, restaurant_id:i, business_date:t, overall_score:d, food_score:d, "
+        "service_score:d, score_repaired:b, order_link_removed:b",
+    ),
+)
+def q08_survey_repair(ctx):
+    """Survey repair: bad scores nulled, lost order links nulled, rows kept (Q08)."""
+    clean, _ = _split(ctx)
+    return quality.repair_surveys(ctx.raw_customer_feedback, clean)
+
+
+LABOUR_SPEC = (
+    "shift_id:i, restaurant_id:i, employee_id:s, role:s, business_date:t, daypart:s, scheduled_start:x, "
+    "scheduled_end:x, actual_start:x, actual_end:x, break_hours:d, paid_hours:d, hourly_cost:d, rate_imputed:i, "
+    "labour_cost:d, hours_repaired:b"
+)
+
+
+@query(
+    "q10_labour_repair",
+    typed(
+        with_ctes(
+            ["raw_labour", "restaurants", "calendar"],
+            """WITH l AS (
+  SELECT r.*, date_diff('second', actual_start, actual_end) / 3600.0 - break_hours AS expected,
+         (NOT paid_hours BETWEEN 0 AND 16
+          OR abs(paid_hours - (date_diff('second', actual_start, actual_end) / 3600.0 - break_hours)) > 0.01) AS bad
+  FROM raw_labour r),
+k AS (
+  SELECT l.*, CASE WHEN bad THEN expected ELSE paid_hours END AS paid_fixed, c.weekday >= 5 AS is_weekend,
+         c.is_public_holiday
+  FROM l JOIN restaurants s USING (restaurant_id) JOIN calendar c ON c.business_date = l.business_date AND c.state = s.state),
+m AS (SELECT role, is_weekend, is_public_holiday, median(hourly_cost) AS med FROM k GROUP BY ALL)
+SELECT shift_id, restaurant_id, employee_id, role, business_date, daypart, scheduled_start, scheduled_end,
+       actual_start, actual_end, break_hours, paid_fixed AS paid_hours, coalesce(hourly_cost, m.med) AS hourly_cost,
+       CAST(hourly_cost IS NULL AS INTEGER) AS rate_imputed,
+       round_even(paid_fixed * coalesce(hourly_cost, m.med), 2) AS labour_cost, bad AS hours_repaired
+FROM k LEFT JOIN m USING (role, is_weekend, is_public_holiday)""",
+        ),
+        LABOUR_SPEC,
+    ),
+)
+def q10_labour_repair(ctx):
+    """Paid-hours repair from shift timestamps and median rate imputation."""
+    return quality.repair_labour(ctx.raw_labour, ctx.restaurants, ctx.calendar)
+
+
+@query(
+    "q11_waste_quarantine",
+    typed(
+        with_ctes(["raw_waste"], "SELECT * FROM raw_waste WHERE waste_units < 0 OR waste_cost < 0"),
+        "waste_id:i, restaurant_id:i, product_id:i, business_date:t, waste_units:i, waste_cost:d, reason:s",
+    ),
+)
+def q11_waste_quarantine(ctx):
+    """Negative waste records are quarantined, not zeroed (Q11)."""
+    return quality.split_negative_waste(ctx.raw_waste)[1]
+
+
+TX_COLUMNS = (
+    "transaction_line_id order_id restaurant_id restaurant_name timestamp_local product_id quantity channel "
+    "customer_id promotion_id list_revenue discount_amount net_revenue gst_amount ingredient_cost"
+).split()
+OPTIONAL = {"customer_id", "promotion_id", "order_id"}
+
+
+def _contract_sql() -> str:
+    req = [c for c in TX_COLUMNS if c not in OPTIONAL or c == "order_id"]
+    req_null = " OR ".join(f"{c} IS NULL" for c in req)
+    money = ["list_revenue", "discount_amount", "net_revenue", "gst_amount", "ingredient_cost"]
+    rows = [
+        ("Schema columns", "count(*) * 0", "Required schema columns present"),
+        ("Unique primary key", "min((SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM d GROUP BY transaction_line_id)))", "transaction_line_id"),
+        ("Primary key populated", "count(*) FILTER (WHERE transaction_line_id IS NULL)", "Null primary keys prohibited"),
+        ("Required values", f"count(*) FILTER (WHERE {req_null})", ", ".join(sorted(req))),
+        ("Restaurant relationship", "count(*) FILTER (WHERE s.restaurant_id IS NULL)", "Stable restaurant_id master reference"),
+        ("Valid timestamp_local", "count(*) FILTER (WHERE try_cast(d.timestamp_local AS TIMESTAMP) IS NULL)", "Parseable date/timestamp"),
+    ]
+    rows += [
+        (f"Valid {m}", f"count(*) FILTER (WHERE {m} IS NULL OR isnan({m}) OR isinf({m}) OR {m} < 0)",
+         "Finite non-negative monetary value")
+        for m in money
+    ]
+    sel = "\nUNION ALL\n".join(
+        f"SELECT 'transactions' AS tbl, '{n}' AS rule, {e} AS invalid_rows, '{det}' AS detail "
+        f"FROM d LEFT JOIN (SELECT DISTINCT restaurant_id FROM restaurants) s USING (restaurant_id)"
+        for n, e, det in rows
+    )
+    return f"""WITH d AS (SELECT DISTINCT * FROM raw_transactions)
+SELECT tbl, rule, invalid_rows, CASE WHEN invalid_rows > 0 THEN 'FAIL' ELSE 'PASS' END AS status, detail
+FROM ({sel})"""
+
+
+@query(
+    "q12_contract_checks",
+    typed(
+        with_ctes(["raw_transactions", "restaurants"], _contract_sql()),
+        "tbl:s, rule:s, invalid_rows:i, status:s, detail:s",
+    ),
+)
+def q12_contract_checks(ctx):
+    """Contract checks on the deduplicated raw lines (Q12, Q03)."""
+    req = [c for c in TX_COLUMNS if c not in OPTIONAL or c == "order_id"]
+    out = quality.contract_checks(
+        ctx.raw_transactions.dropDuplicates(),
+        "transactions",
+        ["transaction_line_id"],
+        req,
+        TX_COLUMNS,
+        store_ids=ctx.restaurants,
+        date_fields=["timestamp_local"],
+        money_fields=["list_revenue", "discount_amount", "net_revenue", "gst_amount", "ingredient_cost"],
+    )
+    return out.withColumnRenamed("table", "tbl")
+
+
+def _missing_sql() -> str:
+    parts = [
+        f"SELECT 'transactions' AS tbl, '{c}' AS col, count(*) FILTER (WHERE {c} IS NULL) AS missing_rows, "
+        f"count(*) AS total_rows, {'false' if c in OPTIONAL - {'order_id'} else 'true'} AS required FROM raw_transactions"
+        for c in TX_COLUMNS
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query(
+    "q13_missing_profile",
+    typed(with_ctes(["raw_transactions"], _missing_sql()), "tbl:s, col:s, missing_rows:i, total_rows:i, required:b"),
+)
+def q13_missing_profile(ctx):
+    """Missing values per column of the raw lines (Q13)."""
+    req = [c for c in TX_COLUMNS if c not in OPTIONAL or c == "order_id"]
+    return quality.missing_profile(ctx.raw_transactions.select(*TX_COLUMNS), "transactions", req).select(
+        F.col("table").alias("tbl"), F.col("column").alias("col"), "missing_rows", "total_rows", "required"
+    )
+
+
+@query(
+    "q14_revenue_reconciliation",
+    typed(
+        with_ctes(
+            ["transactions", "labour", "waste", "customer_feedback", "targets", "store_month_kpis"],
+            f"""WITH sql_side AS ({_kpi_sql("strftime(business_date, '%Y-%m')", msum)}),
+j AS (SELECT coalesce(a.restaurant_id, b.restaurant_id) AS restaurant_id, coalesce(a.month, b.month) AS month,
+             a.revenue AS left_value, b.revenue AS right_value, a.restaurant_id IS NOT NULL AS in_l,
+             b.restaurant_id IS NOT NULL AS in_r
+      FROM sql_side a FULL OUTER JOIN store_month_kpis b ON a.restaurant_id = b.restaurant_id AND a.month = b.month)
+SELECT restaurant_id, month, left_value, right_value,
+       CASE WHEN in_l AND in_r THEN 'both' WHEN in_l THEN 'left_only' ELSE 'right_only' END AS match,
+       NOT (in_l AND in_r) OR abs(left_value - right_value) > 0.01 + 1e-9 AS mismatch
+FROM j""",
+        ),
+        "restaurant_id:i, month:s, left_value:d, right_value:d, match:s, mismatch:b",
+    ),
+)
+def q14_revenue_reconciliation(ctx):
+    """Independent SQL revenue vs monthly KPI revenue, full outer join."""
+    ctx.views(["transactions", "labour", "waste", "customer_feedback", "targets"])
+    sql_side = ctx.spark.sql(_kpi_sql("date_format(business_date, 'yyyy-MM')", smsum))
+    return quality.reconcile(sql_side, ctx.store_month_kpis, ["restaurant_id", "month"], "revenue")
+
+
+@query(
+    "q15_ledger_identity",
+    typed(
+        with_ctes(
+            ["store_day_ledger"],
+            """SELECT count(*) AS checked_days,
+       count(*) FILTER (WHERE abs(revenue - (ingredient_cost + waste_cost + labour_cost + commission_cost
+                        + coalesce(overhead_cost, 0) + campaign_cost) - operating_profit) > 0.01) AS broken_days
+FROM store_day_ledger""",
+        ),
+        "checked_days:i, broken_days:i",
+    ),
+)
+def q15_ledger_identity(ctx):
+    """Revenue less six costs equals operating profit on every day (Q15)."""
+    d = ctx.store_day
+    return d.agg(F.count(F.lit(1)).alias("checked_days")).select(
+        "checked_days", quality.ledger_breaks(d, marts.COSTS).select(F.count(F.lit(1))).scalar().alias("broken_days")
+    )
+
+
+@query(
+    "q16_order_consistency",
+    typed(
+        with_ctes(
+            ["raw_transactions"],
+            """SELECT order_id, count(DISTINCT restaurant_id) AS stores, count(DISTINCT timestamp_local) AS timestamps,
+       count(DISTINCT channel) AS channels
+FROM raw_transactions GROUP BY order_id
+HAVING count(DISTINCT restaurant_id) > 1 OR count(DISTINCT timestamp_local) > 1 OR count(DISTINCT channel) > 1""",
+        ),
+        "order_id:i, stores:i, timestamps:i, channels:i",
+    ),
+)
+def q16_order_consistency(ctx):
+    """Orders with more than one store, timestamp or channel in the raw export (Q16)."""
+    return quality.order_inconsistencies(ctx.raw_transactions)
+
+
+@query(
+    "q18_coverage_gaps",
+    typed(
+        with_ctes(
+            ["restaurants", "calendar", "orders_mart"],
+            """SELECT r.restaurant_id, c.business_date FROM restaurants r JOIN calendar c ON r.state = c.state
+WHERE NOT EXISTS (SELECT 1 FROM orders_mart o WHERE o.restaurant_id = r.restaurant_id
+                  AND o.business_date = c.business_date)""",
+        ),
+        "restaurant_id:i, business_date:t",
+    ),
+)
+def q18_coverage_gaps(ctx):
+    """Site-days of the calendar spine with no clean order."""
+    spine = marts.spine(ctx.restaurants, ctx.calendar)
+    return quality.coverage_gaps(spine, ctx.orders, ["restaurant_id", "business_date"])
+
+
+@query(
+    "p06_name_repairs",
+    typed(
+        with_ctes(
+            ["raw_transactions", "restaurants"],
+            """SELECT count(*) FILTER (WHERE t.restaurant_name IS DISTINCT FROM r.restaurant_name) AS changed_rows
+FROM raw_transactions t LEFT JOIN restaurants r USING (restaurant_id)""",
+        ),
+        "changed_rows:i",
+    ),
+)
+def p06_name_repairs(ctx):
+    """Store names replaced from the master by id; count of changed lines."""
+    return quality.name_mismatches(ctx.raw_transactions, ctx.restaurants)
