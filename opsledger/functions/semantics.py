@@ -101,6 +101,20 @@ def money_sum(value: str | Column) -> Column:
     return F.sum(cents(value)) / F.lit(100.0)
 
 
+def snap(value: str | Column, places: int = 6) -> Column:
+    """Round to ``places`` decimals as round(x * 10^p) / 10^p (one IEEE multiply,
+    so every engine snaps float noise to the same double)."""
+    scale = float(10**places)
+    return F.round(col(value) * F.lit(scale)) / F.lit(scale)
+
+
+def exact_avg(value: str | Column, places: int = 6) -> Column:
+    """Mean of values snapped to ``places`` decimals, summed as integers."""
+    scale = float(10**places)
+    v = col(value)
+    return F.sum(F.round(v * F.lit(scale)).cast("long")) / F.lit(scale) / F.count(v)
+
+
 def checked_join(
     left: DataFrame,
     right: DataFrame,

@@ -26,6 +26,7 @@ from ..functions.semantics import (
     month_text,
     null_sum,
     ratio,
+    snap,
     weekday,
 )
 
@@ -315,10 +316,12 @@ def hourly_capacity(labour: DataFrame) -> DataFrame:
         F.col("paid_hours"),
         {"_service": F.col("role") == "Service", "_rate": F.col("hourly_cost")},
     )
+    # hour fractions are rationals with at most 5 decimal places when they
+    # terminate, so snapping to micro-hours removes only float noise
     return a.groupBy("restaurant_id", "business_date", "hour").agg(
-        F.sum("paid_alloc").alias("paid_hours"),
-        F.sum(F.when(F.col("_service"), F.col("paid_alloc")).otherwise(0.0)).alias("service_hours"),
-        F.sum(F.col("paid_alloc") * F.col("_rate")).alias("labour_cost"),
+        snap(F.sum("paid_alloc")).alias("paid_hours"),
+        snap(F.sum(F.when(F.col("_service"), F.col("paid_alloc")).otherwise(0.0))).alias("service_hours"),
+        snap(F.sum(F.col("paid_alloc") * F.col("_rate"))).alias("labour_cost"),
     )
 
 

@@ -16,6 +16,11 @@ def fold(c: str) -> str:
     return FOLD.format(c=c)
 
 
+def snap(c: str, places: int = 6) -> str:
+    scale = f"{10**places}.0::DOUBLE"
+    return f"(round(({c}) * {scale}) / {scale})"
+
+
 def msum(c: str) -> str:
     """Exact sum of cent amounts (integer cents, one conversion)."""
     return f"(CAST(sum(CAST(round({c} * 100) AS BIGINT)) AS DOUBLE) / 100.0::DOUBLE)"

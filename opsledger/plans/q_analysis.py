@@ -131,3 +131,249 @@ def w09_first_order(ctx):
         "customer_id", "order_id", "restaurant_id", "business_date", "revenue"
     )
     return customers.first_events(o, "customer_id", ["business_date", "order_id"])
+
+
+# ---------------------------------------------------------------- diagnostics
+from ..operators import diagnostics, kpi, marts  # noqa: E402
+
+RATE_SQL = """revenue - ingredient_cost AS gross_contribution,
+       revenue / nullif(transactions, 0) AS average_transaction_value,
+       (revenue - ingredient_cost) / nullif(revenue, 0) AS gross_margin_pct,
+       operating_profit / nullif(revenue, 0) AS operating_margin_pct,
+       labour_cost / nullif(revenue, 0) AS labour_cost_pct,
+       revenue / nullif(paid_hours, 0) AS sales_per_labour_hour,
+       transactions / nullif(paid_hours, 0) AS transactions_per_labour_hour,
+       waste_cost / nullif(ingredient_cost + waste_cost, 0) AS waste_pct,
+       score_sum / nullif(survey_responses, 0) AS satisfaction_score,
+       identified_orders / nullif(transactions, 0) AS identified_order_share,
+       late_deliveries / nullif(deliveries, 0) AS late_delivery_pct"""
+SUMS_SQL = ", ".join(f"{msum(c) if c in kpi.MONEY else f'sum({c})'} AS {c}" for c in kpi.ADDITIVE)
+RATE_COLS = (
+    "gross_contribution average_transaction_value gross_margin_pct operating_margin_pct labour_cost_pct "
+    "sales_per_labour_hour transactions_per_labour_hour waste_pct satisfaction_score identified_order_share "
+    "late_delivery_pct"
+).split()
+_INTS = {"transactions", "identified_orders", "survey_responses", "deliveries", "late_deliveries"}
+LEDGER_SPEC = ", ".join(f"{c}:{'i' if c in _INTS else 'd'}" for c in kpi.ADDITIVE + RATE_COLS)
+
+ANOM_SQL = """WITH b AS (
+  SELECT restaurant_id, restaurant_name, business_date, weekday, revenue, is_public_holiday, promotion_id,
+         list_sort(list(revenue) OVER w) AS prior
+  FROM store_day_ledger
+  WINDOW w AS (PARTITION BY restaurant_id, weekday ORDER BY business_date ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)),
+m AS (SELECT *, coalesce(len(prior), 0) AS n,
+             (prior[(len(prior) + 1) // 2] + prior[len(prior) // 2 + 1]) / 2.0 AS med FROM b),
+z AS (SELECT *, CASE WHEN n >= 8 THEN med END AS prior_median,
+             CASE WHEN n = 12 THEN (list_sort(list_transform(prior, lambda x: abs(x - med)))[6]
+                                    + list_sort(list_transform(prior, lambda x: abs(x - med)))[7]) / 2.0 END AS prior_mad
+      FROM m)
+SELECT restaurant_id, restaurant_name, business_date, weekday, revenue, is_public_holiday, promotion_id,
+       prior_median, prior_mad, 0.6745 * (revenue - prior_median) / nullif(prior_mad, 0) AS robust_z,
+       coalesce(abs(0.6745 * (revenue - prior_median) / nullif(prior_mad, 0)) > 3.5, false) AS is_anomaly
+FROM z"""
+
+
+@query(
+    "d02_sales_anomalies",
+    typed(
+        with_ctes(["store_day_ledger"], ANOM_SQL),
+        "restaurant_id:i, restaurant_name:s, business_date:t, weekday:i, revenue:d, is_public_holiday:i, "
+        "promotion_id:s, prior_median:d, prior_mad:d, robust_z:d, is_anomaly:b",
+    ),
+)
+def d02_sales_anomalies(ctx):
+    """Robust same-weekday sales anomalies with prior-only rolling median/MAD."""
+    d = ctx.store_day.select(
+        "restaurant_id", "restaurant_name", "business_date", "weekday", "revenue", "is_public_holiday", "promotion_id"
+    )
+    return diagnostics.sales_anomalies(d)
+
+
+_PAIRS = [(a, b) for a in diagnostics.CORR_FIELDS for b in diagnostics.CORR_FIELDS]
+CORR_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS metric, '{b}' AS other, corr({a}, {b}) AS correlation FROM store_month_kpis" for a, b in _PAIRS
+)
+
+
+@query("a25_kpi_correlations", typed(with_ctes(["store_month_kpis"], CORR_SQL), "metric:s, other:s, correlation:d"))
+def a25_kpi_correlations(ctx):
+    """Pairwise-complete correlation matrix of seven monthly KPIs in one aggregate."""
+    return diagnostics.kpi_correlations(ctx.store_month_kpis)
+
+
+@query(
+    "a26_driver_ranking",
+    typed(
+        with_ctes(
+            ["store_month_kpis"],
+            f"""SELECT *, row_number() OVER (ORDER BY abs(correlation) DESC NULLS LAST, other) AS rank
+FROM ({CORR_SQL}) WHERE metric = 'operating_margin_pct' AND other <> 'operating_margin_pct'""",
+        ),
+        "metric:s, other:s, correlation:d, rank:i",
+    ),
+)
+def a26_driver_ranking(ctx):
+    """KPI correlations with operating margin ranked by absolute size."""
+    return diagnostics.driver_ranking(diagnostics.kpi_correlations(ctx.store_month_kpis))
+
+
+@query(
+    "a27_store_totals",
+    typed(
+        with_ctes(
+            ["store_day_ledger", "restaurants"],
+            f"""SELECT s.*, r.restaurant_name, r.state, r.location_type, r.area FROM (
+  SELECT *, {RATE_SQL} FROM (SELECT restaurant_id, {SUMS_SQL} FROM store_day_ledger GROUP BY restaurant_id)) s
+JOIN restaurants r USING (restaurant_id)""",
+        ),
+        "restaurant_id:i, restaurant_name:s, state:s, location_type:s, area:s, " + LEDGER_SPEC,
+    ),
+)
+def a27_store_totals(ctx):
+    """Full-history site totals with recomputed rates."""
+    cols = ["restaurant_id", "restaurant_name", "state", "location_type", "area"] + kpi.ADDITIVE + RATE_COLS
+    return kpi.store_totals(ctx.store_day, ctx.restaurants).select(*cols)
+
+
+@query(
+    "a28_latest_opportunities",
+    typed(
+        with_ctes(
+            ["store_month_kpis", "restaurants"],
+            f"""WITH latest AS (SELECT * FROM store_month_kpis WHERE month >= '2025-10'),
+p AS (SELECT *, {RATE_SQL} FROM (SELECT restaurant_id, {SUMS_SQL} FROM latest GROUP BY restaurant_id)),
+j AS (SELECT p.*, r.location_type, i.performance_index FROM p JOIN restaurants r USING (restaurant_id)
+      JOIN (SELECT restaurant_id, avg(performance_index) AS performance_index FROM latest GROUP BY restaurant_id) i
+      USING (restaurant_id)),
+k AS (SELECT j.*, median(waste_pct) OVER (PARTITION BY location_type) AS waste_peer_median FROM j)
+SELECT restaurant_id, location_type, revenue, operating_margin_pct, labour_cost_pct, waste_pct, satisfaction_score,
+       performance_index, waste_peer_median,
+       CASE WHEN waste_pct - waste_peer_median IS NOT NULL THEN greatest(waste_pct - waste_peer_median, 0) END
+         * (ingredient_cost + waste_cost) AS estimated_waste_opportunity
+FROM k""",
+        ),
+        "restaurant_id:i, location_type:s, revenue:d, operating_margin_pct:d, labour_cost_pct:d, waste_pct:d, "
+        "satisfaction_score:d, performance_index:d, waste_peer_median:d, estimated_waste_opportunity:d",
+    ),
+)
+def a28_latest_opportunities(ctx):
+    """Latest-quarter rates, mean index and peer-median waste opportunity."""
+    return diagnostics.latest_opportunities(ctx.store_month_kpis, ctx.restaurants, "2025-10").select(
+        "restaurant_id", "location_type", "revenue", "operating_margin_pct", "labour_cost_pct", "waste_pct",
+        "satisfaction_score", "performance_index", "waste_peer_median", "estimated_waste_opportunity",
+    )
+
+
+@query(
+    "a29_staffing_patterns",
+    typed(
+        with_ctes(
+            ["store_hour"],
+            """SELECT restaurant_id, weekday, hour, avg(transactions) AS transactions,
+       CAST(sum(CAST(round(service_capacity_orders * 1000000) AS BIGINT)) AS DOUBLE) / 1000000.0::DOUBLE
+         / count(service_capacity_orders) AS capacity,
+       count(*) FILTER (WHERE staffing_status = 'Pressure') AS pressure_hours, count(*) AS observations,
+       count(*) FILTER (WHERE staffing_status = 'Spare capacity') AS spare_hours,
+       count(*) FILTER (WHERE staffing_status = 'Pressure') / count(*) AS pressure_share
+FROM store_hour GROUP BY restaurant_id, weekday, hour""",
+        ),
+        "restaurant_id:i, weekday:i, hour:i, transactions:d, capacity:d, pressure_hours:i, observations:i, "
+        "spare_hours:i, pressure_share:d",
+    ),
+)
+def a29_staffing_patterns(ctx):
+    """Demand, capacity and pressure/spare counts by site, weekday, hour."""
+    return diagnostics.staffing_patterns(ctx.store_hour)
+
+
+_HM = ", ".join(
+    f"avg(CASE WHEN staffing_status = 'Pressure' THEN 1.0 ELSE 0.0 END) FILTER (WHERE hour = {h}) AS h{h}"
+    for h in range(11, 22)
+)
+
+
+@query(
+    "a32_pressure_heatmap",
+    typed(
+        with_ctes(["store_hour"], f"SELECT weekday, {_HM} FROM store_hour GROUP BY weekday"),
+        "weekday:i, " + ", ".join(f"h{h}:d" for h in range(11, 22)),
+    ),
+)
+def a32_pressure_heatmap(ctx):
+    """Weekday x hour pressure share as a pivot."""
+    return diagnostics.pressure_heatmap(ctx.store_hour)
+
+
+@query(
+    "a35_peak_shares",
+    typed(
+        with_ctes(
+            ["store_hour"],
+            """SELECT avg(CASE WHEN staffing_status = 'Pressure' THEN 1.0 ELSE 0.0 END) FILTER (WHERE hour IN (12, 13, 18, 19)) AS peak_pressure_share,
+       avg(CASE WHEN staffing_status = 'Pressure' THEN 1.0 ELSE 0.0 END) FILTER (WHERE hour IN (14, 15, 16, 17)) AS off_peak_pressure_share,
+       avg(CASE WHEN staffing_status = 'Spare capacity' THEN 1.0 ELSE 0.0 END) FILTER (WHERE hour IN (12, 13, 18, 19)) AS peak_spare_share,
+       avg(CASE WHEN staffing_status = 'Spare capacity' THEN 1.0 ELSE 0.0 END) FILTER (WHERE hour IN (14, 15, 16, 17)) AS off_peak_spare_share,
+       avg(CASE WHEN staffing_status = 'Pressure' THEN 1.0 ELSE 0.0 END) AS pressure_hour_share
+FROM store_hour""",
+        ),
+        "peak_pressure_share:d, off_peak_pressure_share:d, peak_spare_share:d, off_peak_spare_share:d, "
+        "pressure_hour_share:d",
+    ),
+)
+def a35_peak_shares(ctx):
+    """Peak vs off-peak pressure and spare-capacity shares."""
+    return diagnostics.peak_shares(ctx.store_hour)
+
+
+@query(
+    "a31_chain_trend",
+    typed(
+        with_ctes(
+            ["store_day_ledger"],
+            f"SELECT *, {RATE_SQL} FROM (SELECT month, {SUMS_SQL} FROM store_day_ledger GROUP BY month)",
+        ),
+        "month:s, " + LEDGER_SPEC,
+    ),
+)
+def a31_chain_trend(ctx):
+    """Chain totals and rates by month."""
+    return diagnostics.chain_trend(ctx.store_day).select("month", *kpi.ADDITIVE, *RATE_COLS)
+
+
+_CAT_SQL = f"""SELECT category, {msum('net_revenue')} AS revenue, {msum('ingredient_cost')} AS ingredient_cost,
+       sum(quantity) AS units FROM transactions t JOIN products p USING (product_id) GROUP BY category"""
+
+
+@query(
+    "a33_category_contribution",
+    typed(
+        with_ctes(
+            ["transactions", "products"],
+            f"""SELECT *, revenue - ingredient_cost AS gross_contribution,
+       (revenue - ingredient_cost) / nullif(revenue, 0) AS gross_margin_pct FROM ({_CAT_SQL})""",
+        ),
+        "category:s, revenue:d, ingredient_cost:d, units:i, gross_contribution:d, gross_margin_pct:d",
+    ),
+)
+def a33_category_contribution(ctx):
+    """Category contribution and margin."""
+    pm = marts.product_month(ctx.transactions, ctx.products)
+    return diagnostics.category_contribution(pm)
+
+
+@query(
+    "k03_category_leaders",
+    typed(
+        with_ctes(
+            ["transactions", "products"],
+            f"""SELECT arg_max(category, (revenue, category)) AS top_category,
+       arg_max(category, ((revenue - ingredient_cost) / nullif(revenue, 0), category)) AS highest_margin_category
+FROM ({_CAT_SQL})""",
+        ),
+        "top_category:s, highest_margin_category:s",
+    ),
+)
+def k03_category_leaders(ctx):
+    """Arg-max category by revenue and by margin."""
+    pm = marts.product_month(ctx.transactions, ctx.products)
+    return diagnostics.category_leaders(diagnostics.category_contribution(pm))

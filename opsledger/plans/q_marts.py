@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import kpi, marts
-from .oracle_base import msum, typed, with_ctes
+from .oracle_base import cte, msum, snap, typed, with_ctes
 from .registry import query
 
 DAY_COLS = (
@@ -114,9 +114,9 @@ alloc AS (
            * l.paid_hours / (date_diff('second', l.actual_start, l.actual_end) / 3600.0) AS paid
   FROM labour l, range(11, 22) t(h)),
 cap AS (
-  SELECT restaurant_id, business_date, hour, sum(paid) AS paid_hours,
-         sum(CASE WHEN role = 'Service' THEN paid ELSE 0 END) AS service_hours,
-         sum(paid * hourly_cost) AS labour_cost
+  SELECT restaurant_id, business_date, hour, {snap('sum(paid)')} AS paid_hours,
+         {snap("sum(CASE WHEN role = 'Service' THEN paid ELSE 0 END)")} AS service_hours,
+         {snap('sum(paid * hourly_cost)')} AS labour_cost
   FROM alloc GROUP BY ALL),
 sales AS (
   SELECT restaurant_id, business_date, hour, count(*) AS transactions, {msum('revenue')} AS revenue
@@ -206,3 +206,6 @@ FROM sc"""
 def a12_store_month_kpis(ctx):
     """Monthly KPIs, targets, MoM/YoY growth and Performance Index."""
     return ctx.store_month_kpis.select(*KPI_COLS)
+
+
+cte("store_hour", ["store_day", "orders_mart", "labour"], HOUR_SQL)
