@@ -1,3 +1,153 @@
-"""Registered queries."""
+"""Decision queries: scenario grid, bridges, weekly scorecard and brief."""
 
 from __future__ import annotations
+
+from ..operators import management, scenarios
+from ..operators.scenarios import OUTPUTS, Scenario
+from .oracle_base import typed, with_ctes
+from .registry import query
+
+GRID = [
+    Scenario(name="Baseline"),
+    Scenario(name="Staffing and wage +10%, 20% discount", hours_change=0.10, wage_change=0.10, discount_rate=0.20),
+    Scenario(name="Demand -10%", demand_change=-0.10),
+    Scenario(name="Waste 10%", waste_rate=0.10),
+]
+KEYS = ["restaurant_id", "month"]
+SIM_SPEC = "restaurant_id:i, month:s, scenario:s, " + ", ".join(f"{o}:d" for o in OUTPUTS) + ", is_valid:b, invalid_reason:s"
+
+
+def _sql_lit(v) -> str:
+    return "NULL::DOUBLE" if v is None else f"{float(v)}::DOUBLE"
+
+
+def _grid_sql(grid: list[Scenario]) -> str:
+    rows = ", ".join(
+        f"('{s.name}', {_sql_lit(s.hours_change)}, {_sql_lit(s.wage_change)}, {_sql_lit(s.price_change)}, "
+        f"{_sql_lit(s.demand_change)}, {_sql_lit(s.discount_rate)}, {_sql_lit(s.waste_rate)})"
+        for s in grid
+    )
+    return f"(VALUES {rows}) g(scenario, hc, wc, pc, dc, dov, wov)"
+
+
+def sim_sql(grid: list[Scenario]) -> str:
+    """Scenario formulas in SQL, written from the documented ledger identities."""
+    return f"""WITH b AS (
+  SELECT k.restaurant_id, k.month, k.revenue, k.discounts, k.transactions, k.ingredient_cost, k.waste_cost,
+         k.labour_cost, k.paid_hours, k.commission_cost, k.overhead_cost, k.campaign_cost, g.*,
+         coalesce(g.dov, k.discounts / nullif(k.revenue + k.discounts, 0)) AS d,
+         coalesce(g.wov, CASE WHEN k.ingredient_cost + k.waste_cost <> 0
+                              THEN k.waste_cost / (k.ingredient_cost + k.waste_cost) ELSE 0.0 END) AS w
+  FROM store_month_kpis k, {_grid_sql(grid)}),
+v AS (
+  SELECT *, CASE
+    WHEN NOT coalesce(revenue >= 0 AND discounts >= 0 AND transactions >= 0 AND ingredient_cost >= 0
+         AND waste_cost >= 0 AND labour_cost >= 0 AND paid_hours >= 0 AND commission_cost >= 0
+         AND overhead_cost >= 0 AND campaign_cost >= 0
+         AND NOT isnan(revenue) AND NOT isnan(overhead_cost), false)
+      THEN 'Baseline requires finite non-negative ledger inputs'
+    WHEN NOT coalesce(revenue > 0 AND transactions > 0 AND paid_hours > 0, false)
+      THEN 'Scenario requires positive revenue, orders and paid hours'
+    WHEN NOT (hc > -1 AND hc <= 2) THEN 'hours_change must be greater than -100% and at most +200%'
+    WHEN NOT (wc > -1 AND wc <= 2) THEN 'wage_change must be greater than -100% and at most +200%'
+    WHEN NOT (pc > -1 AND pc <= 2) THEN 'price_change must be greater than -100% and at most +200%'
+    WHEN NOT (dc > -1 AND dc <= 2) THEN 'demand_change must be greater than -100% and at most +200%'
+    WHEN NOT coalesce(d >= 0 AND d < 1, false) THEN 'Discount must be from 0% to below 100%'
+    WHEN NOT coalesce(w >= 0 AND w < 1, false) THEN 'Waste must be from 0% to below 100%'
+  END AS invalid_reason FROM b),
+c AS (
+  SELECT *, invalid_reason IS NULL AS ok,
+         transactions * (1 + dc) AS n1,
+         (revenue + discounts) * (1 + dc) * (1 + pc) AS gross,
+         (revenue + discounts) * (1 + dc) * (1 + pc) * (1 - d) AS rev1,
+         ingredient_cost * (1 + dc) AS ing1,
+         ingredient_cost * (1 + dc) * w / (1 - w) AS waste1,
+         paid_hours * (1 + hc) AS hours1,
+         labour_cost / paid_hours * (1 + wc) AS wage1
+  FROM v),
+e AS (
+  SELECT *, hours1 * wage1 AS lab1, rev1 * commission_cost / revenue AS com1, ing1 + waste1 AS cogs1 FROM c),
+f AS (
+  SELECT *, rev1 - cogs1 - com1 - lab1 - campaign_cost AS contrib1,
+         rev1 / n1 - (cogs1 + com1) / n1 AS unit1, lab1 + overhead_cost + campaign_cost AS fixed1 FROM e)
+SELECT restaurant_id, month, scenario,
+  CASE WHEN ok THEN rev1 END AS revenue, CASE WHEN ok THEN gross * d END AS discounts,
+  CASE WHEN ok THEN n1 END AS transactions, CASE WHEN ok THEN ing1 END AS ingredient_cost,
+  CASE WHEN ok THEN waste1 END AS waste_cost, CASE WHEN ok THEN cogs1 END AS cogs,
+  CASE WHEN ok THEN hours1 END AS paid_hours, CASE WHEN ok THEN wage1 END AS loaded_hourly_wage,
+  CASE WHEN ok THEN lab1 END AS labour_cost, CASE WHEN ok THEN com1 END AS commission_cost,
+  CASE WHEN ok THEN campaign_cost END AS campaign_cost, CASE WHEN ok THEN overhead_cost END AS overhead_cost,
+  CASE WHEN ok THEN contrib1 END AS operating_contribution,
+  CASE WHEN ok THEN contrib1 - overhead_cost END AS operating_profit,
+  CASE WHEN ok THEN (contrib1 - overhead_cost) / rev1 END AS operating_margin_pct,
+  CASE WHEN ok AND unit1 > 0 THEN fixed1 / unit1 END AS break_even_orders,
+  CASE WHEN ok AND unit1 > 0 THEN fixed1 / unit1 * (rev1 / n1) END AS break_even_revenue,
+  CASE WHEN ok THEN d END AS discount_rate, CASE WHEN ok THEN w END AS waste_rate,
+  ok AS is_valid, invalid_reason
+FROM f"""
+
+
+@query("x01_scenario_grid", typed(with_ctes(["store_month_kpis"], sim_sql(GRID)), SIM_SPEC))
+def x01_scenario_grid(ctx):
+    """Scenario grid over every site-month ledger with input validation."""
+    return scenarios.simulate(ctx.store_month_kpis, GRID, KEYS)
+
+
+SENS = scenarios.sensitivity(Scenario(name="Price +5%", price_change=0.05, demand_change=-0.02), 0.10)
+
+
+@query("x04_demand_sensitivity", typed(with_ctes(["store_month_kpis"], sim_sql(SENS)), SIM_SPEC))
+def x04_demand_sensitivity(ctx):
+    """Downside / Central / Upside demand cases of one scenario."""
+    return scenarios.simulate(ctx.store_month_kpis, SENS, KEYS)
+
+
+_CMP = Scenario(name="Scenario", hours_change=0.10, wage_change=0.10, discount_rate=0.20)
+_UNPIVOT = "\nUNION ALL\n".join(
+    f"SELECT b.restaurant_id, b.month, '{o}' AS metric, b.{o} AS baseline, s.{o} AS scenario, s.{o} - b.{o} AS delta "
+    f"FROM sims b JOIN sims s ON b.restaurant_id = s.restaurant_id AND b.month = s.month "
+    f"AND b.scenario = 'Baseline' AND s.scenario = 'Scenario'"
+    for o in OUTPUTS
+)
+
+
+@query(
+    "x03_scenario_compare",
+    typed(
+        with_ctes(["store_month_kpis"], f"WITH sims AS ({sim_sql([Scenario(name='Baseline'), _CMP])})\n{_UNPIVOT}"),
+        "restaurant_id:i, month:s, metric:s, baseline:d, scenario:d, delta:d",
+    ),
+)
+def x03_scenario_compare(ctx):
+    """Baseline / scenario / delta long table per site-month."""
+    return scenarios.compare(ctx.store_month_kpis, _CMP, KEYS)
+
+
+_COSTS = ["ingredient_cost", "waste_cost", "labour_cost", "commission_cost", "overhead_cost", "campaign_cost"]
+_LAGS = ", ".join(f"lag({c}) OVER w AS prior_{c}" for c in ["revenue", "transactions", "operating_profit"] + _COSTS)
+_DRIVERS = [
+    ("Order volume", "(transactions - prior_transactions) * (prior_revenue / prior_transactions)"),
+    ("Basket value (net)", "(revenue / transactions - prior_revenue / prior_transactions) * transactions"),
+] + [(c.replace("_", " ").title(), f"coalesce(prior_{c}, 0.0) - coalesce({c}, 0.0)") for c in _COSTS]
+_TOTAL = " + ".join(f"({e})" for _, e in _DRIVERS)
+BRIDGE_SQL = f"""WITH l AS (
+  SELECT restaurant_id, month, revenue, transactions, operating_profit, {', '.join(_COSTS)},
+         {_LAGS}, lag(month) OVER w AS prior_period
+  FROM store_month_kpis WINDOW w AS (PARTITION BY restaurant_id ORDER BY month)),
+p AS (SELECT *, operating_profit - prior_operating_profit AS profit_change, {_TOTAL} AS total FROM l
+      WHERE prior_period IS NOT NULL AND transactions > 0 AND prior_transactions > 0)
+{chr(10).join(('UNION ALL ' if i else '') + f"SELECT restaurant_id, month, prior_period, {i} AS step, '{n}' AS driver, {e} AS amount, profit_change, abs(total - profit_change) <= 0.01 + 1e-9 AS reconciles FROM p" for i, (n, e) in enumerate(_DRIVERS))}"""
+
+
+@query(
+    "x06_profit_bridges",
+    typed(
+        with_ctes(["store_month_kpis"], BRIDGE_SQL),
+        "restaurant_id:i, month:s, prior_period:s, step:i, driver:s, amount:d, profit_change:d, reconciles:b",
+    ),
+)
+def x06_profit_bridges(ctx):
+    """Revenue and profit bridges for every site-month vs the prior month."""
+    return management.period_bridges(ctx.store_month_kpis, "restaurant_id", "month").withColumnRenamed(
+        "month", "month"
+    )
