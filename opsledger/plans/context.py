@@ -8,13 +8,31 @@ columns.
 
 from __future__ import annotations
 
+import hashlib
+import os
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import kpi, marts
-from ..session import configure
+from ..session import checkpoint_dir, configure
 from ..sources.adapters import HISTORY_END, HISTORY_START, Source
+from ..sources.tables import DRIVER_TABLES
+
+# Version of the mart definitions; bump when an adapter or mart changes.
+MART_VERSION = "3"
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def _fingerprint(folder: str) -> str:
+    """Input identity: path plus size and mtime of every input table."""
+    h = hashlib.sha256((MART_VERSION + os.path.abspath(folder)).encode())
+    for t in DRIVER_TABLES:
+        p = os.path.join(folder, f"{t}.parquet")
+        if os.path.exists(p):
+            st = os.stat(p)
+            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
+    return h.hexdigest()[:16]
 
 
 class Context:
@@ -38,15 +56,15 @@ class Context:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self.src.transactions()
+        return self.stored("transactions", self.src.transactions)
 
     @cached_property
     def labour(self) -> DataFrame:
-        return self.src.labour()
+        return self.stored("labour", self.src.labour)
 
     @cached_property
     def waste(self) -> DataFrame:
-        return self.src.waste()
+        return self.src.waste(clean=self.transactions)
 
     @cached_property
     def customer_feedback(self) -> DataFrame:
@@ -92,7 +110,7 @@ class Context:
     # ---- raw exports and the cleaning flow -----------------------------
     @cached_property
     def raw_transactions(self) -> DataFrame:
-        return self.src.raw_transactions()
+        return self.src.raw_transactions(self.transactions)
 
     @cached_property
     def raw_labour(self) -> DataFrame:
@@ -104,7 +122,7 @@ class Context:
 
     @cached_property
     def raw_waste(self) -> DataFrame:
-        return self.src.waste(raw=True)
+        return self.src.waste(raw=True, clean=self.transactions)
 
     def flagged_lines(self, max_quantity: int = 50):
         """Deduplicated raw lines with rule columns (quantity bound is a parameter:
@@ -117,19 +135,44 @@ class Context:
     # ---- marts -----------------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
-        return marts.orders(self.transactions)
+        return self.stored("orders", lambda: marts.orders(self.transactions))
 
     @cached_property
     def store_day(self) -> DataFrame:
-        return marts.store_day(self.facts, self.orders)
+        return self.stored("store_day", lambda: marts.store_day(self.facts, self.orders))
 
     @cached_property
     def store_hour(self) -> DataFrame:
-        return marts.store_hour(self.store_day, self.orders, self.labour)
+        return self.stored("store_hour", lambda: marts.store_hour(self.store_day, self.orders, self.labour))
 
     @cached_property
     def store_month_kpis(self) -> DataFrame:
-        return kpi.store_month_kpis(self.store_day, self.targets, self.restaurants)
+        return self.stored(
+            "store_month_kpis", lambda: kpi.store_month_kpis(self.store_day, self.targets, self.restaurants)
+        )
+
+    # ---- materialised marts ---------------------------------------------
+    def stored(self, name: str, build) -> DataFrame:
+        """Write ``build()`` once as Parquet under the cluster checkpoint folder
+        and read it back.
+
+        The clean facts and daily marts feed most queries; storing them cuts the
+        lineage (a lost executor recomputes from durable files, not from the raw
+        scans) and keeps every downstream plan small.  The folder comes from
+        ``spark.checkpoint.dir`` (a scratch folder only when unset, as in tests).
+        """
+        key = (_fingerprint(self.folder), name)
+        path = _STORED.get(key)
+        if path is None:
+            base = checkpoint_dir(self.spark).rstrip("/")
+            path = f"{base}/opsledger-marts/{key[0]}/{name}"
+            jvm = self.spark._jvm
+            hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
+            fs = hpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            if not fs.exists(hpath):
+                build().write.mode("overwrite").parquet(path)
+            _STORED[key] = path
+        return self.spark.read.parquet(path)
 
     def views(self, names: list[str]) -> None:
         """Register canonical tables / marts as temp views for SQL text."""

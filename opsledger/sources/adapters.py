@@ -178,14 +178,14 @@ class Source:
             F.col("l_linestatus"),
         )
 
-    def raw_transactions(self) -> DataFrame:
+    def raw_transactions(self, clean: DataFrame | None = None) -> DataFrame:
         """Order lines as exported, with planted defects and exact duplicates.
 
         Defects by line id: mod 97 bad timestamp text, mod 89 missing product,
         mod 83 quantity 999, mod 79 net -900, mod 73 channel 'dine in',
         mod 101 missing order id; lines with id mod 67 = 0 are exported twice.
         """
-        tx = self.transactions()
+        tx = clean if clean is not None else self.transactions()
         lid = F.col("transaction_line_id")
         raw = tx.select(
             "transaction_line_id",
@@ -291,8 +291,8 @@ class Source:
         )
         return events.unionByName(enroll)
 
-    def waste(self, raw: bool = False) -> DataFrame:
-        tx = self.transactions().filter(F.col("l_returnflag") == "R")
+    def waste(self, raw: bool = False, clean: DataFrame | None = None) -> DataFrame:
+        tx = (clean if clean is not None else self.transactions()).filter(F.col("l_returnflag") == "R")
         lid = F.col("transaction_line_id")
         units = F.col("quantity")
         if raw:
