@@ -377,3 +377,144 @@ def k03_category_leaders(ctx):
     """Arg-max category by revenue and by margin."""
     pm = marts.product_month(ctx.transactions, ctx.products)
     return diagnostics.category_leaders(diagnostics.category_contribution(pm))
+
+
+# ---------------------------------------------------------------- forecasting
+from ..operators import forecast  # noqa: E402
+from ..sources.adapters import HISTORY_END  # noqa: E402
+
+_ORIGINS = [(p, k, f"DATE '{HISTORY_END}' - {back}") for p, k, back in forecast.folds(HISTORY_END)]
+TRACE_SQL = f"""WITH o(evaluation_period, fold, origin_date) AS (VALUES {', '.join(f"('{p}', {k}, CAST({d} AS DATE))" for p, k, d in _ORIGINS)}),
+f AS (
+  SELECT r.restaurant_id, CAST(o.origin_date + h AS DATE) AS business_date, h AS horizon_day,
+         o.origin_date, o.evaluation_period, o.fold,
+         CAST(o.origin_date - 6 + ((h - 1) % 7) AS DATE) AS src
+  FROM restaurants r, o, (SELECT CAST(range AS INTEGER) AS h FROM range(1, 29)) t)
+SELECT f.restaurant_id, f.business_date, f.horizon_day,
+       CASE WHEN s.revenue IS NOT NULL THEN greatest(s.revenue, 0.0) END AS forecast_revenue,
+       'Seasonal naive' AS model, f.origin_date, f.evaluation_period, f.fold, a.revenue AS actual_revenue
+FROM f LEFT JOIN store_day_ledger s ON s.restaurant_id = f.restaurant_id AND s.business_date = f.src
+JOIN store_day_ledger a ON a.restaurant_id = f.restaurant_id AND a.business_date = f.business_date"""
+TRACE_SPEC = (
+    "restaurant_id:i, business_date:t, horizon_day:i, forecast_revenue:d, model:s, origin_date:t, "
+    "evaluation_period:s, fold:i, actual_revenue:d"
+)
+cte("traces", ["restaurants", "store_day_ledger"], TRACE_SQL)
+
+
+def _traces(ctx):
+    hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
+    return forecast.backtest(hist, ctx.restaurants.select("restaurant_id"), HISTORY_END)
+
+
+@query("f07_naive_backtest", typed(with_ctes(["traces"], "SELECT * FROM traces"), TRACE_SPEC))
+def f07_naive_backtest(ctx):
+    """Rolling-origin seasonal-naive traces: 3 validation folds + holdout."""
+    return _traces(ctx)
+
+
+_MET = f"""SELECT evaluation_period, fold, model,
+       {msum('abs(actual_revenue - forecast_revenue)')} / count(*) AS mae,
+       sqrt(avg((actual_revenue - forecast_revenue) * (actual_revenue - forecast_revenue))) AS rmse,
+       avg(CASE WHEN actual_revenue > 0 THEN abs(actual_revenue - forecast_revenue) / actual_revenue END) * 100 AS mape,
+       {msum('abs(actual_revenue - forecast_revenue)')} / nullif({msum('actual_revenue')}, 0) * 100 AS wape,
+       count(*) AS observations
+FROM traces GROUP BY evaluation_period, fold, model"""
+
+
+@query(
+    "f06_forecast_metrics",
+    typed(
+        with_ctes(["traces"], _MET),
+        "evaluation_period:s, fold:i, model:s, mae:d, rmse:d, mape:d, wape:d, observations:i",
+    ),
+)
+def f06_forecast_metrics(ctx):
+    """MAE / RMSE / MAPE / WAPE per fold and period (F06, F08 input)."""
+    return forecast.metrics(_traces(ctx), ["evaluation_period", "fold", "model"])
+
+
+_BANDS = """WITH b AS (SELECT restaurant_id, quantile_cont(abs(actual_revenue - forecast_revenue), 0.8) AS band
+           FROM traces WHERE evaluation_period = 'Validation' GROUP BY restaurant_id),
+h AS (SELECT t.*, CASE WHEN t.forecast_revenue - b.band IS NOT NULL THEN greatest(t.forecast_revenue - b.band, 0.0) END AS lower_80,
+             t.forecast_revenue + b.band AS upper_80
+      FROM traces t LEFT JOIN b USING (restaurant_id) WHERE t.evaluation_period = 'Holdout')
+SELECT restaurant_id, count(*) AS observations,
+       avg(CASE WHEN actual_revenue BETWEEN lower_80 AND upper_80 THEN 1.0 ELSE 0.0 END) AS interval_coverage,
+       min(lower_80) AS min_lower_80, max(upper_80) AS max_upper_80
+FROM h GROUP BY restaurant_id"""
+
+
+@query(
+    "f09_holdout_coverage",
+    typed(
+        with_ctes(["traces"], _BANDS),
+        "restaurant_id:i, observations:i, interval_coverage:d, min_lower_80:d, max_upper_80:d",
+    ),
+)
+def f09_holdout_coverage(ctx):
+    """Per-site P80 validation error bands and holdout coverage."""
+    from pyspark.sql import functions as F
+
+    t = _traces(ctx)
+    h = forecast.with_bands(t.filter(F.col("evaluation_period") == "Holdout"), forecast.error_bands(t))
+    covered = F.col("actual_revenue").between(F.col("lower_80"), F.col("upper_80")).cast("double")
+    return h.groupBy("restaurant_id").agg(
+        F.count(F.lit(1)).alias("observations"),
+        F.avg(F.coalesce(covered, F.lit(0.0))).alias("interval_coverage"),
+        F.min("lower_80").alias("min_lower_80"),
+        F.max("upper_80").alias("max_upper_80"),
+    )
+
+
+@query(
+    "f08_model_selection",
+    typed(
+        with_ctes(
+            ["traces"],
+            f"""SELECT arg_min(model, (mae, model)) AS winner FROM (SELECT model, avg(mae) AS mae FROM ({_MET})
+WHERE evaluation_period = 'Validation' GROUP BY model)""",
+        ),
+        "winner:s",
+    ),
+)
+def f08_model_selection(ctx):
+    """Winner by mean validation MAE."""
+    return forecast.select_winner(forecast.metrics(_traces(ctx), ["evaluation_period", "fold", "model"]))
+
+
+@query(
+    "f11_forecast_plot",
+    typed(
+        with_ctes(
+            ["store_day_ledger", "restaurants", "traces"],
+            f"""WITH b AS (SELECT restaurant_id, quantile_cont(abs(actual_revenue - forecast_revenue), 0.8) AS band
+           FROM traces WHERE evaluation_period = 'Validation' GROUP BY restaurant_id),
+fut AS (SELECT r.restaurant_id, CAST(DATE '{HISTORY_END}' + h AS DATE) AS business_date,
+               greatest(s.revenue, 0.0) AS revenue
+        FROM restaurants r, (SELECT CAST(range AS INTEGER) AS h FROM range(1, 29)) t
+        LEFT JOIN store_day_ledger s ON s.restaurant_id = r.restaurant_id
+             AND s.business_date = CAST(DATE '{HISTORY_END}' - 6 + ((h - 1) % 7) AS DATE))
+SELECT restaurant_id, business_date, revenue, CAST(NULL AS DOUBLE) AS lower_80, CAST(NULL AS DOUBLE) AS upper_80,
+       'History' AS record_kind FROM store_day_ledger
+UNION ALL
+SELECT f.restaurant_id, f.business_date, f.revenue,
+       CASE WHEN f.revenue - b.band IS NOT NULL THEN greatest(f.revenue - b.band, 0.0) END, f.revenue + b.band,
+       'Forecast estimate' FROM fut f LEFT JOIN b USING (restaurant_id)""",
+        ),
+        "restaurant_id:i, business_date:t, revenue:d, lower_80:d, upper_80:d, record_kind:s",
+    ),
+)
+def f11_forecast_plot(ctx):
+    """Final refit from the last date with bands, unioned with history."""
+    from pyspark.sql import functions as F
+
+    hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
+    sites = ctx.restaurants.select("restaurant_id")
+    final = forecast.naive_forecasts(hist, sites, [("Future", 0, HISTORY_END)])
+    final = forecast.with_bands(final, forecast.error_bands(_traces(ctx)))
+    fut = final.select(
+        "restaurant_id", "business_date", F.col("forecast_revenue").alias("revenue"), "lower_80", "upper_80",
+        F.lit("Forecast estimate").alias("record_kind"),
+    )
+    return hist.withColumn("record_kind", F.lit("History")).unionByName(fut, allowMissingColumns=True)
