@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators import management, scenarios
 from ..operators.scenarios import OUTPUTS, Scenario
-from .oracle_base import typed, with_ctes
+from .oracle_base import cte, typed, with_ctes
 from .registry import query
 
 GRID = [
@@ -151,3 +151,90 @@ def x06_profit_bridges(ctx):
     return management.period_bridges(ctx.store_month_kpis, "restaurant_id", "month").withColumnRenamed(
         "month", "month"
     )
+
+
+# ---------------------------------------------------------------- weekly scorecard
+from ..operators import kpi  # noqa: E402
+from .oracle_base import msum, snap  # noqa: E402
+
+_SUMS = ", ".join(f"{msum(c) if c in kpi.MONEY else f'sum({c})'} AS {c}" for c in kpi.ADDITIVE)
+_RATES = """revenue / nullif(transactions, 0) AS average_transaction_value,
+       operating_profit / nullif(revenue, 0) AS operating_margin_pct,
+       labour_cost / nullif(revenue, 0) AS labour_cost_pct,
+       waste_cost / nullif(ingredient_cost + waste_cost, 0) AS waste_pct"""
+CARD_SQL = f"""WITH e AS (SELECT max(business_date) AS d FROM store_day_ledger),
+w AS (SELECT s.*, CASE WHEN s.business_date >= (SELECT d FROM e) - 6 THEN 'current' ELSE 'previous' END AS period,
+             t.revenue_target, t.revenue_target / day(last_day(s.business_date)) AS allocated_revenue_target
+      FROM store_day_ledger s LEFT JOIN targets t USING (restaurant_id, month)
+      WHERE s.business_date BETWEEN (SELECT d FROM e) - 13 AND (SELECT d FROM e)),
+g AS (SELECT restaurant_id, period, {_SUMS}, sum(allocated_revenue_target) AS allocated_revenue_target,
+             count(DISTINCT business_date) AS days, count(*) FILTER (WHERE revenue_target IS NULL) AS missing_targets
+      FROM w GROUP BY restaurant_id, period),
+r AS (SELECT *, {_RATES} FROM g)
+SELECT c.restaurant_id, (SELECT d FROM e) AS window_end,
+       c.days = 7 AND p.days = 7 AND c.missing_targets = 0 AND p.missing_targets = 0 AS complete,
+       c.revenue, p.revenue AS prior_revenue, c.operating_profit, p.operating_profit AS prior_operating_profit,
+       c.operating_margin_pct, p.operating_margin_pct AS prior_operating_margin_pct,
+       c.labour_cost_pct, p.labour_cost_pct AS prior_labour_cost_pct,
+       c.revenue - p.revenue AS revenue_change, c.operating_profit - p.operating_profit AS profit_change,
+       (c.revenue - p.revenue) / nullif(p.revenue, 0) AS revenue_growth,
+       c.allocated_revenue_target, c.revenue - c.allocated_revenue_target AS target_gap,
+       c.revenue / nullif(c.allocated_revenue_target, 0) AS target_achievement_pct,
+       {', '.join(f'c.{x} AS {x}, p.{x} AS prior_{x}' for x in ['ingredient_cost', 'waste_cost', 'labour_cost', 'commission_cost', 'overhead_cost', 'campaign_cost'])}
+FROM r c JOIN r p ON c.restaurant_id = p.restaurant_id AND c.period = 'current' AND p.period = 'previous'"""
+_CARD_COLS = (
+    "restaurant_id window_end complete revenue prior_revenue operating_profit prior_operating_profit "
+    "operating_margin_pct prior_operating_margin_pct labour_cost_pct prior_labour_cost_pct revenue_change "
+    "profit_change revenue_growth allocated_revenue_target target_gap target_achievement_pct"
+).split() + [f"{p}{x}" for x in ["ingredient_cost", "waste_cost", "labour_cost", "commission_cost", "overhead_cost", "campaign_cost"] for p in ("", "prior_")]
+CARD_SPEC = ", ".join(
+    f"{c}:{'i' if c == 'restaurant_id' else 't' if c == 'window_end' else 'b' if c == 'complete' else 'd'}" for c in _CARD_COLS
+)
+cte("weekly_card", ["store_day_ledger", "targets"], CARD_SQL)
+
+
+def _card(ctx):
+    return management.weekly_scorecard(ctx.store_day, ctx.targets)
+
+
+@query("x07_weekly_scorecard", typed(with_ctes(["weekly_card"], "SELECT * FROM weekly_card"), CARD_SPEC))
+def x07_weekly_scorecard(ctx):
+    """Current vs previous complete 7-day window per site, prorated targets."""
+    return _card(ctx).select(*_CARD_COLS)
+
+
+_COST_STRUCTS = ", ".join(
+    f"({snap(f'{c} - prior_{c}')}, {-i}, '{c}')" for i, c in enumerate(
+        ["ingredient_cost", "waste_cost", "labour_cost", "commission_cost", "overhead_cost", "campaign_cost"])
+)
+BRIEF_SQL = f"""WITH b AS (
+  SELECT *, list_max([{_COST_STRUCTS}]) AS top,
+         CASE WHEN prior_ingredient_cost + prior_waste_cost <> 0
+              THEN prior_waste_cost / (prior_ingredient_cost + prior_waste_cost) END AS pw
+  FROM weekly_card),
+c AS (
+  SELECT *, CASE WHEN pw IS NOT NULL AND pw < 1 THEN greatest(0.0, waste_cost - ingredient_cost * pw / (1 - pw)) ELSE 0.0 END AS excess_waste,
+         greatest(0.0, labour_cost - revenue * prior_labour_cost_pct) AS labour_share_gap FROM b),
+d AS (SELECT *, coalesce(excess_waste >= labour_share_gap AND excess_waste > 0, false) AS waste_first FROM c)
+SELECT restaurant_id, window_end, revenue_change, profit_change, operating_margin_pct, target_achievement_pct,
+       top[3] AS cost_driver, top[1] AS cost_driver_change, excess_waste, labour_share_gap,
+       CASE WHEN waste_first THEN 'Trial smaller preparation batches; monitor stock-outs alongside waste.'
+            ELSE 'Review meal-peak coverage and trial staggered starts; preserve service guardrails.' END AS recommended_action,
+       CASE WHEN waste_first THEN 'Restaurant Manager' ELSE 'Area Manager / Workforce Planning' END AS proposed_owner,
+       CASE WHEN waste_first THEN excess_waste ELSE labour_share_gap END AS estimated_weekly_opportunity,
+       CASE WHEN target_gap < 0 OR operating_margin_pct < 0.10 THEN 'High' ELSE 'Review' END AS priority
+FROM d"""
+
+
+@query(
+    "x08_weekly_brief",
+    typed(
+        with_ctes(["weekly_card"], BRIEF_SQL),
+        "restaurant_id:i, window_end:t, revenue_change:d, profit_change:d, operating_margin_pct:d, "
+        "target_achievement_pct:d, cost_driver:s, cost_driver_change:d, excess_waste:d, labour_share_gap:d, "
+        "recommended_action:s, proposed_owner:s, estimated_weekly_opportunity:d, priority:s",
+    ),
+)
+def x08_weekly_brief(ctx):
+    """Weekly decision register: adverse cost driver, opportunity, action, priority."""
+    return management.weekly_brief(_card(ctx))
