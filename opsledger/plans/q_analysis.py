@@ -518,3 +518,35 @@ def f11_forecast_plot(ctx):
         F.lit("Forecast estimate").alias("record_kind"),
     )
     return hist.withColumn("record_kind", F.lit("History")).unionByName(fut, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- promotions
+from ..operators import promotions  # noqa: E402
+
+CONTROL_SQL = """WITH c AS (SELECT p.*, r.location_type FROM promotions p JOIN restaurants r USING (restaurant_id)),
+ctrl AS (
+  SELECT c.promotion_id, r.restaurant_id AS other_id FROM c JOIN restaurants r
+    ON r.location_type = c.location_type AND r.restaurant_id <> c.restaurant_id
+  WHERE NOT EXISTS (SELECT 1 FROM promotions o WHERE o.restaurant_id = r.restaurant_id
+                    AND o.start_date <= c.end_date AND o.end_date >= c.start_date - 14)),
+l AS (SELECT promotion_id, list_sort(list(other_id)) AS ids FROM ctrl GROUP BY promotion_id)
+SELECT p.promotion_id, p.restaurant_id, p.campaign_name, p.start_date, p.end_date, p.discount_rate, p.campaign_cost,
+       coalesce(len(l.ids), 0) AS control_stores,
+       '[' || coalesce(array_to_string(l.ids, ', '), '') || ']' AS control_restaurant_ids,
+       CAST(p.start_date - 14 AS DATE) AS comparison_start,
+       CASE WHEN coalesce(len(l.ids), 0) = 0 THEN 'No eligible control stores' ELSE 'Exploratory matched estimate' END
+         AS estimate_status
+FROM promotions p LEFT JOIN l USING (promotion_id)"""
+
+
+@query(
+    "m01_control_selection",
+    typed(
+        with_ctes(["promotions", "restaurants"], CONTROL_SQL),
+        "promotion_id:s, restaurant_id:i, campaign_name:s, start_date:t, end_date:t, discount_rate:d, "
+        "campaign_cost:d, control_stores:i, control_restaurant_ids:s, comparison_start:t, estimate_status:s",
+    ),
+)
+def m01_control_selection(ctx):
+    """Matched peer controls minus campaign-contaminated sites."""
+    return promotions.control_selection(ctx.promotions, ctx.restaurants)
