@@ -20,7 +20,7 @@ from ..sources.adapters import HISTORY_END, HISTORY_START, Source
 from ..sources.tables import DRIVER_TABLES
 
 # Version of the mart definitions; bump when an adapter or mart changes.
-MART_VERSION = "3"
+MART_VERSION = "4"
 _STORED: dict[tuple[str, str], str] = {}
 
 
@@ -40,6 +40,7 @@ class Context:
         self.spark = configure(spark)
         self.folder = folder
         self.src = Source(spark, folder)
+        self.src.order_sites_source = lambda: self.stored("order_sites", self.src.build_order_sites)
 
     # ---- canonical clean facts -----------------------------------------
     @cached_property

@@ -32,6 +32,7 @@ Fixed values of the mapping (they define the test data, keep them together):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -70,6 +71,8 @@ class Source:
 
     spark: SparkSession
     folder: str
+    # optional provider of a stored copy of ``build_order_sites()``
+    order_sites_source: Callable[[], DataFrame] | None = None
 
     def t(self, name: str) -> DataFrame:
         return tables.read_parquet(self.spark, self.folder, name)
@@ -109,6 +112,11 @@ class Source:
     # ---- order attributes -----------------------------------------------
     def order_sites(self) -> DataFrame:
         """One row per order: site, folded date, channel, customer."""
+        if self.order_sites_source is not None:
+            return self.order_sites_source()
+        return self.build_order_sites()
+
+    def build_order_sites(self) -> DataFrame:
         o, c = self.t("orders"), self.t("customer")
         j = o.join(c, o.o_custkey == c.c_custkey)
         key = F.col("o_orderkey")
