@@ -152,6 +152,34 @@ class Context:
             "store_month_kpis", lambda: kpi.store_month_kpis(self.store_day, self.targets, self.restaurants)
         )
 
+    @cached_property
+    def scheduled_hour(self) -> DataFrame:
+        from ..operators import planning
+
+        return self.stored("scheduled_hour", lambda: planning.scheduled_hourly(self.labour))
+
+    @cached_property
+    def planning_hour(self) -> DataFrame:
+        from ..operators import planning
+
+        return planning.planning_hours(self.store_hour, self.scheduled_hour)
+
+    @cached_property
+    def forecast_traces(self) -> DataFrame:
+        from ..operators import forecast
+
+        hist = self.store_day.select("restaurant_id", "business_date", "revenue")
+        return forecast.backtest(hist, self.restaurants.select("restaurant_id"), HISTORY_END)
+
+    @cached_property
+    def forecast_daily(self) -> DataFrame:
+        """Final refit from the last history date with empirical bands."""
+        from ..operators import forecast
+
+        hist = self.store_day.select("restaurant_id", "business_date", "revenue")
+        final = forecast.naive_forecasts(hist, self.restaurants.select("restaurant_id"), [("Future", 0, HISTORY_END)])
+        return forecast.with_bands(final, forecast.error_bands(self.forecast_traces))
+
     # ---- materialised marts ---------------------------------------------
     def stored(self, name: str, build) -> DataFrame:
         """Write ``build()`` once as Parquet under the cluster checkpoint folder
