@@ -152,6 +152,10 @@ class Context:
             "store_month_kpis", lambda: kpi.store_month_kpis(self.store_day, self.targets, self.restaurants)
         )
 
+    @cached_property
+    def action_events(self) -> DataFrame:
+        return self.src.action_events()
+
     @cached_property
     def scheduled_hour(self) -> DataFrame:
         from ..operators import planning

@@ -47,3 +47,4 @@ def load_all() -> None:
     from . import q_decisions  # noqa: F401
     from . import q_promotions  # noqa: F401
     from . import q_planning  # noqa: F401
+    from . import q_actions  # noqa: F401

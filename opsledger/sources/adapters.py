@@ -411,3 +411,25 @@ class Source:
             F.col("c.cat").alias("cost_category"),
             F.col("c.amt").alias("amount"),
         )
+
+    # ---- action evidence log (fixed mapping: event type -> workflow status) --
+    # view -> proposed, click -> approved, purchase -> in progress,
+    # signup -> completed, error -> cancelled; action = user, note = props.
+    ACTION_STATUS = {
+        "view": "proposed",
+        "click": "approved",
+        "purchase": "in progress",
+        "signup": "completed",
+        "error": "cancelled",
+    }
+
+    def action_events(self) -> DataFrame:
+        """Append-only status events (action_id, event_id, created_at, status, note)."""
+        e = self.t("events")
+        status = F.element_at(
+            F.create_map(*[F.lit(x) for kv in self.ACTION_STATUS.items() for x in kv]), F.col("event_type")
+        )
+        return e.select(
+            F.col("user_id").alias("action_id"), "event_id", F.col("ts").alias("created_at"),
+            status.alias("status"), F.col("props").alias("note"), F.col("value"),
+        )
