@@ -20,7 +20,7 @@ from ..sources.adapters import HISTORY_END, HISTORY_START, Source
 from ..sources.tables import DRIVER_TABLES
 
 # Version of the mart definitions; bump when an adapter or mart changes.
-MART_VERSION = "4"
+MART_VERSION = "5"
 _STORED: dict[tuple[str, str], str] = {}
 
 
@@ -152,6 +152,14 @@ class Context:
             "store_month_kpis", lambda: kpi.store_month_kpis(self.store_day, self.targets, self.restaurants)
         )
 
+    @cached_property
+    def forecast_calendar(self) -> DataFrame:
+        """Calendar through the last forecast day (history end + 28 days)."""
+        from datetime import date, timedelta
+
+        end = (date.fromisoformat(HISTORY_END) + timedelta(days=28)).isoformat()
+        return self.src.calendar(HISTORY_START, end)
+
     @cached_property
     def action_events(self) -> DataFrame:
         return self.src.action_events()
