@@ -83,3 +83,31 @@ def f08_model_comparison(ctx):
     m = forecast.metrics(traces, ["evaluation_period", "fold", "model"])
     winner = forecast.select_winner(m)
     return m.crossJoin(F.broadcast(winner)).withColumn("is_winner", F.col("model") == F.col("winner")).drop("winner")
+
+
+# ---------------------------------------------------------------- diagnostics models
+from ..operators import diagnostics_models, kpi  # noqa: E402
+
+
+@query("d01_store_segments")
+def d01_store_segments(ctx):
+    """k-means (k=3, best of 20 seeds) on standardised site rates, named by margin rank."""
+    totals = kpi.store_totals(ctx.store_day, ctx.restaurants)
+    seg = diagnostics_models.site_segments(totals)
+    return seg.select(
+        "restaurant_id", "restaurant_name", "location_type", *diagnostics_models.SEGMENT_FEATURES,
+        "cluster_id", "store_segment",
+    )
+
+
+@query("d03_staffing_association")
+def d03_staffing_association(ctx):
+    """Residualised service-pressure / satisfaction correlation with a site bootstrap range."""
+    return diagnostics_models.staffing_association(ctx.store_day)
+
+
+@query("d04_association_bootstrap")
+def d04_association_bootstrap(ctx):
+    """The 400 site-resample correlations behind the D03 range."""
+    res = diagnostics_models.residualised(diagnostics_models.association_sample(ctx.store_day))
+    return diagnostics_models.site_bootstrap(res)

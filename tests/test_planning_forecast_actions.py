@@ -204,3 +204,49 @@ def test_stream_matches_batch_for_closed_hours(spark):
     closed = batch.join(got.select("window_start").distinct(), "window_start")
     assert got.exceptAll(closed.select(*got.columns)).count() == 0
     assert closed.count() == n
+
+
+# ---------------------------------------------------------------- diagnostics models
+def test_site_bootstrap_equals_replicated_rows(ctx):
+    from opsledger.operators import diagnostics_models as dm
+
+    res = dm.residualised(dm.association_sample(ctx.store_day, min_surveys=1))
+    boot = {r["rep"]: r["correlation"] for r in dm.site_bootstrap(res, reps=5).collect()}
+    pdf = res.toPandas()
+    sites = sorted(pdf.restaurant_id.unique())
+    import hashlib
+
+    for rep in range(5):
+        picks = [int(hashlib.md5(f"{rep}|{pos}|42".encode()).hexdigest()[:8], 16) % len(sites) for pos in range(len(sites))]
+        rows = np.concatenate([pdf[pdf.restaurant_id == sites[i]][["x_res", "y_res"]].to_numpy() for i in picks])
+        assert boot[rep] == pytest.approx(np.corrcoef(rows[:, 0], rows[:, 1])[0, 1], rel=1e-6, abs=1e-9)
+
+
+def test_residual_ridge_matches_closed_form(ctx):
+    from opsledger.operators import diagnostics_models as dm
+
+    sample = dm.association_sample(ctx.store_day, min_surveys=1)
+    res = dm.residualised(sample).toPandas().sort_values(["restaurant_id", "business_date"])
+    s = sample.toPandas().sort_values(["restaurant_id", "business_date"])
+    import pandas as pd
+
+    x = pd.get_dummies(s[["restaurant_id", "weekday", "month"]].astype(str), dtype=float)
+    x["log_orders"] = np.log1p(s.transactions.to_numpy(float))
+    xm = x.to_numpy()
+    xc = xm - xm.mean(0)
+    for target, col in (("service_pressure", "x_res"), ("satisfaction_score", "y_res")):
+        y = s[target].to_numpy(float)
+        w = np.linalg.solve(xc.T @ xc + 1.0 * np.eye(xc.shape[1]), xc.T @ (y - y.mean()))
+        pred = xc @ w + y.mean()
+        assert np.allclose(res[col].to_numpy(), y - pred, atol=1e-6)
+
+
+def test_segments_cover_every_site_with_three_names(ctx):
+    from opsledger.operators import diagnostics_models as dm
+    from opsledger.operators import kpi
+
+    seg = dm.site_segments(kpi.store_totals(ctx.store_day, ctx.restaurants), n_init=3).toPandas()
+    assert len(seg) == ctx.restaurants.count()
+    assert set(seg.store_segment) == set(dm.SEGMENT_NAMES)
+    m = seg.groupby("store_segment").operating_margin_pct.mean()
+    assert m["Needs support"] <= m["Stable"] <= m["Efficient"]
