@@ -50,3 +50,4 @@ def load_all() -> None:
     from . import q_actions  # noqa: F401
     from . import q_forecast  # noqa: F401
     from . import q_bundle  # noqa: F401
+    from . import q_feeds  # noqa: F401
