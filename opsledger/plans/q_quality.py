@@ -498,3 +498,60 @@ FROM raw_transactions t LEFT JOIN restaurants r USING (restaurant_id)""",
 def p06_name_repairs(ctx):
     """Store names replaced from the master by id; count of changed lines."""
     return quality.name_mismatches(ctx.raw_transactions, ctx.restaurants)
+
+
+# ---------------------------------------------------------------- P04 / P05
+cte(
+    "raw_products",
+    ["products"],
+    """SELECT product_id, product_name,
+       CASE WHEN product_id % 11 = 0 THEN CASE category WHEN 'ECONOMY' THEN 'LARGE' WHEN 'LARGE' THEN 'MEDIUM'
+                 WHEN 'MEDIUM' THEN 'PROMO' WHEN 'PROMO' THEN 'SMALL' WHEN 'SMALL' THEN 'STANDARD'
+                 WHEN 'STANDARD' THEN 'ECONOMY' END
+            WHEN product_id % 7 = 0 THEN '  ' || lower(category) || ' '
+            ELSE category END AS category,
+       menu_price_ex_gst, standard_ingredient_cost
+FROM products""",
+)
+_ALIAS_SQL = "CASE lower(trim(category)) " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in quality.CATEGORY_ALIASES.items()
+) + " END"
+
+
+@query(
+    "p04_category_aliases",
+    typed(
+        with_ctes(
+            ["raw_products"],
+            f"""SELECT product_id, category AS raw_category, {_ALIAS_SQL} AS category,
+       category IS DISTINCT FROM {_ALIAS_SQL} AS alias_mapped
+FROM raw_products""",
+        ),
+        "product_id:i, raw_category:s, category:s, alias_mapped:b",
+    ),
+)
+def p04_category_aliases(ctx):
+    """Category text normalised by strip + lower + alias map; unknown raises."""
+    return quality.normalise_categories(ctx.src.raw_products()).select(
+        "product_id", "raw_category", "category", "alias_mapped"
+    )
+
+
+@query(
+    "p05_taxonomy_override",
+    typed(
+        with_ctes(
+            ["raw_products", "products"],
+            f"""SELECT r.product_id, {_ALIAS_SQL.replace('category', 'r.category')} AS source_category,
+       p.category AS category, {_ALIAS_SQL.replace('category', 'r.category')} IS DISTINCT FROM p.category AS corrected
+FROM raw_products r LEFT JOIN products p USING (product_id)""",
+        ),
+        "product_id:i, source_category:s, category:s, corrected:b",
+    ),
+)
+def p05_taxonomy_override(ctx):
+    """Approved master taxonomy beats the (alias-normalised) source; corrections flagged."""
+    norm = quality.normalise_categories(ctx.src.raw_products())
+    return quality.override_taxonomy(norm, ctx.products.select("product_id", "category")).select(
+        "product_id", "source_category", "category", "corrected"
+    )

@@ -433,3 +433,28 @@ class Source:
             F.col("user_id").alias("action_id"), "event_id", F.col("ts").alias("created_at"),
             status.alias("status"), F.col("props").alias("note"), F.col("value"),
         )
+
+    # ---- raw product export with planted taxonomy defects (fixed mapping) ----
+    # key mod 7 = 0: category written in lower case with padding (an alias);
+    # key mod 11 = 0: a valid but wrong category, rotated
+    #   ECONOMY -> LARGE -> MEDIUM -> PROMO -> SMALL -> STANDARD -> ECONOMY.
+    CATEGORY_ROTATION = {
+        "ECONOMY": "LARGE",
+        "LARGE": "MEDIUM",
+        "MEDIUM": "PROMO",
+        "PROMO": "SMALL",
+        "SMALL": "STANDARD",
+        "STANDARD": "ECONOMY",
+    }
+
+    def raw_products(self) -> DataFrame:
+        p = self.products()
+        rot = F.element_at(
+            F.create_map(*[F.lit(x) for kv in self.CATEGORY_ROTATION.items() for x in kv]), F.col("category")
+        )
+        cat = (
+            F.when(F.col("product_id") % 11 == 0, rot)
+            .when(F.col("product_id") % 7 == 0, F.concat(F.lit("  "), F.lower("category"), F.lit(" ")))
+            .otherwise(F.col("category"))
+        )
+        return p.withColumn("category", cat)
