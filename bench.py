@@ -24,6 +24,10 @@ HEADLINE = [
     "d02_sales_anomalies",
     "x01_scenario_grid",
     "x06_profit_bridges",
+    "m03_promotion_effectiveness",
+    "l02_hourly_plan",
+    "e03_transition_audit",
+    "f01_feature_matrix",
 ]
 
 
