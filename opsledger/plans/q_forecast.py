@@ -111,3 +111,21 @@ def d04_association_bootstrap(ctx):
     """The 400 site-resample correlations behind the D03 range."""
     res = diagnostics_models.residualised(diagnostics_models.association_sample(ctx.store_day))
     return diagnostics_models.site_bootstrap(res)
+
+
+@query("f04_gbt_backtest")
+def f04_gbt_backtest(ctx):
+    """Gradient-boosted trees challenger: 120 iterations, depth 4, step 0.06, recursive
+    28-day traces per fold and holdout (F04, F05).  No number parity with the
+    reference's histogram boosting; checked by protocol (see tests)."""
+    hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
+    rows = ctx.stored(
+        "forecast_features",
+        lambda: forecast_models.feature_rows(hist, ctx.restaurants, ctx.calendar, HISTORY_START),
+    )
+    return forecast_models.gbt_backtest(
+        hist, ctx.restaurants, ctx.forecast_calendar, _origins(), HISTORY_START, rows=rows
+    ).select(
+        "restaurant_id", "business_date", "horizon_day", "forecast_revenue", "model", "origin_date",
+        "evaluation_period", "fold", "actual_revenue",
+    )
