@@ -260,6 +260,9 @@ def recursive_gbt_forecast(
     site; the 28-value state array is carried as a column.  The loop length is the
     horizon (not the data); lineage is cut with reliable ``checkpoint()`` every
     ``checkpoint_every`` days (files under spark.checkpoint.dir)."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(history.sparkSession)  # the cluster's folder; a scratch one only when unset
     site_ids = [int(n.split("_")[1]) for n in names if n.startswith("store_")]
     cols = design(site_ids)
     o = F.lit(origin).cast("date")

@@ -250,3 +250,19 @@ def test_segments_cover_every_site_with_three_names(ctx):
     assert set(seg.store_segment) == set(dm.SEGMENT_NAMES)
     m = seg.groupby("store_segment").operating_margin_pct.mean()
     assert m["Needs support"] <= m["Stable"] <= m["Efficient"]
+
+
+def test_gbt_forecast_ignores_poisoned_future(ctx):
+    hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
+    poisoned = hist.withColumn(
+        "revenue", F.when(F.col("business_date") > F.lit(ORIGIN).cast("date"), F.lit(1e9)).otherwise(F.col("revenue"))
+    )
+    cal = ctx.forecast_calendar
+    o = [("Validation", 1, ORIGIN)]
+    a = forecast_models.gbt_backtest(hist, ctx.restaurants, cal, o, HISTORY_START, horizon=7)
+    b = forecast_models.gbt_backtest(poisoned, ctx.restaurants, cal, o, HISTORY_START, horizon=7)
+    cols = ["restaurant_id", "business_date", "forecast_revenue"]
+    ra, rb = sorted(a.select(*cols).collect()), sorted(b.select(*cols).collect())
+    assert len(ra) == ctx.restaurants.count() * 7
+    assert ra == rb
+    assert min(r["forecast_revenue"] for r in ra) >= 0
