@@ -72,6 +72,10 @@ def f03_ridge_backtest(ctx):
 def f08_model_comparison(ctx):
     """Per period / fold / model metrics of seasonal naive and ridge, with the
     validation-MAE winner flagged (F06, F08)."""
+    return _comparison(ctx)
+
+
+def _comparison(ctx):
     traces = ctx.forecast_traces.select(
         "restaurant_id", "business_date", "forecast_revenue", "model", "evaluation_period", "fold", "actual_revenue"
     ).unionByName(
@@ -129,3 +133,24 @@ def f04_gbt_backtest(ctx):
         "restaurant_id", "business_date", "horizon_day", "forecast_revenue", "model", "origin_date",
         "evaluation_period", "fold", "actual_revenue",
     )
+
+
+@query("x10_findings")
+def x10_findings(ctx):
+    """Eight evidence-backed findings with formatted evidence sentences."""
+    from ..operators import diagnostics, feeds, findings, marts, promotions
+    from .q_analysis import _profiles
+    from .q_promotions import _effects
+
+    latest = diagnostics.latest_opportunities(ctx.store_month_kpis, ctx.restaurants, "2025-10")
+    return findings.findings(
+        peer_gaps=feeds.peer_margin_gaps(latest),
+        store_hour=ctx.store_hour,
+        opportunities=latest,
+        promotion_summary=promotions.promotion_summary(_effects(ctx)),
+        categories=diagnostics.category_contribution(marts.product_month(ctx.transactions, ctx.products)),
+        profiles=_profiles(ctx),
+        association=diagnostics_models.staffing_association(ctx.store_day),
+        model_metrics=_comparison(ctx),
+        forecast_daily=ctx.forecast_daily,
+    )
