@@ -123,3 +123,21 @@ def fingerprints(events: DataFrame) -> DataFrame:
     return events.groupBy("action_id").agg(
         F.count(F.lit(1)).alias("events"), F.bit_xor(h).alias("fingerprint")
     )
+
+
+def append_events(events: DataFrame, path: str, key: str = "event_id") -> int:
+    """Append-only event table (E01): rows whose ``key`` is already stored are
+    skipped (left anti join), so a retried append adds nothing twice; existing
+    files are never rewritten.  Partitioned by event date.  Returns rows added."""
+    spark = events.sparkSession
+    jvm = spark._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
+    new = events
+    if fs.exists(hpath):
+        new = events.join(spark.read.parquet(path).select(key), key, "left_anti")
+    new = new.withColumn("event_date", F.to_date("created_at"))
+    n = new.count()
+    if n:
+        new.write.mode("append").partitionBy("event_date").parquet(path)
+    return n

@@ -107,3 +107,30 @@ def forecast_store_totals(forecast_daily: DataFrame) -> DataFrame:
     return forecast_daily.groupBy("restaurant_id").agg(
         F.sum("forecast_revenue").alias("forecast_revenue"), F.count(F.lit(1)).alias("days")
     )
+
+
+def top_anomalies(anomalies: DataFrame, k: int = 10) -> DataFrame:
+    """The ``k`` largest |robust z| site-days, ties broken by site and date (K02;
+    the limit is the feature, a top-k report)."""
+    a = anomalies.filter(F.col("robust_z").isNotNull())
+    return a.orderBy(F.abs("robust_z").desc(), "restaurant_id", "business_date").limit(k)
+
+
+def store_dimension(fact: DataFrame) -> DataFrame:
+    """Distinct site attributes present in a fact."""
+    return fact.select("restaurant_id", "restaurant_name", "state", "location_type", "area").distinct()
+
+
+def scope_lists(monthly: DataFrame) -> DataFrame:
+    """Scope pickers: per state the site list and the months, newest first.
+    The sets are bounded by the sites of one state and the months of history."""
+    return monthly.groupBy("state").agg(
+        F.array_sort(F.collect_set("restaurant_id")).alias("_ids"),
+        F.reverse(F.array_sort(F.collect_set("month"))).alias("_months"),
+    ).select(
+        "state",
+        F.array_join(F.col("_ids").cast("array<string>"), ", ").alias("restaurant_ids"),
+        F.size("_months").alias("months"),
+        F.element_at("_months", 1).alias("latest_month"),
+        F.element_at("_months", -1).alias("first_month"),
+    )

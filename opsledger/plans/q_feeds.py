@@ -181,3 +181,58 @@ def a42_cost_shares(ctx):
 def a39_forecast_store_totals(ctx):
     """Forecast total per site over the next 28 days."""
     return feeds.forecast_store_totals(ctx.forecast_daily)
+
+
+from .q_analysis import ANOM_SQL  # noqa: E402
+
+
+@query(
+    "k02_top_anomalies",
+    typed(
+        with_ctes(
+            ["store_day_ledger"],
+            f"""SELECT restaurant_id, business_date, revenue, prior_median, robust_z FROM ({ANOM_SQL})
+WHERE robust_z IS NOT NULL ORDER BY abs(robust_z) DESC, restaurant_id, business_date LIMIT 10""",
+        ),
+        "restaurant_id:i, business_date:t, revenue:d, prior_median:d, robust_z:d",
+    ),
+)
+def k02_top_anomalies(ctx):
+    """Ten largest robust-z site-days (K02 top-k; the limit is the report)."""
+    d = ctx.store_day.select(
+        "restaurant_id", "restaurant_name", "business_date", "weekday", "revenue", "is_public_holiday", "promotion_id"
+    )
+    a = diagnostics.sales_anomalies(d)
+    return feeds.top_anomalies(a).select("restaurant_id", "business_date", "revenue", "prior_median", "robust_z")
+
+
+@query(
+    "u02_store_dimension",
+    typed(
+        with_ctes(
+            ["store_day_ledger"],
+            "SELECT DISTINCT restaurant_id, restaurant_name, state, location_type, area FROM store_day_ledger",
+        ),
+        "restaurant_id:i, restaurant_name:s, state:s, location_type:s, area:s",
+    ),
+)
+def u02_store_dimension(ctx):
+    """Distinct site dimension from the daily fact."""
+    return feeds.store_dimension(ctx.store_day)
+
+
+@query(
+    "p02_scope_lists",
+    typed(
+        with_ctes(
+            ["store_month_kpis"],
+            """SELECT state, array_to_string(list_sort(list(DISTINCT restaurant_id)), ', ') AS restaurant_ids,
+       count(DISTINCT month) AS months, max(month) AS latest_month, min(month) AS first_month
+FROM store_month_kpis GROUP BY state""",
+        ),
+        "state:s, restaurant_ids:s, months:i, latest_month:s, first_month:s",
+    ),
+)
+def p02_scope_lists(ctx):
+    """Per state: site list and month range for scope pickers."""
+    return feeds.scope_lists(ctx.store_month_kpis)

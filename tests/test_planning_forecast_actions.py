@@ -266,3 +266,38 @@ def test_gbt_forecast_ignores_poisoned_future(ctx):
     assert len(ra) == ctx.restaurants.count() * 7
     assert ra == rb
     assert min(r["forecast_revenue"] for r in ra) >= 0
+
+
+# ---------------------------------------------------------------- append-only log, bundle metadata and gate
+def test_append_only_event_log_is_idempotent(ctx):
+    path = tempfile.mkdtemp(prefix="opsledger-events-") + "/log"
+    ev = ctx.action_events
+    n = ev.count()
+    assert actions.append_events(ev, path) == n
+    assert actions.append_events(ev, path) == 0  # a retried append adds nothing
+    assert ctx.spark.read.parquet(path).count() == n
+
+
+def test_schema_dictionary_and_grain_catalog(ctx, spark):
+    from opsledger.operators import bundle
+
+    d = bundle.schema_dictionary(spark, {"store_day": ctx.store_day}, bundle.KEYS).collect()
+    assert {r["field"] for r in d} == set(ctx.store_day.columns)
+    assert {r["field"] for r in d if r["is_pk"]} == {"restaurant_id", "business_date"}
+    g = {r["dataset"]: r["grain_keys"] for r in bundle.grain_catalog(spark).collect()}
+    assert g["store_hour"] == "restaurant_id, business_date, hour"
+
+
+def test_bundle_gate_passes_and_fails(ctx, spark):
+    from opsledger.operators import bundle
+    from opsledger.plans import registry
+
+    from conftest import SF
+
+    registry.load_all()
+    checks = registry.QUERIES["q17_bundle_checks"](spark, SF)
+    bundle.raise_on_fail(checks)  # every check passes on the built marts
+    dup = ctx.store_day.unionByName(ctx.store_day.limit(1))
+    bad = bundle.key_checks("store_day", dup, bundle.KEYS["store_day"], ctx.restaurants.select("restaurant_id"))
+    with pytest.raises(ValueError, match="store_day: complete unique key"):
+        bundle.raise_on_fail(bad[0])
