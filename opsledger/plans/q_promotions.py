@@ -77,7 +77,7 @@ DAY_SPEC = (
 @query("m02_counterfactual_days", typed(with_ctes(["campaign_days"], "SELECT * FROM campaign_days"), DAY_SPEC))
 def m02_counterfactual_days(ctx):
     """Per campaign day: treated(d-14) x peer mean(d) / peer mean(d-14), deltas."""
-    return promotions.counterfactual_days(ctx.promotions, ctx.restaurants, ctx.store_day)
+    return _days(ctx)
 
 
 def _defined(c: str) -> str:
@@ -132,8 +132,16 @@ EFFECT_SPEC = (
 )
 
 
+def _days(ctx):
+    """Per campaign-day table, written once under the checkpoint folder (it feeds
+    both the estimates and the bootstrap)."""
+    return ctx.stored(
+        "campaign_days", lambda: promotions.counterfactual_days(ctx.promotions, ctx.restaurants, ctx.store_day)
+    )
+
+
 def _effects(ctx):
-    return promotions.promotion_effectiveness(ctx.promotions, ctx.restaurants, ctx.store_day)
+    return promotions.promotion_effectiveness(ctx.promotions, ctx.restaurants, ctx.store_day, days=_days(ctx))
 
 
 @query(
