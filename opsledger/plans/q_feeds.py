@@ -236,3 +236,27 @@ FROM store_month_kpis GROUP BY state""",
 def p02_scope_lists(ctx):
     """Per state: site list and month range for scope pickers."""
     return feeds.scope_lists(ctx.store_month_kpis)
+
+
+@query(
+    "w08_recent_tail",
+    typed(
+        with_ctes(
+            ["store_day_ledger"],
+            f"""SELECT business_date, {msum('revenue')} AS revenue, sum(transactions) AS transactions
+FROM store_day_ledger WHERE business_date > (SELECT max(business_date) FROM store_day_ledger) - 56
+GROUP BY business_date""",
+        ),
+        "business_date:t, revenue:d, transactions:i",
+    ),
+)
+def w08_recent_tail(ctx):
+    """Chain daily revenue and orders over the last 56 days of the spine."""
+    from pyspark.sql import functions as F
+
+    from ..functions.semantics import money_sum
+
+    d = ctx.store_day
+    last = d.select(F.max("business_date")).scalar()
+    tail = d.filter(F.col("business_date") > F.date_sub(last, 56))
+    return tail.groupBy("business_date").agg(money_sum("revenue").alias("revenue"), F.sum("transactions").alias("transactions"))

@@ -54,8 +54,12 @@ def _ridge_traces(ctx):
         "forecast_features",
         lambda: forecast_models.feature_rows(hist, ctx.restaurants, ctx.calendar, HISTORY_START),
     )
-    return forecast_models.ridge_backtest(
-        hist, ctx.restaurants, ctx.forecast_calendar, _origins(), HISTORY_START, rows=rows
+    # four fits feed f03, f08 and x10: write the traces once under the checkpoint folder
+    return ctx.stored(
+        "ridge_traces",
+        lambda: forecast_models.ridge_backtest(
+            hist, ctx.restaurants, ctx.forecast_calendar, _origins(), HISTORY_START, rows=rows
+        ),
     )
 
 
