@@ -301,3 +301,29 @@ def test_bundle_gate_passes_and_fails(ctx, spark):
     bad = bundle.key_checks("store_day", dup, bundle.KEYS["store_day"], ctx.restaurants.select("restaurant_id"))
     with pytest.raises(ValueError, match="store_day: complete unique key"):
         bundle.raise_on_fail(bad[0])
+
+
+# ---------------------------------------------------------------- sources and sinks
+def test_csv_gzip_and_json_round_trip(ctx, spark):
+    import os
+
+    from pyspark.sql.types import DateType, DoubleType, LongType, StructField, StructType
+
+    from opsledger.sources import tables
+
+    df = ctx.store_day.select("restaurant_id", "business_date", "revenue", "overhead_cost").limit(50)
+    df = df.withColumn("overhead_cost", F.when(F.col("restaurant_id") % 2 == 0, F.lit(None)).otherwise(F.col("overhead_cost")))
+    schema = StructType([
+        StructField("restaurant_id", LongType()), StructField("business_date", DateType()),
+        StructField("revenue", DoubleType()), StructField("overhead_cost", DoubleType()),
+    ])
+    base = tempfile.mkdtemp(prefix="opsledger-io-")
+    tables.write_csv(df, os.path.join(base, "plain.csv"))
+    tables.write_csv(df, os.path.join(base, "packed.csv.gz"), gzip=True)
+    want = sorted((r[0], r[1], round(r[2], 8), None if r[3] is None else round(r[3], 8)) for r in df.collect())
+    for name in ("plain", "packed"):
+        back = tables.read_csv(spark, base, name, schema).collect()
+        got = sorted((r[0], r[1], r[2], r[3]) for r in back)
+        assert got == want  # empty fields come back null, never 0
+    tables.write_json(df, os.path.join(base, "rows.json"))
+    assert spark.read.json(os.path.join(base, "rows.json")).count() == df.count()
