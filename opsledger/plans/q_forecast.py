@@ -158,3 +158,28 @@ def x10_findings(ctx):
         model_metrics=_comparison(ctx),
         forecast_daily=ctx.forecast_daily,
     )
+
+
+@query("f10_winner_forecast")
+def f10_winner_forecast(ctx):
+    """Final 28-day refit with the validation winner of naive vs ridge, with that
+    model's empirical 80 % bands (F08 -> F09 -> F10).  The winner is a one-row
+    scalar; the refit is one fit on all history through the last date."""
+    from ..operators import forecast
+
+    winner = forecast.select_winner(_comparison(ctx)).first()["winner"]
+    if winner != forecast_models.MODEL:
+        f = ctx.forecast_daily.withColumn("model", F.lit(forecast.MODEL))
+    else:
+        hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
+        rows = ctx.stored(
+            "forecast_features",
+            lambda: forecast_models.feature_rows(hist, ctx.restaurants, ctx.calendar, HISTORY_START),
+        )
+        ids = [int(r[0]) for r in ctx.restaurants.select("restaurant_id").orderBy("restaurant_id").collect()]
+        fit = forecast_models.fit_ridge(rows, ids)
+        final = forecast_models.recursive_forecast(
+            fit, hist, ctx.restaurants, ctx.forecast_calendar, HISTORY_END, HISTORY_START
+        )
+        f = forecast.with_bands(final, forecast.error_bands(_ridge_traces(ctx)))
+    return f.select("restaurant_id", "business_date", "origin_date", "forecast_revenue", "lower_80", "upper_80", "model")
