@@ -327,3 +327,28 @@ def test_csv_gzip_and_json_round_trip(ctx, spark):
         assert got == want  # empty fields come back null, never 0
     tables.write_json(df, os.path.join(base, "rows.json"))
     assert spark.read.json(os.path.join(base, "rows.json")).count() == df.count()
+
+
+def test_stateful_audit_stream_equals_batch_across_batches(ctx, spark):
+    import os
+
+    import pyarrow.parquet as pq
+
+    from conftest import SF
+
+    from opsledger.streaming import action_state
+
+    t = pq.read_table(os.path.join(SF, "events.parquet")).to_pandas()
+    cut = t.ts.sort_values().iloc[len(t) // 2]
+    src = tempfile.mkdtemp(prefix="opsledger-state-src-")
+    t[t.ts < cut].to_parquet(os.path.join(src, "events-0.parquet"), index=False)
+    t[t.ts >= cut].to_parquet(os.path.join(src, "events-1.parquet"), index=False)
+    q = action_state.start_audit(spark, src, "audit_state_test", checkpoint=tempfile.mkdtemp(prefix="opsledger-state-ckpt-"))
+    q.awaitTermination(300)
+    got = spark.sql("SELECT action_id, max_by(struct(events, violations, current_status), events) AS s "
+                    "FROM audit_state_test GROUP BY action_id").select("action_id", "s.*")
+    want = actions.violation_summary(actions.transition_audit(ctx.action_events)).join(
+        actions.current_state(ctx.action_events).select("action_id", "current_status"), "action_id"
+    )
+    cols = ["action_id", "events", "violations", "current_status"]
+    assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
