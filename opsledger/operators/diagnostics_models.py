@@ -22,7 +22,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import ratio
+from ..functions.semantics import broadcast_if_small, ratio
 
 SEGMENT_FEATURES = [
     "operating_margin_pct",
@@ -67,7 +67,7 @@ def site_segments(
             F.row_number().over(Window.orderBy("_m", "cluster_id")).cast("int"),  # k rows
         ).alias("store_segment"),
     )
-    return labelled.join(F.broadcast(rank), "cluster_id")
+    return labelled.join(F.broadcast(rank), "cluster_id")  # k rows
 
 
 def _ridge_residual(df: DataFrame, label: str, feature_cols: list[str], alpha: float) -> Column:
@@ -147,7 +147,7 @@ def site_bootstrap(res: DataFrame, reps: int = 400, seed: int = 42) -> DataFrame
         "rep", F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.col("n_sites").cast("long")).alias("site_index")
     )
     weights = draws.groupBy("rep", "site_index").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    j = weights.join(F.broadcast(idx.drop("n_sites")), "site_index")
+    j = weights.join(broadcast_if_small(idx.drop("n_sites")), "site_index")
     agg = j.groupBy("rep").agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     return agg.select("rep", _corr(*[F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]).alias("correlation"))
 

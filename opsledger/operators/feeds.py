@@ -20,12 +20,12 @@ def peer_margin_gaps(latest: DataFrame) -> DataFrame:
     g = latest.groupBy("location_type").agg(
         F.sum("operating_profit").alias("_gp"), F.sum("revenue").alias("_gr"), F.count(F.lit(1)).alias("_n")
     )
-    p = latest.join(F.broadcast(g), "location_type")
+    p = latest.join(F.broadcast(g), "location_type")  # one row per peer group
     peer = ratio(F.col("_gp") - F.col("operating_profit"), F.col("_gr") - F.col("revenue"))
     p = p.withColumn("peer_margin_pct", F.when(F.col("_n") > 1, peer))
     weakest = latest.agg(F.min_by("restaurant_id", F.struct("operating_margin_pct", "restaurant_id")).alias("_w"))
     return (
-        p.crossJoin(F.broadcast(weakest))
+        p.crossJoin(F.broadcast(weakest))  # one row
         .select(
             "restaurant_id", "location_type", "revenue", "operating_profit", "operating_margin_pct",
             "labour_cost_pct", "waste_pct", "peer_margin_pct",

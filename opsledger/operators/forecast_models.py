@@ -28,7 +28,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import clip_lower, weekday
+from ..functions.semantics import broadcast_if_small, clip_lower, weekday
 
 MODEL = "Calendar ridge"
 LAGS = ("lag7", "lag28", "mean28")
@@ -61,7 +61,7 @@ def feature_rows(history: DataFrame, restaurants: DataFrame, calendar: DataFrame
     hol = calendar.select("business_date", "state", F.col("is_public_holiday").alias("holiday"))
     sites = restaurants.select("restaurant_id", "state")
     return (
-        h.join(F.broadcast(sites), "restaurant_id")
+        h.join(broadcast_if_small(sites), "restaurant_id")
         .join(hol, ["business_date", "state"])
         .drop("state")
         .withColumns(calendar_columns(start_date))
