@@ -260,3 +260,47 @@ def w08_recent_tail(ctx):
     last = d.select(F.max("business_date")).scalar()
     tail = d.filter(F.col("business_date") > F.date_sub(last, 56))
     return tail.groupBy("business_date").agg(money_sum("revenue").alias("revenue"), F.sum("transactions").alias("transactions"))
+
+
+# ---------------------------------------------------------------- forecast metric feeds
+from ..operators import forecast  # noqa: E402
+from .q_analysis import _MET  # noqa: E402
+
+_STORE_MET = _MET.replace("SELECT evaluation_period, fold, model,", "SELECT evaluation_period, model, restaurant_id,").replace(
+    "GROUP BY evaluation_period, fold, model", "GROUP BY evaluation_period, model, restaurant_id"
+)
+
+
+@query(
+    "f06_store_metrics",
+    typed(
+        with_ctes(["traces"], _STORE_MET),
+        "evaluation_period:s, model:s, restaurant_id:i, mae:d, rmse:d, mape:d, wape:d, observations:i",
+    ),
+)
+def f06_store_metrics(ctx):
+    """MAE / RMSE / MAPE / WAPE per period, model and site (F06, A40 at site grain)."""
+    return forecast.metrics(ctx.forecast_traces, ["evaluation_period", "model", "restaurant_id"])
+
+
+@query(
+    "a39_mean_fold_metrics",
+    typed(
+        with_ctes(
+            ["traces"],
+            f"""SELECT model, avg(mae) AS mean_mae, avg(rmse) AS mean_rmse, avg(mape) AS mean_mape, avg(wape) AS mean_wape,
+       count(*) AS folds
+FROM ({_MET}) WHERE evaluation_period = 'Validation' GROUP BY model""",
+        ),
+        "model:s, mean_mae:d, mean_rmse:d, mean_mape:d, mean_wape:d, folds:i",
+    ),
+)
+def a39_mean_fold_metrics(ctx):
+    """Mean validation-fold metrics per model."""
+    from pyspark.sql import functions as F
+
+    m = forecast.metrics(ctx.forecast_traces, ["evaluation_period", "fold", "model"])
+    return m.filter(F.col("evaluation_period") == "Validation").groupBy("model").agg(
+        F.avg("mae").alias("mean_mae"), F.avg("rmse").alias("mean_rmse"), F.avg("mape").alias("mean_mape"),
+        F.avg("wape").alias("mean_wape"), F.count(F.lit(1)).alias("folds"),
+    )
