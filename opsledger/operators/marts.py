@@ -291,6 +291,9 @@ def allocate_hours(
             )
         ).alias("hour"),
     )
+    # a shift wholly outside the trading hours yields a descending sequence: keep
+    # only buckets inside the hours, so nothing is allocated outside them
+    s = s.filter(F.col("hour").between(lo, hi))
     b0 = F.make_timestamp_ntz(
         F.year("business_date"), F.month("business_date"), F.dayofmonth("business_date"),
         F.col("hour"), F.lit(0), F.lit(0),

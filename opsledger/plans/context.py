@@ -20,7 +20,7 @@ from ..sources.adapters import HISTORY_END, HISTORY_START, Source
 from ..sources.tables import DRIVER_TABLES
 
 # Version of the mart definitions; bump when an adapter or mart changes.
-MART_VERSION = "5"
+MART_VERSION = "6"
 _STORED: dict[tuple[str, str], str] = {}
 
 

@@ -352,3 +352,12 @@ def test_stateful_audit_stream_equals_batch_across_batches(ctx, spark):
     )
     cols = ["action_id", "events", "violations", "current_status"]
     assert sorted(got.select(*cols).collect()) == sorted(want.select(*cols).collect())
+
+
+def test_shift_outside_trading_hours_allocates_nothing(spark):
+    from opsledger.operators import marts
+
+    s = _shift(spark, dt.time(22), dt.time(23), brk=0.0)
+    dur = F.timestamp_diff("SECOND", F.col("scheduled_start"), F.col("scheduled_end")) / 3600.0
+    rows = marts.allocate_hours(s, "scheduled_start", "scheduled_end", dur).collect()
+    assert all(r["paid_alloc"] == 0 for r in rows) and all(11 <= r["hour"] <= 21 for r in rows)
