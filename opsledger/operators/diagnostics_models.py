@@ -95,10 +95,16 @@ def association_sample(daily: DataFrame, min_surveys: int = 3, orders_per_servic
 def residualised(sample: DataFrame, alpha: float = 1.0) -> DataFrame:
     """x = service pressure, y = satisfaction, both minus their ridge fit on the controls."""
     levels = sample.agg(
+        F.count(F.lit(1)).alias("n"),
         F.array_sort(F.collect_set("restaurant_id")).alias("s"),
         F.array_sort(F.collect_set("weekday")).alias("w"),
         F.array_sort(F.collect_set("month")).alias("m"),
     ).first()  # distinct levels of three low-cardinality dimensions
+    if levels["n"] < 2:  # nothing to fit: no residuals (the correlation stays null)
+        return sample.select(
+            "restaurant_id", "business_date",
+            F.lit(None).cast("double").alias("x_res"), F.lit(None).cast("double").alias("y_res"),
+        ).filter(F.lit(False))
     cols: dict[str, Column] = {}
     for v in levels["s"]:
         cols[f"restaurant_id_{v}"] = (F.col("restaurant_id") == v).cast("double")

@@ -361,3 +361,12 @@ def test_shift_outside_trading_hours_allocates_nothing(spark):
     dur = F.timestamp_diff("SECOND", F.col("scheduled_start"), F.col("scheduled_end")) / 3600.0
     rows = marts.allocate_hours(s, "scheduled_start", "scheduled_end", dur).collect()
     assert all(r["paid_alloc"] == 0 for r in rows) and all(11 <= r["hour"] <= 21 for r in rows)
+
+
+def test_association_on_empty_sample_is_null_not_error(ctx):
+    from opsledger.operators import diagnostics_models as dm
+
+    empty = ctx.store_day.filter(F.lit(False))
+    r = dm.staffing_association(empty).collect()
+    assert len(r) == 1 and r[0]["store_days"] == 0 and r[0]["controlled_correlation"] is None
+    assert dm.site_bootstrap(dm.residualised(dm.association_sample(empty)), reps=3).count() == 0
