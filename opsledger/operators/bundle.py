@@ -41,16 +41,21 @@ def preview(df: DataFrame, keys: list[str], n: int = 100) -> DataFrame:
 def trailing_days(df: DataFrame, days: int = 92, date_col: str = "business_date") -> DataFrame:
     """Rows of the last ``days`` days ending at the table's latest date.
 
-    The cut-off is a scalar subquery inside the plan; the filter on the date
-    column prunes partitions when the table is partitioned by date."""
-    last = df.select(F.max(date_col)).scalar()
-    return df.filter(F.col(date_col) >= F.date_sub(last, days - 1))
+    The cut-off is resolved first as one scalar (a max over the date column
+    only), so the filter reaches the scan as a literal: it is pushed into the
+    Parquet reader (row-group skipping) and prunes date partitions."""
+    last = df.agg(F.max(date_col)).first()[0]
+    if last is None:
+        return df.limit(0)
+    return df.filter(F.col(date_col) >= F.date_sub(F.lit(last), days - 1))
 
 
 def trailing_months(df: DataFrame, daily: DataFrame, days: int = 92, month_col: str = "month") -> DataFrame:
     """Monthly rows from the month of the daily cut-off onwards."""
-    start = daily.select(F.date_sub(F.max("business_date"), days - 1)).scalar()
-    return df.filter(F.col(month_col) >= F.date_format(start, "yyyy-MM"))
+    start = daily.agg(F.date_format(F.date_sub(F.max("business_date"), days - 1), "yyyy-MM")).first()[0]
+    if start is None:
+        return df.limit(0)
+    return df.filter(F.col(month_col) >= F.lit(start))
 
 
 def source_manifest(spark: SparkSession, folder: str, names: list[str]) -> DataFrame:
