@@ -52,6 +52,13 @@ def site_segments(
         ],
     )
     vec = VectorAssembler(inputCols=[f"_z{i}" for i in range(len(features))], outputCol="_features").transform(z)
+    # every start reads the same standardised sites: materialise them once in the
+    # cluster's checkpoint folder (reliable, survives executor loss) instead of
+    # recomputing the site totals for each fit
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(vec.sparkSession)
+    vec = vec.checkpoint()
     best = None
     for i in range(n_init):  # one small fit per start; the data are one row per site
         model = KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="cluster_id", maxIter=300).fit(vec)
