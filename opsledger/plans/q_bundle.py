@@ -3,7 +3,7 @@ mart bundle audit (S08, S09, S10, Q17)."""
 
 from __future__ import annotations
 
-from ..operators import bundle, kpi, marts, planning, promotions
+from ..operators import bundle, marts, planning
 from ..sources.tables import DRIVER_TABLES
 from .oracle_base import cte, typed, with_ctes
 from .q_marts import KPI_SQL

@@ -3,8 +3,6 @@ plan and its daily roll-up (H02, H04, L01-L03, A38, F10)."""
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..operators import planning
 from ..sources.adapters import HISTORY_END
 from .oracle_base import cte, snap, typed, with_ctes
