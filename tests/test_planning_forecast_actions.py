@@ -370,3 +370,18 @@ def test_association_on_empty_sample_is_null_not_error(ctx):
     r = dm.staffing_association(empty).collect()
     assert len(r) == 1 and r[0]["store_days"] == 0 and r[0]["controlled_correlation"] is None
     assert dm.site_bootstrap(dm.residualised(dm.association_sample(empty)), reps=3).count() == 0
+
+
+def test_winner_forecast_and_findings_shape(ctx, spark):
+    from opsledger.plans import registry
+
+    from conftest import SF
+
+    registry.load_all()
+    f = registry.QUERIES["f10_winner_forecast"](spark, SF).toPandas()
+    assert len(f) == ctx.restaurants.count() * 28
+    assert (f.forecast_revenue >= 0).all() and (f.lower_80.dropna() >= 0).all()
+    assert f.model.nunique() == 1
+    x = registry.QUERIES["x10_findings"](spark, SF).toPandas()
+    assert sorted(x.finding) == list(range(1, 9))
+    assert x.title.notna().all() and set(x.priority) <= {"High", "Medium"}
