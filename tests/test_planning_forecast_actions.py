@@ -385,3 +385,20 @@ def test_winner_forecast_and_findings_shape(ctx, spark):
     x = registry.QUERIES["x10_findings"](spark, SF).toPandas()
     assert sorted(x.finding) == list(range(1, 9))
     assert x.title.notna().all() and set(x.priority) <= {"High", "Medium"}
+
+
+def test_source_manifest_matches_file_hashes(ctx, spark):
+    import hashlib
+    import os
+
+    from conftest import SF
+
+    from opsledger.operators import bundle
+
+    rows = bundle.source_manifest(spark, SF, ["region", "nation", "events"]).collect()
+    assert {r["table"] for r in rows} == {"region", "nation", "events"}
+    for r in rows:
+        path = os.path.join(SF, f"{r['table']}.parquet")
+        data = open(path, "rb").read()
+        assert r["bytes"] == len(data)
+        assert r["sha256"] == hashlib.sha256(data).hexdigest()
