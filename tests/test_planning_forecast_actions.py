@@ -402,3 +402,21 @@ def test_source_manifest_matches_file_hashes(ctx, spark):
         data = open(path, "rb").read()
         assert r["bytes"] == len(data)
         assert r["sha256"] == hashlib.sha256(data).hexdigest()
+
+
+def test_strict_plan_raises_exactly_when_history_is_incomplete(ctx):
+    plan = planning.hourly_plan(ctx.store_day, ctx.planning_hour, ctx.forecast_daily)
+    incomplete = plan.filter(~F.col("history_complete")).count()
+    if incomplete:
+        with pytest.raises(ValueError, match="Insufficient prior weekday"):
+            planning.hourly_plan(ctx.store_day, ctx.planning_hour, ctx.forecast_daily, strict=True)
+    else:
+        assert planning.hourly_plan(ctx.store_day, ctx.planning_hour, ctx.forecast_daily, strict=True).count() == plan.count()
+
+
+def test_forecasts_from_two_origins_are_rejected(ctx):
+    two = ctx.forecast_daily.unionByName(
+        ctx.forecast_daily.withColumn("origin_date", F.date_sub("origin_date", 1))
+    )
+    with pytest.raises(ValueError, match="single origin"):
+        planning.check_forecasts(two)
