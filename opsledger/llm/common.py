@@ -38,6 +38,14 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def private(df: DataFrame) -> str:
+    """A prefix for helper columns that no column of ``df`` begins with."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 class Shared:
     """A broadcast value of this package's own classes: they travel with it as bytes."""
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import private, stored
 
 #: Boilerplate lines up to which the table per host is broadcast.
 BROADCAST_LINES = 200_000
@@ -59,14 +59,15 @@ def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text",
     array; it is joined to the pages by host, by broadcast only below a checked number of lines.
     """
     lines = stored(boilerplate(pages.select(F.col(host).alias("host"), F.col(text).alias("text")), ratio, least_pages), "boilerplate")
-    per_host = lines.groupBy(F.col("host").alias("__host")).agg(F.collect_set("line").alias("__lines"))
+    p = private(pages)
+    per_host = lines.groupBy(F.col("host").alias(f"{p}host")).agg(F.collect_set("line").alias(f"{p}lines"))
     if lines.count() <= BROADCAST_LINES:
         per_host = F.broadcast(per_host)
-    joined = pages.join(per_host, F.col(host).eqNullSafe(F.col("__host")), "left")
+    joined = pages.join(per_host, F.col(host).eqNullSafe(F.col(f"{p}host")), "left")
     split = _lines(F.col(text))
-    kept = F.filter(split, lambda x: ~F.array_contains(F.col("__lines"), _trimmed(x)))
-    out = joined.withColumn("__kept", F.when(F.col("__lines").isNull(), split).otherwise(kept))
+    kept = F.filter(split, lambda x: ~F.array_contains(F.col(f"{p}lines"), _trimmed(x)))
+    out = joined.withColumn(f"{p}kept", F.when(F.col(f"{p}lines").isNull(), split).otherwise(kept))
     n = F.when(F.col(text).isNull(), 0).otherwise(F.size(split)).cast("long")
-    left = F.when(F.col(text).isNull(), 0).otherwise(F.size("__kept")).cast("long")
+    left = F.when(F.col(text).isNull(), 0).otherwise(F.size(f"{p}kept")).cast("long")
     out = out.withColumns({"n_lines": n, "n_dropped": n - left})
-    return out.withColumn(text, F.array_join("__kept", "\n")).drop("__host", "__lines", "__kept")
+    return out.withColumn(text, F.array_join(f"{p}kept", "\n")).drop(f"{p}host", f"{p}lines", f"{p}kept")

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import GAP, stored, word_count
+from .common import GAP, private, stored, word_count
 
 #: Documents per bucket, about; a bucket is sorted in one task.
 BUCKET_ROWS = 100_000
@@ -103,17 +103,17 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), most: f
     are documents like others; rows with one id and source share their fate. An empty table
     gives no rows. Columns named like an added one are replaced.
     """
-    base = docs.withColumns({"size": word_count(F.col("text")), "__key": hash_key(F.col("doc_id"), seed)})
-    plan = cuts(base.select("source", F.col("__key").alias("key"), "size"), weights, most)
-    plan = plan.select(F.col("source").alias("__source"), F.col("source_size").alias("__size"), F.col("target").alias("__target"), "epochs", "cut_key", "cut_words", "cut_size")
-    plan = plan.select(*(F.col(c).alias(c if c.startswith("__") else f"__{c}") for c in plan.columns))
+    p = private(docs)
+    base = docs.withColumns({"size": word_count(F.col("text")), f"{p}key": hash_key(F.col("doc_id"), seed)})
+    plan = cuts(base.select("source", F.col(f"{p}key").alias("key"), "size"), weights, most)
+    plan = plan.select(*(F.col(c).alias(f"{p}{c}") for c in plan.columns))
     if plan.count() <= BROADCAST_SOURCES:
         plan = F.broadcast(plan)
-    part = F.floor(F.col("size") * F.col("__cut_words") / F.greatest(F.col("__cut_size"), F.lit(1)))
-    extra = F.when(F.col("__key") < F.col("__cut_key"), F.col("size")).when(F.col("__key") == F.col("__cut_key"), part).otherwise(0)
-    out = base.join(plan, F.col("source").eqNullSafe(F.col("__source")))
-    out = out.withColumns({"source_size": F.col("__size"), "target": F.col("__target"), "taken": (F.col("__epochs") * F.col("size") + extra).cast("long")})
-    return out.drop(*(c for c in out.columns if c.startswith("__")))
+    out = base.join(plan, F.col("source").eqNullSafe(F.col(f"{p}source")))
+    part = F.expr(f"size * {p}cut_words div greatest({p}cut_size, 1)")
+    extra = F.when(F.col(f"{p}key") < F.col(f"{p}cut_key"), F.col("size")).when(F.col(f"{p}key") == F.col(f"{p}cut_key"), part).otherwise(0)
+    out = out.withColumns({"source_size": F.col(f"{p}source_size"), "target": F.col(f"{p}target"), "taken": (F.col(f"{p}epochs") * F.col("size") + extra).cast("long")})
+    return out.drop(*(c for c in out.columns if c.startswith(p)))
 
 
 def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
@@ -125,6 +125,7 @@ def mixed_documents(mixed: DataFrame, text: str = "text") -> DataFrame:
     whole = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)))).otherwise(1).cast("int")
     rest = F.when(F.col("size") > 0, F.col("taken") % F.greatest(F.col("size"), F.lit(1))).otherwise(0).cast("int")
     copies = F.concat(F.array_repeat(F.lit(-1), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    rows = mixed.withColumn("__words", F.explode(copies))
-    head = F.array_join(F.slice(F.split(F.regexp_replace(F.col(text), f"^[{GAP}]+", ""), f"[{GAP}]+"), 1, F.greatest(F.col("__words"), F.lit(1))), " ")
-    return rows.withColumn(text, F.when(F.col("__words") < 0, F.col(text)).otherwise(head)).drop("__words")
+    words = f"{private(mixed)}words"
+    rows = mixed.withColumn(words, F.explode(copies))
+    head = F.array_join(F.slice(F.split(F.regexp_replace(F.col(text), f"^[{GAP}]+", ""), f"[{GAP}]+"), 1, F.greatest(F.col(words), F.lit(1))), " ")
+    return rows.withColumn(text, F.when(F.col(words) < 0, F.col(text)).otherwise(head)).drop(words)

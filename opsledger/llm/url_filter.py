@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stored
+from .common import lower_ascii, private, stored
 
 #: (verdict, host, path): fits the host and its subdomains if the path begins with ``path``.
 Rule = tuple[str, str, str]
@@ -87,20 +87,21 @@ def judge_urls(pages: DataFrame, listed_urls: DataFrame, rules: list[Rule], url:
     table = bloom_blocks(listed, blocks)
     if blocks <= BROADCAST_BLOCKS:
         table = F.broadcast(table)
-    table = table.select(F.col("block").alias("__block"), *(F.col(f"w{i}").alias(f"__w{i}") for i in range(WORDS)))
-    host, path = host_of(F.col(url)), path_of(F.col(url))
-    judged = pages.withColumns({"host": host, "path": path, "__url": canonical(F.col(url))})
+    p = private(pages)
+    table = table.select(F.col("block").alias(f"{p}block"), F.lit(True).alias(f"{p}ask"), *(F.col(f"w{i}").alias(f"{p}w{i}") for i in range(WORDS)))
+    address, known = F.col(url), F.col(f"{p}url")
+    judged = pages.withColumns({"host": host_of(address), "path": path_of(address), f"{p}url": canonical(address)})
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
-    judged = judged.withColumns({"rule": rule, "__verdict": verdict})
+    judged = judged.withColumns({"rule": rule, f"{p}verdict": verdict})
     # The list only has a say where no rule fits. Other rows keep a spread key that cannot match,
     # so that neither join sends all of them to the task of one null key.
-    asked = judged.withColumns({"__ask": F.col("rule").isNull() & F.col("__url").isNotNull(), "__block": _block(F.coalesce("__url", F.col(url)), blocks)})
-    probed = asked.join(table.withColumn("__ask", F.lit(True)), ["__block", "__ask"], "left")
+    asked = judged.withColumns({f"{p}ask": F.col("rule").isNull() & known.isNotNull(), f"{p}block": _block(F.coalesce(known, address), blocks)})
+    probed = asked.join(table, [f"{p}block", f"{p}ask"], "left")
     held = F.lit(True)
-    for i, m in enumerate(_masks(F.col("__url"))):
-        held = held & (F.col(f"__w{i}").bitwiseAND(m) == m)
-    probed = probed.withColumns({"__maybe": F.coalesce(held, F.lit(False)), "__url": F.coalesce("__url", F.col(url))})
-    exact = listed.select(F.col("canonical").alias("__url"), F.lit(True).alias("__maybe"), F.lit(True).alias("__hit"))
-    out = probed.join(exact, ["__url", "__maybe"], "left")
-    out = out.withColumn("verdict", F.coalesce("__verdict", F.when(F.col("__hit"), "block").otherwise("allow")))
-    return out.drop(*(c for c in out.columns if c.startswith("__")))
+    for i, m in enumerate(_masks(known)):
+        held = held & (F.col(f"{p}w{i}").bitwiseAND(m) == m)
+    probed = probed.withColumns({f"{p}maybe": F.coalesce(held, F.lit(False)), f"{p}url": F.coalesce(known, address)})
+    exact = listed.select(F.col("canonical").alias(f"{p}url"), F.lit(True).alias(f"{p}maybe"), F.lit(True).alias(f"{p}hit"))
+    out = probed.join(exact, [f"{p}url", f"{p}maybe"], "left")
+    out = out.withColumn("verdict", F.coalesce(f"{p}verdict", F.when(F.col(f"{p}hit"), "block").otherwise("allow")))
+    return out.drop(*(c for c in out.columns if c.startswith(p)))
