@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Fixed workflow of the reference: allowed next statuses per status.
+# Fixed values of the workflow: allowed next statuses per status.
 STATUSES = ("proposed", "approved", "in progress", "completed", "cancelled")
 TRANSITIONS = {
     "proposed": ("approved", "cancelled"),
@@ -29,7 +29,8 @@ REOPENABLE = ("approved", "in progress")
 
 def sequenced(events: DataFrame, key: str = "action_id", order: tuple[str, str] = ("created_at", "event_id"),
               bucket: str = "hour") -> DataFrame:
-    """Adds ``sequence`` (1-based position in the action) and ``previous_status``.
+    """Adds ``sequence`` (1-based position in the action), ``previous_status`` and
+    ``revision`` (how many proposals the action has had up to and with this event).
 
     Level 1: row_number / lag inside (key, date_trunc(bucket, ts)).
     Level 2: per (key, bucket) count and last status; a running count and the
@@ -38,23 +39,28 @@ def sequenced(events: DataFrame, key: str = "action_id", order: tuple[str, str]
     ts, tie = order
     e = events.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
     inner = Window.partitionBy(key, "_b").orderBy(ts, tie)
-    e = e.withColumns({"_rn": F.row_number().over(inner), "_prev": F.lag("status").over(inner)})
+    proposed = F.when(F.col("status") == "proposed", 1).otherwise(0)
+    e = e.withColumns(
+        {"_rn": F.row_number().over(inner), "_prev": F.lag("status").over(inner), "_rev": F.sum(proposed).over(inner)}
+    )
     summary = e.groupBy(key, "_b").agg(
-        F.count(F.lit(1)).alias("_n"), F.max_by("status", F.struct(ts, tie)).alias("_last")
+        F.count(F.lit(1)).alias("_n"), F.sum(proposed).alias("_p"), F.max_by("status", F.struct(ts, tie)).alias("_last")
     )
     across = Window.partitionBy(key).orderBy("_b")
     summary = summary.select(
         key, "_b",
         F.coalesce(F.sum("_n").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"),
+        F.coalesce(F.sum("_p").over(across.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.lag("_last").over(across).alias("_prev_bucket_last"),
     )
     out = e.join(summary, [key, "_b"])
     return out.withColumns(
         {
             "sequence": (F.col("_offset") + F.col("_rn")).cast("long"),
+            "revision": (F.col("_before") + F.col("_rev")).cast("long"),
             "previous_status": F.when(F.col("_rn") == 1, F.col("_prev_bucket_last")).otherwise(F.col("_prev")),
         }
-    ).drop("_b", "_rn", "_prev", "_offset", "_prev_bucket_last")
+    ).drop("_b", "_rn", "_prev", "_rev", "_offset", "_before", "_prev_bucket_last")
 
 
 def _allowed(prev: F.Column, nxt: F.Column) -> F.Column:
@@ -111,18 +117,52 @@ def violation_summary(audit: DataFrame) -> DataFrame:
     )
 
 
+def _field(c: F.Column) -> F.Column:
+    """Unambiguous text of one field: hexadecimal, with null apart from empty."""
+    return F.coalesce(F.concat(F.lit("="), F.hex(c)), F.lit("-"))
+
+
+def event_digest() -> F.Column:
+    """SHA-256 over every field of an event; no two different events share the hashed text."""
+    return F.sha2(
+        F.concat_ws(
+            ",",
+            _field(F.col("event_id").cast("string")),
+            _field(F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS")),
+            _field(F.col("status")),
+            _field(F.col("note")),
+            _field(F.col("value").cast("decimal(38,12)").cast("string")),
+        ),
+        256,
+    )
+
+
 def fingerprints(events: DataFrame) -> DataFrame:
-    """Order-independent snapshot fingerprint per action (E07): XOR of the first
-    60 bits of md5 over each event's canonical text.  Partial-aggregable, and any
-    changed, added or removed event changes it (events are unique by id)."""
-    canon = F.concat_ws(
-        "|", F.col("event_id").cast("string"), F.date_format("created_at", "yyyy-MM-dd HH:mm:ss.SSSSSS"),
-        F.coalesce(F.col("status"), F.lit("")), F.coalesce(F.col("note"), F.lit("")),
+    """Order-independent snapshot fingerprint per action.
+
+    The 64 hexadecimal digits of each event's digest are cut into four numbers which are
+    summed exactly, so partial sums merge in any order, repeated events count, and any
+    changed, added or removed event changes the four sums.
+    """
+    e = events.select("action_id", event_digest().alias("_d"))
+    parts = {f"_s{i}": F.conv(F.substring("_d", 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)") for i in range(4)}
+    sums = e.withColumns(parts).groupBy("action_id").agg(
+        F.count(F.lit(1)).alias("events"), *[F.sum(p).cast("string").alias(p) for p in parts]
     )
-    h = F.conv(F.substring(F.md5(canon), 1, 15), 16, 10).cast("long")
-    return events.groupBy("action_id").agg(
-        F.count(F.lit(1)).alias("events"), F.bit_xor(h).alias("fingerprint")
+    return sums.select("action_id", "events", F.concat_ws("-", *parts).alias("fingerprint"))
+
+
+def verify_fingerprints(stored: DataFrame, events: DataFrame) -> DataFrame:
+    """Compare stored fingerprints with those of the events as they are now."""
+    kept = stored.select("action_id", F.col("fingerprint").alias("stored_fingerprint"))
+    now = fingerprints(events).select("action_id", F.col("fingerprint").alias("current_fingerprint"))
+    state = (
+        F.when(F.col("stored_fingerprint").isNull(), "added")
+        .when(F.col("current_fingerprint").isNull(), "missing")
+        .when(F.col("stored_fingerprint") == F.col("current_fingerprint"), "intact")
+        .otherwise("altered")
     )
+    return kept.join(now, "action_id", "full_outer").select("action_id", state.alias("state"))
 
 
 def append_events(events: DataFrame, path: str, key: str = "event_id") -> int:

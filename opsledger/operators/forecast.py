@@ -71,10 +71,10 @@ def metrics(traces: DataFrame, keys: list[str]) -> DataFrame:
     """MAE, RMSE, MAPE (positive actuals), WAPE in percent."""
     e = F.col("actual_revenue") - F.col("forecast_revenue")
     return traces.groupBy(*keys).agg(
-        (money_sum(F.abs(e)) / F.count(F.lit(1))).alias("mae"),
+        F.avg(F.abs(e)).alias("mae"),
         F.sqrt(F.avg(e * e)).alias("rmse"),
         (F.avg(F.when(F.col("actual_revenue") > 0, F.abs(e) / F.col("actual_revenue"))) * 100).alias("mape"),
-        (ratio(money_sum(F.abs(e)), money_sum("actual_revenue")) * 100).alias("wape"),
+        (ratio(F.sum(F.abs(e)), F.sum("actual_revenue")) * 100).alias("wape"),
         F.count(F.lit(1)).alias("observations"),
     )
 

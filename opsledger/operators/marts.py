@@ -80,7 +80,7 @@ def calendar(states: DataFrame, start: str, end: str, holidays: DataFrame | None
         )
         d = d.withColumn("holiday_name", name)
     else:
-        d = d.join(F.broadcast(holidays), "business_date", "left")
+        d = d.join(broadcast_if_small(holidays), "business_date", "left")
     m = F.month("business_date")
     return d.select(
         "business_date",
@@ -280,30 +280,20 @@ def allocate_hours(
     Returns (restaurant_id, business_date, hour, paid_alloc, *extra) per shift-hour.
     """
     lo, hi = hours
-    dur = F.timestamp_diff("SECOND", F.col(start), F.col(end)) / 3600.0
-    s = shifts.select(
-        "*",
-        dur.alias("_duration"),
-        paid.alias("_paid"),
-        F.explode(
-            F.sequence(
-                F.greatest(F.lit(lo), F.hour(start)), F.least(F.lit(hi), F.hour(end))
-            )
-        ).alias("hour"),
-    )
-    # a shift wholly outside the trading hours yields a descending sequence: keep
-    # only buckets inside the hours, so nothing is allocated outside them
-    s = s.filter(F.col("hour").between(lo, hi))
-    b0 = F.make_timestamp_ntz(
-        F.year("business_date"), F.month("business_date"), F.dayofmonth("business_date"),
-        F.col("hour"), F.lit(0), F.lit(0),
-    )
-    b1 = b0 + F.expr("INTERVAL 1 HOUR")
+    midnight = F.col("business_date").cast("timestamp_ntz")
+    # hours since midnight of the business date, so a shift past midnight reaches 24 and beyond
+    begin, finish = (F.timestamp_diff("SECOND", midnight, F.col(c)) / 3600.0 for c in (start, end))
+    s = shifts.withColumns({"_begin": begin, "_finish": finish, "_paid": paid})
+    first = F.greatest(F.lit(lo), F.floor("_begin").cast("int"))
+    last = F.least(F.lit(hi), F.floor("_finish").cast("int"))
+    # a shift wholly outside the trading hours has no bucket (a sequence would run backwards)
+    s = s.withColumn("hour", F.explode(F.when(first <= last, F.sequence(first, last))))
     overlap = F.greatest(
-        F.timestamp_diff("SECOND", F.greatest(F.col(start), b0), F.least(F.col(end), b1)) / 3600.0,
+        F.least(F.col("_finish"), F.col("hour") + 1.0) - F.greatest(F.col("_begin"), F.col("hour").cast("double")),
         F.lit(0.0),
     )
-    alloc = overlap * F.col("_paid") / F.col("_duration")
+    # a shift of no length overlaps nothing
+    alloc = F.coalesce(ratio(overlap * F.col("_paid"), F.col("_finish") - F.col("_begin")), F.lit(0.0))
     cols = [F.col("restaurant_id"), F.col("business_date"), F.col("hour"), alloc.alias("paid_alloc")]
     for name, c in (extra or {}).items():
         cols.append(c.alias(name))

@@ -18,10 +18,10 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the cluster.
+    """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Uses ``spark.checkpoint.dir`` from the session; only when it is unset (local
-    tests) a fresh scratch folder is created.
+    Only a local session without the setting gets a scratch folder. On a cluster a missing
+    setting is an error: executors would write to folders that nobody else sees.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -29,6 +29,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="opsledger-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
