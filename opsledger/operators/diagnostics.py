@@ -8,7 +8,7 @@ from itertools import product
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import clip_lower, exact_avg, ratio
+from ..functions.semantics import broadcast_if_small, clip_lower, exact_avg, ratio
 from .kpi import calculate, sum_additive
 
 CORR_FIELDS = [
@@ -43,7 +43,7 @@ def sales_anomalies(
 
     * prior median: rows -window..-1, needs ``min_periods`` values;
     * prior MAD: median absolute deviation of the same rows, needs a full
-      window (the reference's rolling-apply sees the leading gap as missing);
+      window (the leading gap counts as missing);
     * z = 0.6745 (x - median) / MAD, MAD = 0 gives null; flag |z| > threshold.
 
     Windows are partitioned by (site, weekday); each holds one site-weekday
@@ -87,9 +87,9 @@ def latest_opportunities(monthly: DataFrame, restaurants: DataFrame, since: str)
     latest = monthly.filter(F.col("month") >= since)
     perf = calculate(sum_additive(latest, ["restaurant_id"]))
     idx = latest.groupBy("restaurant_id").agg(F.avg("performance_index").alias("performance_index"))
-    perf = perf.join(F.broadcast(restaurants), "restaurant_id").join(idx, "restaurant_id")
+    perf = perf.join(broadcast_if_small(restaurants), "restaurant_id").join(idx, "restaurant_id")
     peer = perf.groupBy("location_type").agg(F.median("waste_pct").alias("waste_peer_median"))
-    perf = perf.join(F.broadcast(peer), "location_type")
+    perf = perf.join(broadcast_if_small(peer), "location_type")
     return perf.withColumn(
         "estimated_waste_opportunity",
         clip_lower(F.col("waste_pct") - F.col("waste_peer_median"), 0.0) * (F.col("ingredient_cost") + F.col("waste_cost")),

@@ -2,7 +2,7 @@
 its site-cluster bootstrap (D01, D03, D04, K04).
 
 * D01: k-means (k = 3) on population-standardised site rates; several seeds,
-  the lowest within-cluster cost kept (the reference's ``n_init``); clusters are
+  the lowest within-cluster cost kept (restarts); clusters are
   named by ascending mean operating margin.
 * D03: both series are residualised on site, weekday and month indicators plus
   log1p(orders) with an unstandardised ridge (alpha = 1), fitted by Spark ML's
@@ -31,7 +31,7 @@ SEGMENT_FEATURES = [
     "satisfaction_score",
     "sales_per_labour_hour",
 ]
-# Fixed names of the reference, from lowest to highest mean operating margin.
+# Segment names, from lowest to highest mean operating margin.
 SEGMENT_NAMES = ["Needs support", "Stable", "Efficient"]
 
 
@@ -180,6 +180,6 @@ def staffing_association(daily: DataFrame, reps: int = 400, seed: int = 42, alph
         F.col("_q")[0].alias("ci_low"),
         F.col("_q")[1].alias("ci_high"),
         "store_days",
-        F.lit("Ridge residualisation; approximate store-cluster bootstrap with fixed residuals").alias("method"),
-        F.lit("Association, not a causal effect; survey responses are selective").alias("interpretation"),
+        F.lit("Correlation of ridge residuals; sites resampled with their residuals kept").alias("method"),
+        F.lit("An association only: who answers a survey is not random").alias("interpretation"),
     )

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.semantics import money_sum, ratio
+from ..functions.semantics import broadcast_if_small, money_sum, ratio
 from .marts import COSTS
 
 
@@ -20,7 +20,7 @@ def peer_margin_gaps(latest: DataFrame) -> DataFrame:
     g = latest.groupBy("location_type").agg(
         F.sum("operating_profit").alias("_gp"), F.sum("revenue").alias("_gr"), F.count(F.lit(1)).alias("_n")
     )
-    p = latest.join(F.broadcast(g), "location_type")  # one row per peer group
+    p = latest.join(broadcast_if_small(g), "location_type")
     peer = ratio(F.col("_gp") - F.col("operating_profit"), F.col("_gr") - F.col("revenue"))
     p = p.withColumn("peer_margin_pct", F.when(F.col("_n") > 1, peer))
     weakest = latest.agg(F.min_by("restaurant_id", F.struct("operating_margin_pct", "restaurant_id")).alias("_w"))

@@ -138,7 +138,7 @@ def recursive_forecast(
     """28-day recursive ridge forecast from ``origin`` for every site.
 
     Only history on or before the origin is read (F05).  Predictions are
-    clipped at 0 before they feed later lags, as in the reference.
+    clipped at 0 before they feed later lags.
     """
     wts = fit.raw_weights()
     b0 = fit.raw_intercept()
@@ -234,7 +234,7 @@ def fit_gbt(train: DataFrame, site_ids: list[int], seed: int = 42):
 
     Spark's GBT is a different algorithm from histogram boosting with leaf
     limits and L2 leaf regularisation: iterations, learning rate and a depth
-    giving at most 16 leaves follow the reference; numbers are not expected to
+    giving at most 16 leaves are the usual ones; numbers are not expected to
     agree with it, only the protocol (fit through the origin, recursive days)."""
     from pyspark.ml.regression import GBTRegressor
 

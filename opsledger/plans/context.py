@@ -9,29 +9,53 @@ columns.
 from __future__ import annotations
 
 import hashlib
-import os
-from functools import cached_property
+import uuid
+from functools import cache, cached_property
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import kpi, marts
+from ..operators import kpi, marts, quality
 from ..session import checkpoint_dir, configure
 from ..sources.adapters import HISTORY_END, HISTORY_START, Source
 from ..sources.tables import DRIVER_TABLES
 
-# Version of the mart definitions; bump when an adapter or mart changes.
-MART_VERSION = "6"
 _STORED: dict[tuple[str, str], str] = {}
 
 
-def _fingerprint(folder: str) -> str:
-    """Input identity: path plus size and mtime of every input table."""
-    h = hashlib.sha256((MART_VERSION + os.path.abspath(folder)).encode())
-    for t in DRIVER_TABLES:
-        p = os.path.join(folder, f"{t}.parquet")
-        if os.path.exists(p):
-            st = os.stat(p)
-            h.update(f"{t}:{st.st_size}:{st.st_mtime_ns}".encode())
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of a path in whatever store holds it."""
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
+@cache
+def _code_version() -> str:
+    """Hash of the modules whose code decides what a mart holds."""
+    h = hashlib.sha256()
+    root = Path(__file__).resolve().parents[1]
+    for part in ("functions", "operators", "sources", "plans/context.py"):
+        for f in sorted([root / part] if part.endswith(".py") else (root / part).glob("*.py")):
+            h.update(f.name.encode() + f.read_bytes())
+    return h.hexdigest()
+
+
+def fingerprint(spark: SparkSession, folder: str) -> str:
+    """Identity of the inputs and of the code: every leaf file's path, size and time.
+
+    The listing goes through the file system of the folder itself, so a rewritten part file
+    is noticed in any store.
+    """
+    h = hashlib.sha256(_code_version().encode())
+    for table in DRIVER_TABLES:
+        fs, path = _hadoop(spark, f"{folder.rstrip('/')}/{table}.parquet")
+        if not fs.exists(path):
+            continue
+        files, found = fs.listFiles(path, True), []
+        while files.hasNext():
+            f = files.next()
+            found.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+        h.update("\n".join([table, *sorted(found)]).encode())
     return h.hexdigest()[:16]
 
 
@@ -57,27 +81,41 @@ class Context:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self.stored("transactions", self.src.transactions)
+        """Clean order lines: complete orders without a bad line, master names, parsed times."""
+        return self.stored("transactions", self._clean_transactions)
+
+    def _clean_transactions(self) -> DataFrame:
+        quality.require_known_sites(self.flagged, self.restaurants, "transactions")
+        clean, _ = quality.quarantine_orders(self.flagged)
+        return quality.finish_clean_lines(clean, self.restaurants)
 
     @cached_property
     def labour(self) -> DataFrame:
-        return self.stored("labour", self.src.labour)
+        return self.stored("labour", self._clean_labour)
+
+    def _clean_labour(self) -> DataFrame:
+        quality.require_known_sites(self.raw_labour, self.restaurants, "labour")
+        quality.require_recoverable_shifts(self.raw_labour)
+        repaired = quality.repair_labour(self.raw_labour, self.restaurants, self.calendar)
+        quality.require_rates(repaired)
+        return repaired.drop("hours_repaired")
 
     @cached_property
     def waste(self) -> DataFrame:
-        return self.src.waste(clean=self.transactions)
+        return quality.split_negative_waste(self.raw_waste)[0]
 
     @cached_property
     def customer_feedback(self) -> DataFrame:
-        return self.src.customer_feedback()
+        repaired = quality.repair_surveys(self.raw_customer_feedback, self.orders)
+        return repaired.drop("score_repaired", "order_link_removed")
 
     @cached_property
     def delivery(self) -> DataFrame:
-        return self.src.delivery()
+        return quality.cascade_lost_orders(self.raw_delivery, self.orders)[0]
 
     @cached_property
     def loyalty(self) -> DataFrame:
-        return self.src.loyalty()
+        return quality.cascade_lost_orders(self.raw_loyalty, self.orders)[0]
 
     @cached_property
     def promotions(self) -> DataFrame:
@@ -109,9 +147,14 @@ class Context:
         )
 
     # ---- raw exports and the cleaning flow -----------------------------
+    @cached_property
+    def sales_lines(self) -> DataFrame:
+        """Order lines before the export defects are planted (shaping of the driver tables)."""
+        return self.stored("sales_lines", self.src.transactions)
+
     @cached_property
     def raw_transactions(self) -> DataFrame:
-        return self.src.raw_transactions(self.transactions)
+        return self.src.raw_transactions(self.sales_lines)
 
     @cached_property
     def raw_labour(self) -> DataFrame:
@@ -123,21 +166,37 @@ class Context:
 
     @cached_property
     def raw_waste(self) -> DataFrame:
-        return self.src.waste(raw=True, clean=self.transactions)
+        return self.src.waste(raw=True, clean=self.sales_lines)
+
+    @cached_property
+    def raw_delivery(self) -> DataFrame:
+        return self.src.delivery()
 
-    def flagged_lines(self, max_quantity: int = 50):
-        """Deduplicated raw lines with rule columns (quantity bound is a parameter:
-        the driver data has up to 50 units per line)."""
-        from ..operators import quality
+    @cached_property
+    def raw_loyalty(self) -> DataFrame:
+        return self.src.loyalty()
 
-        rules = quality.LineRules(max_quantity=max_quantity)
-        return quality.line_rules(self.raw_transactions.dropDuplicates(), self.products, rules)
+    # the driver data has up to 50 units per line, so that bound is a parameter
+    line_rules = quality.LineRules(max_quantity=50)
+    rule_names = quality.RULE_NAMES
+
+    @cached_property
+    def flagged(self) -> DataFrame:
+        """Raw lines without exact repeats and with a column per rule, computed once."""
+        return self.stored(
+            "flagged",
+            lambda: quality.line_rules(self.raw_transactions.dropDuplicates(), self.products, self.line_rules)[0],
+        )
 
     # ---- marts -----------------------------------------------------------
     @cached_property
     def orders(self) -> DataFrame:
         return self.stored("orders", lambda: marts.orders(self.transactions))
 
+    @cached_property
+    def product_month(self) -> DataFrame:
+        return marts.product_month(self.transactions, self.products)
+
     @cached_property
     def store_day(self) -> DataFrame:
         return self.stored("store_day", lambda: marts.store_day(self.facts, self.orders))
@@ -164,6 +223,24 @@ class Context:
     def action_events(self) -> DataFrame:
         return self.src.action_events()
 
+    @cached_property
+    def sequenced_events(self) -> DataFrame:
+        from ..operators import actions
+
+        return self.stored("sequenced_events", lambda: actions.sequenced(self.action_events))
+
+    @cached_property
+    def action_proposals(self) -> DataFrame:
+        return self.src.action_proposals(self.store_month_kpis)
+
+    @cached_property
+    def action_revisions(self) -> DataFrame:
+        return self.src.action_revisions(self.sequenced_events)
+
+    @cached_property
+    def action_outcomes(self) -> DataFrame:
+        return self.src.action_outcomes(self.sequenced_events, self.action_revisions)
+
     @cached_property
     def scheduled_hour(self) -> DataFrame:
         from ..operators import planning
@@ -202,19 +279,24 @@ class Context:
         scans) and keeps every downstream plan small.  The folder comes from
         ``spark.checkpoint.dir`` (a scratch folder only when unset, as in tests).
         """
-        key = (_fingerprint(self.folder), name)
+        key = (self.fingerprint, name)
         path = _STORED.get(key)
         if path is None:
-            base = checkpoint_dir(self.spark).rstrip("/")
-            path = f"{base}/opsledger-marts/{key[0]}/{name}"
-            jvm = self.spark._jvm
-            hpath = jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-            fs = hpath.getFileSystem(self.spark._jsc.hadoopConfiguration())
-            if not fs.exists(hpath):
-                build().write.mode("overwrite").parquet(path)
+            path = f"{checkpoint_dir(self.spark).rstrip('/')}/opsledger-marts/{key[0]}/{name}"
+            fs, done = _hadoop(self.spark, f"{path}/_SUCCESS")
+            if not fs.exists(done):
+                # each job writes a folder of its own; the first to rename it wins
+                own = f"{path}.{uuid.uuid4().hex}"
+                build().write.parquet(own)
+                if not fs.rename(_hadoop(self.spark, own)[1], _hadoop(self.spark, path)[1]) or not fs.exists(done):
+                    path = own
             _STORED[key] = path
         return self.spark.read.parquet(path)
 
+    @cached_property
+    def fingerprint(self) -> str:
+        return fingerprint(self.spark, self.folder)
+
     def views(self, names: list[str]) -> None:
         """Register canonical tables / marts as temp views for SQL text."""
         for n in names:

@@ -62,7 +62,7 @@ FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey""",
 cte(
     "lines",
     [],
-    """SELECT *, l_orderkey * 1000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,
+    """SELECT *, l_orderkey * 1000000 + row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber,
           l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag,
           l_linestatus, l_shipdate) AS transaction_line_id,
        CAST(round(l_extendedprice * 100) AS BIGINT) AS p_c,
@@ -70,7 +70,7 @@ cte(
 FROM lineitem""",
 )
 cte(
-    "transactions",
+    "sales_lines",
     ["lines", "osite", "restaurants"],
     """SELECT l.transaction_line_id, s.order_id, s.restaurant_id, r.restaurant_name,
        CAST(s.business_date AS TIMESTAMP) + to_hours(s.hour) + to_minutes(s.minute) AS timestamp_local,
@@ -89,7 +89,7 @@ JOIN restaurants r ON s.restaurant_id = r.restaurant_id""",
 )
 cte(
     "raw_transactions",
-    ["transactions"],
+    ["sales_lines"],
     """WITH raw AS (
   SELECT transaction_line_id,
          CASE WHEN transaction_line_id % 101 = 0 THEN NULL ELSE order_id END AS order_id,
@@ -103,7 +103,7 @@ cte(
          customer_id, promotion_id, list_revenue, discount_amount,
          CASE WHEN transaction_line_id % 79 = 0 THEN -900.0 ELSE net_revenue END AS net_revenue,
          gst_amount, ingredient_cost
-  FROM transactions)
+  FROM sales_lines)
 SELECT * FROM raw UNION ALL SELECT * FROM raw WHERE transaction_line_id % 67 = 0""",
 )
 _LABOUR_COLS = """s.order_id AS shift_id, s.restaurant_id, 'E' || CAST(s.order_id % 97 AS VARCHAR) AS employee_id,
@@ -117,14 +117,6 @@ _LABOUR_COLS = """s.order_id AS shift_id, s.restaurant_id, 'E' || CAST(s.order_i
        0.5::DOUBLE AS break_hours"""
 _RATE = "CASE s.order_id % 3 WHEN 0 THEN 30.0 WHEN 1 THEN 34.0 ELSE 39.0 END::DOUBLE"
 _PAID = "CAST(2 + s.order_id % 4 AS DOUBLE) - 0.5"
-cte(
-    "labour",
-    ["osite"],
-    f"""SELECT {_LABOUR_COLS},
-       {_PAID} AS paid_hours, {_RATE} AS hourly_cost, 0 AS rate_imputed,
-       round_even(({_PAID}) * {_RATE}, 2) AS labour_cost
-FROM osite s""",
-)
 cte(
     "raw_labour",
     ["osite"],
@@ -134,7 +126,7 @@ cte(
 FROM osite s""",
 )
 cte(
-    "customer_feedback",
+    "survey_log",
     ["osite"],
     """SELECT order_id AS feedback_id, order_id, restaurant_id, business_date,
        CASE WHEN order_id % 7 = 0 THEN NULL ELSE CAST(1 + order_id % 5 AS DOUBLE) END AS overall_score,
@@ -144,13 +136,13 @@ FROM osite WHERE order_id % 3 = 0""",
 )
 cte(
     "raw_customer_feedback",
-    ["customer_feedback"],
+    ["survey_log"],
     """SELECT feedback_id, order_id, restaurant_id, business_date,
        CASE WHEN order_id % 53 = 0 THEN 9.0 ELSE overall_score END AS overall_score, food_score, service_score
-FROM customer_feedback""",
+FROM survey_log""",
 )
 cte(
-    "loyalty",
+    "raw_loyalty",
     ["osite"],
     """SELECT order_id * 2 AS loyalty_event_id, customer_id, restaurant_id, order_id, business_date AS event_date,
        CASE WHEN order_id % 12 = 0 THEN 'Redeem' ELSE 'Earn' END AS event_type,
@@ -162,22 +154,22 @@ FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY business_da
       FROM osite WHERE customer_id IS NOT NULL) WHERE rn = 1""",
 )
 cte(
-    "waste",
-    ["transactions"],
+    "waste_log",
+    ["sales_lines"],
     """SELECT transaction_line_id AS waste_id, restaurant_id, product_id, business_date, quantity AS waste_units,
        CAST((CAST(round(list_revenue * 100) AS BIGINT) * 2 + 50) // 100 AS DOUBLE) / 100 AS waste_cost,
        CASE WHEN l_linestatus = 'F' THEN 'Spoilage' ELSE 'Overproduction' END AS reason
-FROM transactions WHERE l_returnflag = 'R'""",
+FROM sales_lines WHERE l_returnflag = 'R'""",
 )
 cte(
     "raw_waste",
-    ["waste"],
+    ["waste_log"],
     """SELECT waste_id, restaurant_id, product_id, business_date,
        CASE WHEN waste_id % 31 = 0 THEN -waste_units ELSE waste_units END AS waste_units, waste_cost, reason
-FROM waste""",
+FROM waste_log""",
 )
 cte(
-    "delivery",
+    "raw_delivery",
     ["osite", "lines"],
     """SELECT s.order_id, s.restaurant_id, 40.0::DOUBLE AS promised_minutes,
        CAST(25 + s.order_id % 40 AS DOUBLE) AS actual_minutes,
@@ -240,6 +232,100 @@ cte(
 FROM (SELECT DISTINCT state FROM restaurants) s,
      (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2025-12-31', INTERVAL 1 DAY)) AS DATE) AS d) g""",
 )
+# ---- the cleaning flow: what the marts are built on ------------------------
+cte(
+    "flagged",
+    ["raw_transactions", "products"],
+    """WITH d AS (SELECT DISTINCT * FROM raw_transactions),
+p AS (SELECT DISTINCT product_id AS pid FROM products),
+t AS (SELECT d.*, p.pid, try_strptime(d.timestamp_local, '%Y-%m-%d %H:%M:%S') AS ts
+      FROM d LEFT JOIN p ON d.product_id = p.pid),
+r AS (SELECT t.*,
+  coalesce(order_id IS NULL, true) AS r0,
+  coalesce(pid IS NULL, true) AS r1,
+  coalesce(ts IS NULL OR NOT ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2025-12-31 23:59:59', true) AS r2,
+  coalesce(ts IS NOT NULL AND NOT hour(ts) BETWEEN 11 AND 21, true) AS r3,
+  coalesce(NOT quantity BETWEEN 1 AND 50, true) AS r4,
+  coalesce(isnan(net_revenue) OR isinf(net_revenue) OR net_revenue < 0
+        OR isnan(list_revenue) OR isinf(list_revenue) OR list_revenue < 0
+        OR isnan(discount_amount) OR isinf(discount_amount) OR discount_amount < 0
+        OR isnan(gst_amount) OR isinf(gst_amount) OR gst_amount < 0
+        OR isnan(ingredient_cost) OR isinf(ingredient_cost) OR ingredient_cost < 0
+        OR discount_amount > list_revenue, true) AS r5,
+  coalesce(NOT coalesce(channel IN ('Dine-in', 'Takeaway', 'Delivery'), false), true) AS r6,
+  coalesce(abs(list_revenue - discount_amount - net_revenue) > 0.011, true) AS r7,
+  coalesce(abs(net_revenue * 0.10 - gst_amount) > 0.011, true) AS r8
+FROM t)
+SELECT *, (r0 OR r1 OR r2 OR r3 OR r4 OR r5 OR r6 OR r7 OR r8) AS invalid,
+  concat(CASE WHEN r0 THEN 'Missing order identifier; ' ELSE '' END,
+         CASE WHEN r1 THEN 'Invalid product foreign key; ' ELSE '' END,
+         CASE WHEN r2 THEN 'Invalid timestamp; ' ELSE '' END,
+         CASE WHEN r3 THEN 'Outside trading hours; ' ELSE '' END,
+         CASE WHEN r4 THEN 'Invalid quantity; ' ELSE '' END,
+         CASE WHEN r5 THEN 'Invalid monetary values; ' ELSE '' END,
+         CASE WHEN r6 THEN 'Invalid channel category; ' ELSE '' END,
+         CASE WHEN r7 THEN 'Revenue reconciliation; ' ELSE '' END,
+         CASE WHEN r8 THEN 'GST reconciliation; ' ELSE '' END) AS reasons
+FROM r""",
+)
+cte(
+    "bad_orders",
+    ["flagged"],
+    "SELECT DISTINCT order_id FROM flagged WHERE invalid AND order_id IS NOT NULL",
+)
+cte(
+    "quarantined",
+    ["flagged", "bad_orders"],
+    """SELECT *, CASE WHEN reasons = '' THEN 'Other line of a rejected order' ELSE reasons END AS quality_reason
+FROM flagged WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM bad_orders)""",
+)
+cte(
+    "clean_lines",
+    ["flagged", "bad_orders"],
+    "SELECT * FROM flagged WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM bad_orders)",
+)
+cte(
+    "transactions",
+    ["clean_lines", "restaurants"],
+    """SELECT l.transaction_line_id, l.order_id, l.restaurant_id, r.restaurant_name, l.ts AS timestamp_local,
+       CAST(l.ts AS DATE) AS business_date, strftime(l.ts, '%Y-%m') AS month, CAST(hour(l.ts) AS INTEGER) AS hour,
+       CASE WHEN hour(l.ts) < 16 THEN 'Lunch' ELSE 'Dinner' END AS daypart, l.product_id, l.quantity, l.channel,
+       l.customer_id, l.promotion_id, l.net_revenue, l.list_revenue, l.discount_amount, l.gst_amount, l.ingredient_cost
+FROM clean_lines l LEFT JOIN restaurants r ON r.restaurant_id = l.restaurant_id""",
+)
+cte(
+    "repaired_labour",
+    ["raw_labour", "restaurants", "calendar"],
+    """WITH l AS (
+  SELECT *, date_diff('second', actual_start, actual_end) / 3600.0 - break_hours AS worked FROM raw_labour),
+k AS (
+  SELECT l.*, coalesce(paid_hours < 0 OR paid_hours > 16 OR abs(paid_hours - worked) > 0.01, false) AS hours_repaired,
+         c.weekday > 4 AS weekend, c.is_public_holiday AS holiday
+  FROM l JOIN restaurants s USING (restaurant_id)
+  JOIN calendar c ON c.business_date = l.business_date AND c.state = s.state),
+m AS (SELECT role, weekend, holiday, quantile_cont(hourly_cost, 0.5) AS usual FROM k GROUP BY role, weekend, holiday)
+SELECT k.* EXCLUDE (paid_hours, hourly_cost, worked, weekend, holiday),
+       CASE WHEN hours_repaired THEN worked ELSE paid_hours END AS paid_hours, ifnull(hourly_cost, usual) AS hourly_cost,
+       CAST(hourly_cost IS NULL AS INTEGER) AS rate_imputed,
+       round_even((CASE WHEN hours_repaired THEN worked ELSE paid_hours END) * ifnull(hourly_cost, usual), 2) AS labour_cost
+FROM k LEFT JOIN m USING (role, weekend, holiday)""",
+)
+cte("labour", ["repaired_labour"], "SELECT * EXCLUDE (hours_repaired) FROM repaired_labour")
+cte("waste", ["raw_waste"], "SELECT * FROM raw_waste WHERE waste_units >= 0 AND waste_cost >= 0")
+cte(
+    "customer_feedback",
+    ["raw_customer_feedback", "clean_lines"],
+    """SELECT feedback_id, CASE WHEN order_id IN (SELECT order_id FROM clean_lines) THEN order_id END AS order_id, restaurant_id,
+       business_date, CASE WHEN overall_score >= 1 AND overall_score <= 5 THEN overall_score END AS overall_score,
+       food_score, service_score
+FROM raw_customer_feedback""",
+)
+cte("delivery", ["raw_delivery", "clean_lines"], "SELECT * FROM raw_delivery WHERE order_id IN (SELECT order_id FROM clean_lines)")
+cte(
+    "loyalty",
+    ["raw_loyalty", "clean_lines"],
+    "SELECT * FROM raw_loyalty WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM clean_lines)",
+)
 # ---- marts written from the formulas ---------------------------------------
 cte(
     "orders_mart",

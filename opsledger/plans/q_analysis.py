@@ -414,10 +414,10 @@ def f07_naive_backtest(ctx):
 
 
 _MET = f"""SELECT evaluation_period, fold, model,
-       {msum('abs(actual_revenue - forecast_revenue)')} / count(*) AS mae,
+       avg(abs(actual_revenue - forecast_revenue)) AS mae,
        sqrt(avg((actual_revenue - forecast_revenue) * (actual_revenue - forecast_revenue))) AS rmse,
        avg(CASE WHEN actual_revenue > 0 THEN abs(actual_revenue - forecast_revenue) / actual_revenue END) * 100 AS mape,
-       {msum('abs(actual_revenue - forecast_revenue)')} / nullif({msum('actual_revenue')}, 0) * 100 AS wape,
+       sum(abs(actual_revenue - forecast_revenue)) / nullif(sum(actual_revenue), 0) * 100 AS wape,
        count(*) AS observations
 FROM traces GROUP BY evaluation_period, fold, model"""
 

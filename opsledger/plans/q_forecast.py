@@ -141,7 +141,7 @@ def _gbt_traces(ctx):
 def f04_gbt_backtest(ctx):
     """Gradient-boosted trees challenger: 120 iterations, depth 4, step 0.06, recursive
     28-day traces per fold and holdout (F04, F05).  No number parity with the
-    reference's histogram boosting; checked by protocol (see tests)."""
+    usual histogram boosting; checked by protocol (see tests)."""
     return _gbt_traces(ctx).select(
         "restaurant_id", "business_date", "horizon_day", "forecast_revenue", "model", "origin_date",
         "evaluation_period", "fold", "actual_revenue",

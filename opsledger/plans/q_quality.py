@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import marts, quality
 from .oracle_base import cte, msum, typed, with_ctes
-from .q_sql import KPI_SQL_SPEC, _kpi_sql, smsum  # noqa: F401
+from .q_sql import monthly_from_facts
 from .registry import query
 
 RULE_NAMES = [
@@ -22,66 +22,12 @@ RULE_NAMES = [
     "GST reconciliation",
 ]
 
-cte(
-    "flagged",
-    ["raw_transactions", "products"],
-    """WITH d AS (SELECT DISTINCT * FROM raw_transactions),
-p AS (SELECT DISTINCT product_id AS pid FROM products),
-t AS (SELECT d.*, p.pid, try_strptime(d.timestamp_local, '%Y-%m-%d %H:%M:%S') AS ts
-      FROM d LEFT JOIN p ON d.product_id = p.pid),
-r AS (SELECT t.*,
-  coalesce(order_id IS NULL, true) AS r0,
-  coalesce(pid IS NULL, true) AS r1,
-  coalesce(ts IS NULL OR NOT ts BETWEEN TIMESTAMP '2024-01-01 00:00:00' AND TIMESTAMP '2025-12-31 23:59:59', true) AS r2,
-  coalesce(ts IS NOT NULL AND NOT hour(ts) BETWEEN 11 AND 21, true) AS r3,
-  coalesce(NOT quantity BETWEEN 1 AND 50, true) AS r4,
-  coalesce(isnan(net_revenue) OR isinf(net_revenue) OR net_revenue < 0
-        OR isnan(list_revenue) OR isinf(list_revenue) OR list_revenue < 0
-        OR isnan(discount_amount) OR isinf(discount_amount) OR discount_amount < 0
-        OR isnan(gst_amount) OR isinf(gst_amount) OR gst_amount < 0
-        OR isnan(ingredient_cost) OR isinf(ingredient_cost) OR ingredient_cost < 0
-        OR discount_amount > list_revenue, true) AS r5,
-  coalesce(NOT coalesce(channel IN ('Dine-in', 'Takeaway', 'Delivery'), false), true) AS r6,
-  coalesce(abs(list_revenue - discount_amount - net_revenue) > 0.011, true) AS r7,
-  coalesce(abs(net_revenue * 0.10 - gst_amount) > 0.011, true) AS r8
-FROM t)
-SELECT *, (r0 OR r1 OR r2 OR r3 OR r4 OR r5 OR r6 OR r7 OR r8) AS invalid,
-  concat(CASE WHEN r0 THEN 'Missing order identifier; ' ELSE '' END,
-         CASE WHEN r1 THEN 'Invalid product foreign key; ' ELSE '' END,
-         CASE WHEN r2 THEN 'Invalid timestamp; ' ELSE '' END,
-         CASE WHEN r3 THEN 'Outside trading hours; ' ELSE '' END,
-         CASE WHEN r4 THEN 'Invalid quantity; ' ELSE '' END,
-         CASE WHEN r5 THEN 'Invalid monetary values; ' ELSE '' END,
-         CASE WHEN r6 THEN 'Invalid channel category; ' ELSE '' END,
-         CASE WHEN r7 THEN 'Revenue reconciliation; ' ELSE '' END,
-         CASE WHEN r8 THEN 'GST reconciliation; ' ELSE '' END) AS reasons
-FROM r""",
-)
-cte(
-    "bad_orders",
-    ["flagged"],
-    "SELECT DISTINCT order_id FROM flagged WHERE invalid AND order_id IS NOT NULL",
-)
-cte(
-    "quarantined",
-    ["flagged", "bad_orders"],
-    """SELECT *, CASE WHEN reasons = '' THEN 'Companion line in rejected order' ELSE reasons END AS quality_reason
-FROM flagged WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM bad_orders)""",
-)
-cte(
-    "clean_lines",
-    ["flagged", "bad_orders"],
-    "SELECT * FROM flagged WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM bad_orders)",
-)
-
-
 def _flag(ctx):
-    return ctx.flagged_lines()
+    return ctx.flagged, ctx.rule_names
 
 
 def _split(ctx):
-    flagged, _ = _flag(ctx)
-    return quality.quarantine_orders(flagged)
+    return quality.quarantine_orders(ctx.flagged)
 
 
 _DUP_SQL = "\nUNION ALL\n".join(
@@ -116,8 +62,8 @@ _KEYS = {
     "labour": ("raw_labour", ["shift_id"]),
     "customer_feedback": ("raw_customer_feedback", ["feedback_id"]),
     "waste": ("raw_waste", ["waste_id"]),
-    "loyalty": ("loyalty", ["loyalty_event_id"]),
-    "delivery": ("delivery", ["order_id"]),
+    "loyalty": ("raw_loyalty", ["loyalty_event_id"]),
+    "delivery": ("raw_delivery", ["order_id"]),
     "targets": ("targets", ["restaurant_id", "month"]),
     "calendar": ("calendar", ["business_date", "state"]),
     "transactions_by_line": ("raw_transactions", ["order_id", "product_id"]),
@@ -202,38 +148,24 @@ def q06_quarantine_lines(ctx):
     ),
 )
 def a41_quality_summary(ctx):
-    """Clean vs quarantined lines, orders and revenue."""
-    from ..functions.semantics import money_sum
-
-    flagged, _ = _flag(ctx)
-    clean, rejected = quality.quarantine_orders(flagged)
-    return flagged.agg(
-        F.count(F.lit(1)).alias("raw_lines_after_dedup"),
-        F.countDistinct(F.when(F.col("_invalid"), F.col("order_id"))).alias("quarantined_orders"),
-    ).select(
-        "raw_lines_after_dedup",
-        clean.select(F.count(F.lit(1))).scalar().alias("clean_lines"),
-        clean.select(F.countDistinct("order_id")).scalar().alias("clean_orders"),
-        "quarantined_orders",
-        clean.select(money_sum("net_revenue")).scalar().alias("clean_revenue"),
-        rejected.select(money_sum("net_revenue")).scalar().alias("quarantined_revenue"),
-    )
+    """Clean vs quarantined lines, orders and revenue, in one grouping by order."""
+    return quality.quality_summary(ctx.flagged)
 
 
 @query(
     "q07_event_cascade",
     typed(
         with_ctes(
-            ["clean_lines", "delivery", "loyalty"],
+            ["clean_lines", "raw_delivery", "raw_loyalty"],
             """SELECT 'delivery' AS tbl,
        count(*) FILTER (WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM clean_lines)) AS lost_rows,
        count(*) FILTER (WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM clean_lines)) AS kept_rows
-FROM delivery
+FROM raw_delivery
 UNION ALL
 SELECT 'loyalty',
        count(*) FILTER (WHERE order_id IS NOT NULL AND order_id NOT IN (SELECT order_id FROM clean_lines)),
        count(*) FILTER (WHERE order_id IS NULL OR order_id IN (SELECT order_id FROM clean_lines))
-FROM loyalty""",
+FROM raw_loyalty""",
         ),
         "tbl:s, lost_rows:i, kept_rows:i",
     ),
@@ -242,7 +174,7 @@ def q07_event_cascade(ctx):
     """Delivery and loyalty events of quarantined orders are excluded (Q07)."""
     clean, _ = _split(ctx)
     out = None
-    for name, df in (("delivery", ctx.delivery), ("loyalty", ctx.loyalty)):
+    for name, df in (("delivery", ctx.raw_delivery), ("loyalty", ctx.raw_loyalty)):
         kept, lost = quality.cascade_lost_orders(df, clean)
         part = lost.agg(F.count(F.lit(1)).alias("lost_rows")).select(
             F.lit(name).alias("tbl"), "lost_rows", kept.select(F.count(F.lit(1))).scalar().alias("kept_rows")
@@ -287,22 +219,8 @@ LABOUR_SPEC = (
     "q10_labour_repair",
     typed(
         with_ctes(
-            ["raw_labour", "restaurants", "calendar"],
-            """WITH l AS (
-  SELECT r.*, date_diff('second', actual_start, actual_end) / 3600.0 - break_hours AS expected,
-         (NOT paid_hours BETWEEN 0 AND 16
-          OR abs(paid_hours - (date_diff('second', actual_start, actual_end) / 3600.0 - break_hours)) > 0.01) AS bad
-  FROM raw_labour r),
-k AS (
-  SELECT l.*, CASE WHEN bad THEN expected ELSE paid_hours END AS paid_fixed, c.weekday >= 5 AS is_weekend,
-         c.is_public_holiday
-  FROM l JOIN restaurants s USING (restaurant_id) JOIN calendar c ON c.business_date = l.business_date AND c.state = s.state),
-m AS (SELECT role, is_weekend, is_public_holiday, median(hourly_cost) AS med FROM k GROUP BY ALL)
-SELECT shift_id, restaurant_id, employee_id, role, business_date, daypart, scheduled_start, scheduled_end,
-       actual_start, actual_end, break_hours, paid_fixed AS paid_hours, coalesce(hourly_cost, m.med) AS hourly_cost,
-       CAST(hourly_cost IS NULL AS INTEGER) AS rate_imputed,
-       round_even(paid_fixed * coalesce(hourly_cost, m.med), 2) AS labour_cost, bad AS hours_repaired
-FROM k LEFT JOIN m USING (role, is_weekend, is_public_holiday)""",
+            ["repaired_labour"],
+            "SELECT * FROM repaired_labour",
         ),
         LABOUR_SPEC,
     ),
@@ -336,16 +254,16 @@ def _contract_sql() -> str:
     req_null = " OR ".join(f"{c} IS NULL" for c in req)
     money = ["list_revenue", "discount_amount", "net_revenue", "gst_amount", "ingredient_cost"]
     rows = [
-        ("Schema columns", "count(*) * 0", "Required schema columns present"),
+        ("Schema columns", "count(*) * 0", "all expected columns are there"),
         ("Unique primary key", "min((SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM d GROUP BY transaction_line_id)))", "transaction_line_id"),
-        ("Primary key populated", "count(*) FILTER (WHERE transaction_line_id IS NULL)", "Null primary keys prohibited"),
+        ("Primary key populated", "count(*) FILTER (WHERE transaction_line_id IS NULL)", "no key part may be null"),
         ("Required values", f"count(*) FILTER (WHERE {req_null})", ", ".join(sorted(req))),
-        ("Restaurant relationship", "count(*) FILTER (WHERE s.restaurant_id IS NULL)", "Stable restaurant_id master reference"),
-        ("Valid timestamp_local", "count(*) FILTER (WHERE try_cast(d.timestamp_local AS TIMESTAMP) IS NULL)", "Parseable date/timestamp"),
+        ("Restaurant relationship", "count(*) FILTER (WHERE s.restaurant_id IS NULL)", "site is in the site master"),
+        ("Valid timestamp_local", "count(*) FILTER (WHERE try_cast(d.timestamp_local AS TIMESTAMP) IS NULL)", "reads as a date or time"),
     ]
     rows += [
         (f"Valid {m}", f"count(*) FILTER (WHERE {m} IS NULL OR isnan({m}) OR isinf({m}) OR {m} < 0)",
-         "Finite non-negative monetary value")
+         "finite amount, zero or more")
         for m in money
     ]
     sel = "\nUNION ALL\n".join(
@@ -406,25 +324,24 @@ def q13_missing_profile(ctx):
     "q14_revenue_reconciliation",
     typed(
         with_ctes(
-            ["transactions", "labour", "waste", "customer_feedback", "targets", "store_month_kpis"],
-            f"""WITH sql_side AS ({_kpi_sql("strftime(business_date, '%Y-%m')", msum)}),
-j AS (SELECT coalesce(a.restaurant_id, b.restaurant_id) AS restaurant_id, coalesce(a.month, b.month) AS month,
-             a.revenue AS left_value, b.revenue AS right_value, a.restaurant_id IS NOT NULL AS in_l,
-             b.restaurant_id IS NOT NULL AS in_r
-      FROM sql_side a FULL OUTER JOIN store_month_kpis b ON a.restaurant_id = b.restaurant_id AND a.month = b.month)
+            ["transactions", "store_month_kpis"],
+            f"""WITH cells AS (
+  SELECT restaurant_id, month, {msum('net_revenue')} AS sold, NULL::DOUBLE AS reported, 1 AS l, 0 AS r
+  FROM transactions GROUP BY restaurant_id, month
+  UNION ALL SELECT restaurant_id, month, NULL, revenue, 0, 1 FROM store_month_kpis),
+s AS (SELECT restaurant_id, month, max(sold) AS left_value, max(reported) AS right_value, sum(l) AS l, sum(r) AS r
+      FROM cells GROUP BY restaurant_id, month)
 SELECT restaurant_id, month, left_value, right_value,
-       CASE WHEN in_l AND in_r THEN 'both' WHEN in_l THEN 'left_only' ELSE 'right_only' END AS match,
-       NOT (in_l AND in_r) OR abs(left_value - right_value) > 0.01 + 1e-9 AS mismatch
-FROM j""",
+       CASE l - r WHEN 0 THEN 'both' WHEN 1 THEN 'left_only' ELSE 'right_only' END AS match,
+       l <> r OR abs(left_value - right_value) > 0.010000001 AS mismatch
+FROM s""",
         ),
         "restaurant_id:i, month:s, left_value:d, right_value:d, match:s, mismatch:b",
     ),
 )
 def q14_revenue_reconciliation(ctx):
-    """Independent SQL revenue vs monthly KPI revenue, full outer join."""
-    ctx.views(["transactions", "labour", "waste", "customer_feedback", "targets"])
-    sql_side = ctx.spark.sql(_kpi_sql("date_format(business_date, 'yyyy-MM')", smsum))
-    return quality.reconcile(sql_side, ctx.store_month_kpis, ["restaurant_id", "month"], "revenue")
+    """Monthly revenue from source facts against the KPI mart, full outer join."""
+    return quality.reconcile(monthly_from_facts(ctx), ctx.store_month_kpis, ["restaurant_id", "month"], "revenue")
 
 
 @query(

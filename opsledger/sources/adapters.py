@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..functions.semantics import daypart, month_text
+from ..functions.semantics import broadcast_if_small, daypart, month_text
 from . import tables
 
 HISTORY_START = "2024-01-01"
@@ -80,7 +80,7 @@ class Source:
     # ---- dimensions -----------------------------------------------------
     def restaurants(self) -> DataFrame:
         n, r = self.t("nation"), self.t("region")
-        return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+        return n.join(broadcast_if_small(r), n.n_regionkey == r.r_regionkey).select(
             n.n_nationkey.alias("restaurant_id"),
             n.n_name.alias("restaurant_name"),
             r.r_name.alias("state"),
@@ -146,7 +146,7 @@ class Source:
             "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
         )
         return li.withColumn(
-            "transaction_line_id", F.col("l_orderkey") * 1000 + F.row_number().over(w)
+            "transaction_line_id", F.col("l_orderkey") * 1_000_000 + F.row_number().over(w)
         )
 
     def transactions(self) -> DataFrame:
@@ -155,7 +155,7 @@ class Source:
         osite = self.order_sites()
         stores = self.restaurants().select("restaurant_id", "restaurant_name")
         j = li.join(osite, li.l_orderkey == osite.order_id).join(
-            F.broadcast(stores), "restaurant_id"
+            broadcast_if_small(stores), "restaurant_id"
         )
         j = j.withColumn("_p", F.round(F.col("l_extendedprice") * 100).cast("long"))
         j = j.withColumn(
@@ -434,6 +434,85 @@ class Source:
             status.alias("status"), F.col("props").alias("note"), F.col("value"),
         )
 
+    # ---- action plans, proposals and outcomes (fixed mapping, from event and action ids) --------
+    # Planted defects by residue of the action id (proposals) or event id (plans, outcomes):
+    # proposals 17 site -1, 19 month 13, 23 no fingerprint, 29 other source month, 31 live data,
+    # 37 profit off by 1; plans 41 early start, 43 end before start, 47 early measurement,
+    # 53 unknown metric, 59 target -2, 61 score guardrail 7, 67 no owner; outcomes 71 older
+    # revision, 73 unknown kind, 79 window too long, 83 a metric missing.
+    METRIC_TARGETS = (
+        ("labour_cost_pct", 0.2), ("waste_pct", 0.1), ("operating_margin_pct", 0.3),
+        ("satisfaction_score", 4.0), ("operating_profit", 1000.0), ("revenue", 50000.0),
+    )
+
+    def action_proposals(self, kpis: DataFrame) -> DataFrame:
+        """One proposal per action on the December ledger of its site (site = action mod 25)."""
+        a = self.t("events").groupBy(F.col("user_id").alias("action_id")).agg(F.lit(1).alias("_"))
+        key = F.col("action_id")
+        base = kpis.where("month = '2025-12'").drop("month").withColumnRenamed("restaurant_id", "_site")
+        j = a.join(base, key % 25 == F.col("_site"), "left")
+        period = F.when(key % 19 == 0, "2025-13").otherwise("2025-12")
+        return j.select(
+            "action_id",
+            F.when(key % 17 == 0, -1).otherwise(key % 25).cast("long").alias("restaurant_id"),
+            "restaurant_name", period.alias("period"),
+            "revenue", "discounts", "transactions", "ingredient_cost", "waste_cost", "labour_cost", "paid_hours",
+            "commission_cost", "overhead_cost", "campaign_cost",
+            (F.col("operating_profit") + F.when(key % 37 == 0, 1.0).otherwise(0.0)).alias("operating_profit"),
+            "labour_cost_pct", "waste_pct", "operating_margin_pct", "satisfaction_score",
+            F.when(key % 23 == 0, "unknown").otherwise(F.sha2(F.concat(F.lit("ledger:"), key.cast("string")), 256)).alias("source_fingerprint"),
+            F.when(key % 29 == 0, "2025-11").otherwise(period).alias("source_period"),
+            F.when(key % 31 == 0, "live").otherwise("synthetic_history").alias("data_kind"),
+        )
+
+    def action_revisions(self, events: DataFrame) -> DataFrame:
+        """A plan per proposal event of the sequenced ``events``."""
+        e = F.col("event_id")
+        start = F.date_add(F.lit("2026-01-01").cast("date"), (e % 20).cast("int"))
+        start = F.when(e % 41 == 0, F.lit("2025-12-20").cast("date")).otherwise(start)
+        begin = F.date_add(start, F.when(e % 47 == 0, -2).otherwise(3))
+        metric, target = F.lit(None).cast("string"), F.lit(None).cast("double")
+        for i, (m, t) in enumerate(self.METRIC_TARGETS):
+            metric, target = F.when(e % 6 == i, m).otherwise(metric), F.when(e % 6 == i, t).otherwise(target)
+        text = lambda what: F.concat(F.lit(f"{what} "), e.cast("string"))
+        return events.where("status = 'proposed'").select(
+            "action_id", "revision", "created_at",
+            F.lit("2025-12").alias("period"),
+            text("problem").alias("problem"), text("evidence").alias("evidence"), text("trial").alias("intervention"),
+            F.when(e % 67 == 0, " ").otherwise(F.concat(F.lit("Owner "), (e % 7).cast("string"))).alias("owner"),
+            text("against").alias("comparison_approach"), text("basis").alias("expected_impact_basis"),
+            start.alias("start_date"),
+            F.date_add(start, F.when(e % 43 == 0, -1).otherwise(30)).alias("end_date"),
+            begin.alias("measurement_start"), F.date_add(begin, 20).alias("measurement_end"),
+            F.when(e % 53 == 0, "footfall").otherwise(metric).alias("primary_metric"),
+            F.when(e % 59 == 0, -2.0).otherwise(target).alias("target"),
+            F.when(e % 61 == 0, 7.0).otherwise(3.5).alias("satisfaction_min"),
+            F.lit(0.2).alias("late_delivery_max"),
+            ((e % 5).cast("double") * -0.01).alias("hours_change"), F.lit(0.0).alias("wage_change"),
+            ((e % 3).cast("double") * 0.01).alias("price_change"), F.lit(0.0).alias("demand_change"),
+        )
+
+    def action_outcomes(self, events: DataFrame, revisions: DataFrame) -> DataFrame:
+        """An outcome per even-numbered in-progress event, against the revision of its time."""
+        e = F.col("event_id")
+        o = events.where("status = 'in progress' AND event_id % 2 = 0").withColumn("latest_revision", F.col("revision"))
+        o = o.withColumn("revision", F.col("revision") - F.when(e % 71 == 0, 1).otherwise(0))
+        plan = revisions.select("action_id", "revision", "primary_metric", "measurement_start", "measurement_end")
+        j = o.join(plan, ["action_id", "revision"], "left")
+        value = F.when(F.col("primary_metric") == "satisfaction_score", 1.0 + e % 5).otherwise((e % 100) / 100.0)
+        names = F.array_distinct(F.filter(F.array(
+            F.coalesce("primary_metric", F.lit("footfall")), F.lit("satisfaction_score"),
+            F.when(e % 83 != 0, F.lit("late_delivery_pct")),
+        ), lambda x: x.isNotNull()))
+        filled = lambda n: F.when(n == "satisfaction_score", (1 + e % 5).cast("double")).when(n == "late_delivery_pct", (e % 10) / 10.0).otherwise(value)
+        return j.select(
+            e.alias("outcome_id"), "action_id", "revision", "latest_revision", F.col("status").alias("action_status"), "created_at",
+            F.when(e % 73 == 0, "guess").when(e % 4 == 0, "simulated").otherwise("user_entered").alias("kind"),
+            F.date_add("measurement_start", F.when(e % 3 == 0, 1).otherwise(0)).alias("window_start"),
+            F.date_add("measurement_end", F.when(e % 79 == 0, 5).otherwise(0)).alias("window_end"),
+            F.map_from_arrays(names, F.transform(names, filled)).alias("metrics"),
+        )
+
     # ---- raw product export with planted taxonomy defects (fixed mapping) ----
     # key mod 7 = 0: category written in lower case with padding (an alias);
     # key mod 11 = 0: a valid but wrong category, rotated

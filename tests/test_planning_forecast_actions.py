@@ -34,12 +34,12 @@ def test_shift_with_break_spreads_over_three_hours(spark):
 
 
 def test_invalid_shift_raises(spark):
-    with pytest.raises(ValueError, match="Invalid scheduled shift"):
+    with pytest.raises(ValueError, match="end before they start"):
         planning.scheduled_hourly(_shift(spark, dt.time(14), dt.time(11)))
 
 
 def test_shift_outside_trading_hours_raises(spark):
-    with pytest.raises(ValueError, match="outside supported trading hours"):
+    with pytest.raises(ValueError, match="outside trading hours"):
         planning.scheduled_hourly(_shift(spark, dt.time(8), dt.time(12)))
 
 
@@ -299,8 +299,8 @@ def test_bundle_gate_passes_and_fails(ctx, spark):
     bundle.raise_on_fail(checks)  # every check passes on the built marts
     dup = ctx.store_day.unionByName(ctx.store_day.limit(1))
     bad = bundle.key_checks("store_day", dup, bundle.KEYS["store_day"], ctx.restaurants.select("restaurant_id"))
-    with pytest.raises(ValueError, match="store_day: complete unique key"):
-        bundle.raise_on_fail(bad[0])
+    with pytest.raises(ValueError, match="store_day"):
+        bundle.raise_on_fail(bad)
 
 
 # ---------------------------------------------------------------- sources and sinks
@@ -408,7 +408,7 @@ def test_strict_plan_raises_exactly_when_history_is_incomplete(ctx):
     plan = planning.hourly_plan(ctx.store_day, ctx.planning_hour, ctx.forecast_daily)
     incomplete = plan.filter(~F.col("history_complete")).count()
     if incomplete:
-        with pytest.raises(ValueError, match="Insufficient prior weekday"):
+        with pytest.raises(ValueError, match="no basket value"):
             planning.hourly_plan(ctx.store_day, ctx.planning_hour, ctx.forecast_daily, strict=True)
     else:
         assert planning.hourly_plan(ctx.store_day, ctx.planning_hour, ctx.forecast_daily, strict=True).count() == plan.count()
@@ -418,5 +418,5 @@ def test_forecasts_from_two_origins_are_rejected(ctx):
     two = ctx.forecast_daily.unionByName(
         ctx.forecast_daily.withColumn("origin_date", F.date_sub("origin_date", 1))
     )
-    with pytest.raises(ValueError, match="single origin"):
+    with pytest.raises(ValueError, match="one origin"):
         planning.check_forecasts(two)
