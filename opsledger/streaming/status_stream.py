@@ -1,6 +1,6 @@
 """Incremental hourly status counts of the action log with Structured Streaming.
 
-The reference rebuilds everything in batch; this is the incremental form of
+The marts are rebuilt in batch; this is the incremental form of
 the action-log roll-up (E02) over the append-only ``events`` folder: new files
 are picked up as they land, late events are accepted up to the watermark, and
 each closed hour is emitted once (append mode).  State is bounded by the
