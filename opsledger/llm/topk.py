@@ -51,6 +51,19 @@ def _matrix(vectors: list) -> np.ndarray:
     return m.astype(np.float64) if top * top * max(1, m.shape[1]) < 2**53 else m
 
 
+def _products(vectors: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products with ``q``, in the cheapest arithmetic that holds every partial sum."""
+    largest = float(np.abs(vectors).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, q.size)
+    if largest < 2**53:
+        return (vectors.astype(np.float64, copy=False) @ q.astype(np.float64)).astype(np.int64)
+    if largest < 2**62:
+        return vectors.astype(np.int64) @ q.astype(np.int64)
+    whole = vectors.astype(np.int64).astype(object) @ q.astype(np.int64).astype(object)
+    if any(not -(2**63) <= x < 2**63 for x in whole):
+        raise ValueError("a score does not fit a long")
+    return whole.astype(np.int64)
+
+
 class _Chunk:
     """Candidates of one chunk, by falling length, with sorted lists per coordinate on demand."""
 
@@ -96,10 +109,7 @@ class _Chunk:
         """Ids and scores of the best k rows (ties: smaller id), none below ``floor``."""
         rows = self.candidates(q, q_norm, floor)
         ids, vectors = self.ids[rows], self.vectors[rows]
-        if vectors.dtype == np.float64 and q.dtype == np.float64 and np.abs(q).max(initial=0) * np.abs(vectors).max(initial=0) * max(1, q.size) < 2**53:
-            score = (vectors @ q).astype(np.int64)
-        else:
-            score = vectors.astype(np.int64) @ q.astype(np.int64)
+        score = _products(vectors, q)
         ok = ids != query_id
         if floor is not None:
             ok &= score >= floor
