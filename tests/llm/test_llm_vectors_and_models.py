@@ -81,9 +81,7 @@ def vectors(spark, seed=1, n=500, dim=16, labels=3, scale=None):
         elif rows and kind < 0.4:
             v = np.array(rows[int(rng.integers(len(rows)))][1]) * 2  # same direction
         else:
-            v = rng.normal(0, 1, dim)
-        if scale:
-            v = v * scale ** rng.random()
+            v = rng.normal(0, 1, dim) * (scale or 1) ** rng.random()
         rows.append((i, [float(x) for x in np.float32(v)], int(rng.integers(labels)) if i else 0))
     nan, inf = float("nan"), float("inf")
     rows += [(n, None, 1), (n + 1, [], 1), (n + 2, [0.0] * dim, 1), (n + 3, [nan] * dim, 1), (n + 4, [inf] * dim, 1), (n + 5, [None, *[1.0] * (dim - 1)], 1)]
@@ -159,6 +157,14 @@ def test_top_k_equals_brute_force(spark, monkeypatch, scale, chunk):
     assert Counter(tuple(r) for r in few.collect()) == brute_top(rows[:3], 5)
 
 
+def test_products_are_exact_or_refused():
+    big = np.array([[2**40 + 1, 3], [5, -7]], np.int64)
+    assert topk._products(big, np.array([2**20 + 1, 1])).tolist() == [(2**40 + 1) * (2**20 + 1) + 3, 5 * (2**20 + 1) - 7]
+    assert topk._products(np.array([[2**61, -(2**61)]]), np.array([2, 2])).tolist() == [0]
+    with pytest.raises(ValueError):
+        topk._products(np.array([[2**61, 2**61]]), np.array([2, 2]))
+
+
 def test_top_k_prunes(monkeypatch):
     """Lengths and coordinates leave out most rows, and never one of the best."""
     rng = np.random.default_rng(1)
@@ -238,14 +244,18 @@ def test_chain_uses_out_of_fold_probabilities():
 
 
 def test_toxicity_of_odd_rows(spark):
-    docs = spark.createDataFrame([(*r, True) for r in ODD_DOCS], "doc_id long, text string, rejected boolean")
-    labels = spark.createDataFrame([(8, 1), (7, 0), (2, 0), (5, 1), (5, 0), (None, 1)], "doc_id long, toxic int")
+    taught = [(100 + i, "what an idiot and scum" if i % 2 else "what a fine day") for i in range(40)]
+    rows = ODD_DOCS + taught
+    docs = spark.createDataFrame([(*r, True) for r in rows], "doc_id long, text string, rejected boolean")
+    labels = [(d, int(d % 2)) for d, _ in taught] + [(8, 1), (7, 0), (2, 0), (5, 1), (5, 0), (None, 1)]
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
     got = toxicity.judge_toxicity(docs, labels, least=1).collect()
-    assert len(got) == len(ODD_DOCS) and {r.doc_id for r in got if r.rejected} == {8}
+    bad = {8, *(d for d, _ in taught if d % 2)}
+    assert len(got) == len(rows) and {r.doc_id for r in got if r.rejected} == bad
     clean = toxicity.keep_clean(docs, labels, least=1)
-    assert clean.columns == docs.columns and clean.count() == len(ODD_DOCS) - 1
+    assert clean.columns == docs.columns and clean.count() == len(rows) - len(bad)
     none = toxicity.judge_toxicity(docs, labels.where("toxic = 0")).collect()
-    assert len(none) == len(ODD_DOCS) and not any(r.rejected or r.p_toxic for r in none)
+    assert len(none) == len(rows) and not any(r.rejected or r.p_toxic for r in none)
     assert toxicity.judge_toxicity(docs.limit(0), labels).count() == 0
 
 
