@@ -5,8 +5,8 @@ its site-cluster bootstrap (D01, D03, D04, K04).
   the lowest within-cluster cost kept (restarts); clusters are
   named by ascending mean operating margin.
 * D03: both series are residualised on site, weekday and month indicators plus
-  log1p(orders) with an unstandardised ridge (alpha = 1), fitted by Spark ML's
-  normal-equation solver (X'X aggregated on the executors).
+  log1p(orders) with an unstandardised ridge (alpha = 1), solved in
+  closed form with site coefficients eliminated (grouped_ridge).
 * D04: whole sites are resampled.  Each site is reduced once to six sums
   (n, sx, sy, sxx, syy, sxy); a resample is a multiset of sites, so its
   correlation follows in closed form from weighted sums.  Draws are stateless
@@ -18,11 +18,11 @@ from __future__ import annotations
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import broadcast_if_small, ratio
+from .grouped_ridge import fit_grouped
 
 SEGMENT_FEATURES = [
     "operating_margin_pct",
@@ -77,18 +77,6 @@ def site_segments(
     return labelled.join(F.broadcast(rank), "cluster_id")  # k rows
 
 
-def _ridge_residual(df: DataFrame, label: str, feature_cols: list[str], alpha: float) -> Column:
-    """Fit ridge (raw features, intercept unpenalised) and return the residual column."""
-    stats = df.agg(F.count(F.lit(1)).alias("n"), F.stddev_pop(label).alias("sd")).first()
-    sd = stats["sd"] or 1.0
-    lr = LinearRegression(
-        featuresCol="_controls", labelCol=label, predictionCol=f"_pred_{label}",
-        regParam=alpha * sd / stats["n"], elasticNetParam=0.0, standardization=False, fitIntercept=True,
-        solver="normal" if len(feature_cols) <= 4096 else "l-bfgs", maxIter=200,
-    )
-    return lr.fit(df)
-
-
 def association_sample(daily: DataFrame, min_surveys: int = 3, orders_per_service_hour: float = 6.0) -> DataFrame:
     """Site-days with at least ``min_surveys`` answers and a defined service pressure."""
     s = daily.filter(F.col("survey_responses") >= min_surveys).select(
@@ -101,31 +89,22 @@ def association_sample(daily: DataFrame, min_surveys: int = 3, orders_per_servic
 
 def residualised(sample: DataFrame, alpha: float = 1.0) -> DataFrame:
     """x = service pressure, y = satisfaction, both minus their ridge fit on the controls."""
-    levels = sample.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array_sort(F.collect_set("restaurant_id")).alias("s"),
-        F.array_sort(F.collect_set("weekday")).alias("w"),
-        F.array_sort(F.collect_set("month")).alias("m"),
-    ).first()  # distinct levels of three low-cardinality dimensions
-    if levels["n"] < 2:  # nothing to fit: no residuals (the correlation stays null)
+    few = sample.agg(F.array_sort(F.collect_set("month")).alias("m")).first()  # twelve months of the year at most per year
+    months = few["m"]
+    site = {"site": F.lit(1.0)}
+    cols = {f"weekday_{v}": (F.col("weekday") == v).cast("double") for v in range(7)}
+    cols |= {f"month_{v}": (F.col("month") == v).cast("double") for v in months}
+    cols["log_orders"] = F.log1p(F.col("transactions").cast("double"))
+    labels = {c: F.col(c) for c in ("service_pressure", "satisfaction_score")}
+    fits = fit_grouped(sample, "restaurant_id", site, cols, labels, alpha, scaled=False)
+    if not fits:  # nothing to fit: no residuals (the correlation stays null)
         return sample.select(
             "restaurant_id", "business_date",
             F.lit(None).cast("double").alias("x_res"), F.lit(None).cast("double").alias("y_res"),
         ).filter(F.lit(False))
-    cols: dict[str, Column] = {}
-    for v in levels["s"]:
-        cols[f"restaurant_id_{v}"] = (F.col("restaurant_id") == v).cast("double")
-    for v in levels["w"]:
-        cols[f"weekday_{v}"] = (F.col("weekday") == v).cast("double")
-    for v in levels["m"]:
-        cols[f"month_{v}"] = (F.col("month") == v).cast("double")
-    cols["log_orders"] = F.log1p(F.col("transactions").cast("double"))
-    names = list(cols)
-    d = sample.select("*", *[c.alias(n) for n, c in cols.items()])
-    d = VectorAssembler(inputCols=names, outputCol="_controls").transform(d)
-    mx = _ridge_residual(d, "service_pressure", names, alpha)
-    my = _ridge_residual(d, "satisfaction_score", names, alpha)
-    d = my.transform(mx.transform(d))
+    d = sample
+    for label, fit in fits.items():
+        d = fit.predict(d, site, cols, f"_pred_{label}")
     return d.select(
         "restaurant_id", "business_date",
         (F.col("service_pressure") - F.col("_pred_service_pressure")).alias("x_res"),

@@ -6,10 +6,8 @@ lag7, lag28, mean28 (mean of the 28 previous days).  Lags are row offsets on
 the gap-free daily spine, taken only from days before the target day.
 
 The ridge (alpha on population-standardised features, unpenalised intercept)
-is fitted with Spark ML's normal-equation solver: X'X is aggregated on the
-executors and only the p x p system is solved on the driver.  Spark scales its
-L2 term by the label's standard deviation, so ``regParam = alpha * std(y) / n``
-reproduces the textbook objective ``|y - Xw|^2 + alpha |w|^2``.
+is solved in closed form by eliminating each site's own coefficients
+(:mod:`grouped_ridge`): one path for any number of sites, no column per site.
 
 Forecasts are recursive (each day's prediction feeds the next day's lags).
 Because the model is linear, the calendar part of every future row is an
@@ -21,14 +19,12 @@ ordinary column expression and only the lag part recurses: per site one SQL
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
-
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import broadcast_if_small, clip_lower, weekday
+from .grouped_ridge import GroupedFit, fit_grouped
 
 MODEL = "Calendar ridge"
 LAGS = ("lag7", "lag28", "mean28")
@@ -85,49 +81,28 @@ def design(site_ids: list[int]) -> dict[str, Column]:
     return cols
 
 
-@dataclass
-class RidgeFit:
-    names: list[str]
-    mean: list[float]
-    scale: list[float]
-    coef: list[float]  # on standardised features
-    intercept: float
+def site_features() -> dict[str, Column]:
+    """What every site has a coefficient of its own for."""
+    return {"store": F.lit(1.0), "weekend_store": (F.col("weekday") >= 5).cast("double")}
 
-    def raw_weights(self) -> dict[str, float]:
-        """Weights on the raw features (w / scale)."""
-        return {n: c / s for n, c, s in zip(self.names, self.coef, self.scale)}
 
-    def raw_intercept(self) -> float:
-        return self.intercept - sum(c * m / s for c, m, s in zip(self.coef, self.mean, self.scale))
+def common_features(lags: bool = True) -> dict[str, Column]:
+    cols = {f"weekday_{d}": (F.col("weekday") == d).cast("double") for d in range(7)}
+    for c in ("annual_sin", "annual_cos", "trend_years", "holiday", *(LAGS if lags else ())):
+        cols[c] = F.col(c).cast("double")
+    return cols
 
 
-def fit_ridge(train: DataFrame, site_ids: list[int], alpha: float = 60.0) -> RidgeFit:
+def fit_ridge(train: DataFrame, alpha: float = 60.0) -> GroupedFit:
     """Ridge on population-standardised features (zero variance -> scale 1)."""
-    cols = design(site_ids)
-    names = list(cols)
-    x = train.select(*[c.alias(n) for n, c in cols.items()], F.col("revenue").cast("double").alias("label"))
-    stats = x.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.stddev_pop("label").alias("label_std"),
-        *[F.avg(n).alias(f"m_{i}") for i, n in enumerate(names)],
-        *[F.stddev_pop(n).alias(f"s_{i}") for i, n in enumerate(names)],
-    ).first()
-    n = stats["n"]
-    mean = [stats[f"m_{i}"] for i in range(len(names))]
-    scale = [stats[f"s_{i}"] if stats[f"s_{i}"] else 1.0 for i in range(len(names))]
-    z = x.select(*[((F.col(nm) - F.lit(m)) / F.lit(s)).alias(nm) for nm, m, s in zip(names, mean, scale)], "label")
-    vec = VectorAssembler(inputCols=names, outputCol="features").transform(z)
-    label_std = stats["label_std"] or 1.0
-    lr = LinearRegression(
-        regParam=alpha * label_std / n, elasticNetParam=0.0, standardization=False, fitIntercept=True,
-        solver="normal" if len(names) <= 4096 else "l-bfgs", maxIter=200,
-    )
-    m = lr.fit(vec)
-    return RidgeFit(names, mean, scale, [float(v) for v in m.coefficients], float(m.intercept))
+    fits = fit_grouped(train, "restaurant_id", site_features(), common_features(), {"revenue": F.col("revenue")}, alpha)
+    if not fits:
+        raise ValueError("no training rows for the ridge")
+    return fits["revenue"]
 
 
 def recursive_forecast(
-    fit: RidgeFit,
+    fit: GroupedFit,
     history: DataFrame,
     restaurants: DataFrame,
     calendar: DataFrame,
@@ -140,9 +115,6 @@ def recursive_forecast(
     Only history on or before the origin is read (F05).  Predictions are
     clipped at 0 before they feed later lags.
     """
-    wts = fit.raw_weights()
-    b0 = fit.raw_intercept()
-    site_ids = [int(n.split("_")[1]) for n in fit.names if n.startswith("store_")]
     o = F.lit(origin).cast("date")
     sites = restaurants.select("restaurant_id", "state")
     fut = sites.select(
@@ -152,12 +124,8 @@ def recursive_forecast(
     fut = fut.join(hol, ["business_date", "state"], "left").fillna(0, subset=["holiday"]).withColumns(
         calendar_columns(start_date)
     )
-    cols = design(site_ids)
-    calendar_part = F.lit(b0)
-    for n, c in cols.items():
-        if n not in LAGS:
-            calendar_part = calendar_part + c * F.lit(wts[n])
-    fut = fut.select("restaurant_id", "horizon_day", "business_date", calendar_part.alias("base"))
+    fut = fit.predict(fut, site_features(), common_features(lags=False), "base")
+    fut = fut.select("restaurant_id", "horizon_day", "business_date", "base")
     per_site = fut.groupBy("restaurant_id").agg(
         F.array_sort(F.collect_list(F.struct("horizon_day", "base"))).alias("days")  # horizon-bounded
     )
@@ -168,7 +136,7 @@ def recursive_forecast(
         .agg(F.array_sort(F.collect_list(F.struct("business_date", "revenue"))).alias("tail"))
         .select("restaurant_id", F.transform("tail", lambda s: s["revenue"].cast("double")).alias("state"))
     )
-    w7, w28, wm = F.lit(wts["lag7"]), F.lit(wts["lag28"]), F.lit(wts["mean28"])
+    w7, w28, wm = (F.lit(fit.common[c]) for c in LAGS)
 
     def step(state, d):
         n = F.size(state)
@@ -203,16 +171,14 @@ def ridge_backtest(
 ) -> DataFrame:
     """Ridge traces for (period, fold, origin) triples joined to actuals; one fit
     per origin on rows up to that origin only.  ``rows`` are precomputed
-    :func:`feature_rows` (e.g. a stored table reused by every fit).  The site list
-    is a dimension (one row per site) and sizes the design."""
-    site_ids = [int(r["restaurant_id"]) for r in restaurants.select("restaurant_id").orderBy("restaurant_id").collect()]
+    :func:`feature_rows` (e.g. a stored table reused by every fit)."""
     if rows is None:
         rows = feature_rows(history, restaurants, calendar, start_date)
     actual = history.select("restaurant_id", "business_date", F.col("revenue").alias("actual_revenue"))
     parts = []
     for period, fold, origin in origins:
         train = rows.filter(F.col("business_date") <= F.lit(origin).cast("date"))
-        fit = fit_ridge(train, site_ids, alpha)
+        fit = fit_ridge(train, alpha)
         f = recursive_forecast(fit, history, restaurants, calendar, origin, start_date, horizon)
         parts.append(
             f.withColumns({"evaluation_period": F.lit(period), "fold": F.lit(fold)}).join(

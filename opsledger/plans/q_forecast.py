@@ -200,8 +200,7 @@ def f10_winner_forecast(ctx):
             "forecast_features",
             lambda: forecast_models.feature_rows(hist, ctx.restaurants, ctx.calendar, HISTORY_START),
         )
-        ids = [int(r[0]) for r in ctx.restaurants.select("restaurant_id").orderBy("restaurant_id").collect()]
-        fit = forecast_models.fit_ridge(rows, ids)
+        fit = forecast_models.fit_ridge(rows)
         final = forecast_models.recursive_forecast(
             fit, hist, ctx.restaurants, ctx.forecast_calendar, HISTORY_END, HISTORY_START
         )

@@ -78,7 +78,7 @@ def ridge(ctx):
     rows = forecast_models.feature_rows(hist, ctx.restaurants, cal, HISTORY_START)
     ids = [r[0] for r in ctx.restaurants.select("restaurant_id").orderBy("restaurant_id").collect()]
     train = rows.filter(F.col("business_date") <= F.lit(ORIGIN).cast("date"))
-    fit = forecast_models.fit_ridge(train, ids, 60.0)
+    fit = forecast_models.fit_ridge(train, 60.0)
     return hist, cal, ids, train, fit
 
 
@@ -93,14 +93,46 @@ def test_ridge_matches_closed_form(ridge):
     z = (x - x.mean(0)) / sd
     zc, yc = z - z.mean(0), y - y.mean()
     w = np.linalg.solve(zc.T @ zc + 60 * np.eye(z.shape[1]), zc.T @ yc)
-    assert np.allclose(w, fit.coef, rtol=1e-6, atol=1e-6 * np.abs(w).max())
-    assert fit.intercept == pytest.approx(y.mean() - z.mean(0) @ w, rel=1e-9)
+    raw = dict(zip(cols, w / sd))
+    got = raw_weights(fit)
+    assert set(got) == set(raw)
+    assert np.allclose([got[k] for k in raw], list(raw.values()), rtol=1e-6, atol=1e-6 * np.abs(w / sd).max())
+    assert fit.intercept == pytest.approx(y.mean() - x.mean(0) @ (w / sd), rel=1e-6)
+
+
+def raw_weights(fit):
+    own = {f"{name}_{r.restaurant_id}": r.weights[i] for r in fit.groups.collect() for i, name in enumerate(fit.inner)}
+    return fit.common | own
+
+
+def test_grouped_ridge_with_thousands_of_groups(spark):
+    """More than 4096 columns in the dense design; the same closed form, by block elimination."""
+    from opsledger.operators import grouped_ridge
+
+    rng = np.random.default_rng(3)
+    n_groups, rows = 2050, 4
+    g = np.repeat(np.arange(n_groups), rows)
+    h, c = rng.integers(0, 2, g.size).astype(float), rng.normal(size=g.size)
+    y = g % 7 + 2 * h * (g % 3) + 3 * c + rng.normal(size=g.size)
+    df = spark.createDataFrame(list(zip(g.tolist(), h.tolist(), c.tolist(), y.tolist())), "g long, h double, c double, y double")
+    fit = grouped_ridge.fit_grouped(df, "g", {"one": F.lit(1.0), "h": F.col("h")}, {"c": F.col("c")}, {"y": F.col("y")}, 5.0)["y"]
+    # the dense normal equations of the whole design
+    x = np.zeros((g.size, 2 * n_groups + 1))
+    x[np.arange(g.size), g], x[np.arange(g.size), n_groups + g], x[:, -1] = 1.0, h, c
+    mean, scale = x.mean(0), x.std(0)
+    scale[scale < 1e-8] = 1.0
+    xc = x - mean
+    w = np.linalg.solve(xc.T @ xc + 5 * np.diag(scale**2), xc.T @ (y - y.mean()))
+    u, v = [y.mean() - mean @ w, w[-1]], np.c_[w[:n_groups], w[n_groups:-1]]
+    assert fit.intercept == pytest.approx(u[0], abs=1e-6) and fit.common["c"] == pytest.approx(u[1], abs=1e-6)
+    got = {r.g: r.weights for r in fit.groups.collect()}
+    assert np.allclose([got[k] for k in range(n_groups)], v, atol=1e-6)
 
 
 def test_ridge_recursion_matches_python_loop(ctx, ridge):
     hist, cal, ids, train, fit = ridge
     got = forecast_models.recursive_forecast(fit, hist, ctx.restaurants, cal, ORIGIN, HISTORY_START).toPandas()
-    wts, b0 = fit.raw_weights(), fit.raw_intercept()
+    wts, b0 = raw_weights(fit), fit.intercept
     h = hist.toPandas().sort_values(["restaurant_id", "business_date"])
     hol = {(r["business_date"], r["state"]): r["is_public_holiday"] for r in cal.collect()}
     state_of = {r["restaurant_id"]: r["state"] for r in ctx.restaurants.collect()}
