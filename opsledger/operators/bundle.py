@@ -14,6 +14,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.semantics import broadcast_if_small
 from .kpi import ADDITIVE
 
 # Grain register of the bundle, dataset -> unique, non-null keys.
@@ -101,14 +102,15 @@ def _checks(df: DataFrame, breaches: dict[str, F.Column]) -> DataFrame:
 
 def key_checks(name: str, df: DataFrame, keys: list[str], sites: DataFrame) -> DataFrame:
     """Keys without nulls or repeats, and only known sites, of one mart in one grouping (Q02, Q03)."""
-    known = sites.select("restaurant_id", F.lit(True).alias("_known"))
-    grouped = df.groupBy(*keys).agg(F.count("*").alias("_n")).join(known, "restaurant_id", "left")
+    known = broadcast_if_small(sites.select(F.col("restaurant_id").alias("_site"), F.lit(True).alias("_known")))
+    seen = df.select(*{*keys, "restaurant_id"}).join(known, F.col("restaurant_id") == F.col("_site"), "left")
+    grouped = seen.groupBy(*keys).agg(F.count("*").alias("_n"), F.count_if(F.col("_known").isNull()).alias("_lost"))
     no_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return _checks(
         grouped,
         {
             f"{name}: key": F.count_if(~no_null | (F.col("_n") > 1)),
-            f"{name}: site": F.count_if(F.col("_known").isNull()),
+            f"{name}: site": F.sum("_lost"),
         },
     )
 
