@@ -79,6 +79,13 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
 
 
+def op8_site_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that each document keeps when small sources count and near copies vote once."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    out = line_dedup.drop_site_lines(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("kept_chars"), F.md5(F.col("text").cast("binary")).alias("kept_md5"))
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents whose sets of four-word shingles have a Jaccard of 0.85 or more."""
     return ngram_join.jaccard_classes(table(spark, folder, "documents").select("doc_id", "text"), words=4, percent=85)
@@ -92,7 +99,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_source_mix, op2_url_filter, op3_embedding_near_dedup, op4_best_fit_packing, op5_quality, op6_top_inner_products, op7_toxicity, op8_line_dedup, op9_ngram_jaccard_join, op10_token_counts)
+    for f in (op1_source_mix, op2_url_filter, op3_embedding_near_dedup, op4_best_fit_packing, op5_quality, op6_top_inner_products, op7_toxicity, op8_line_dedup, op8_site_lines, op9_ngram_jaccard_join, op10_token_counts)
 }
 
 _WORDS = "length(regexp_replace(regexp_replace(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 'x', 'g'), '[\\x20\\x09-\\x0D]+', '', 'g'))"

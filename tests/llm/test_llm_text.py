@@ -137,6 +137,45 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.drop_boilerplate(frame(spark, [])).count() == 0
 
 
+def brute_site_lines(rows, ratio, least, alike):
+    gap = " \t\n\x0b\x0c\r"
+    pages = defaultdict(dict)
+    for _, t, s in rows:
+        if t is not None:
+            pages[s][t] = {x for y in t.split("\n") if (x := y.strip(gap))}
+    bad = set()
+    for s, sets in pages.items():
+        vote = {t: t for t in sets}
+        for a in sets:
+            for b in sets:
+                if sets[a] and vote[a] != vote[b] and 100 * len(sets[a] & sets[b]) >= alike * len(sets[a] | sets[b]):
+                    old = vote[b]
+                    vote = {t: vote[a] if v == old else v for t, v in vote.items()}
+        voters = defaultdict(set)
+        for t, lines in sets.items():
+            for x in lines:
+                voters[x].add(vote[t])
+        bad |= {(s, x) for x, v in voters.items() if len(v) >= least and len(v) > ratio * len(set(vote.values()))}
+    return Counter((d, n := len(t.split("\n")) if t is not None else 0, n - len(k), None if t is None else "\n".join(k)) for d, t, s in rows for k in [[x for x in t.split("\n") if (s, x.strip(gap)) not in bad] if t is not None else []])
+
+
+def test_small_sites_lose_boilerplate_and_near_copies_keep_their_text(spark):
+    random.seed(6)
+    own = lambda i: [f"own {i} {j}" for j in range(6)]
+    rows = [(50 + i, "\n".join([" menu", *own(i), "foot\t"]), "small") for i in range(8)]  # 8 pages: below any size switch
+    rows += [(100 + i, "\n".join(own(100 + i)), "big") for i in range(60)]
+    rows += [(200 + i, "\n".join(["two pages share this", *own(200 + i)]), "big") for i in range(2)]
+    rows += [(300 + i, "\n".join([*(f"copied {j}" for j in range(12)), f"edit {i}"]), "big") for i in range(20)]  # near copies
+    rows += [(400 + i, "\n".join(["nav", *own(400 + i)]), None) for i in range(5)] + ODD
+    got = {r.doc_id: r for r in line_dedup.drop_site_lines(clash(frame(spark, rows))).collect()}
+    assert all(got[50 + i].n_dropped == 2 and "menu" not in got[50 + i].text for i in range(8))
+    assert all(got[d].n_dropped == 0 for d, _, s in rows if s == "big")
+    assert all(got[400 + i].n_dropped == 1 for i in range(5))
+    again = line_dedup.drop_site_lines(clash(frame(spark, rows)), ratio=0.05, least_votes=3, alike=50).collect()
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in again) == brute_site_lines(rows, 0.05, 3, 50)
+    assert line_dedup.drop_site_lines(frame(spark, [])).count() == 0
+
+
 # shingles -------------------------------------------------------------------------------------
 
 
