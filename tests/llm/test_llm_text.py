@@ -273,6 +273,28 @@ def test_hot_group_makes_no_pairs(spark):
     assert sum(made) < 300 * 299 // 2 // 4
 
 
+def test_hot_list_is_dealt_to_many_tasks(spark):
+    """A list of 3000 groups, all but 20 in one component: no task holds it and no insiders meet."""
+    rows = [(7, g, 100 + g % 5, 1 if g < 3000 else g, 0, True, True) for g in range(3020)]
+    rows += [(8, g, 100, 1, 0, True, True) for g in range(50)] + [(9, 1, 100, 1, 0, True, True), (9, 2, 400, 2, 0, True, True)]
+    lists = spark.createDataFrame(rows, "token long, gid long, n long, comp long, own long, late boolean, short boolean")
+    tasks = defaultdict(lambda: defaultdict(set))
+    for r in ngram_join._meetings(lists, 85, 64).collect():
+        tasks[r.task][r.side].add(r.gid)
+    assert max(sum(map(len, t.values())) for t in tasks.values()) < 3 * 64
+    met = Counter(frozenset((a, b)) for t in tasks.values() for a in t.get(0, ()) for b in t.get(1, ()))
+    met += Counter(frozenset((a, b)) for t in tasks.values() for a in t.get(2, ()) for b in t.get(2, ()) if a < b)
+    assert {frozenset((a, b)) for a in range(3000, 3020) for b in range(3020) if a != b} == set(met) and set(met.values()) == {1}
+
+
+@pytest.mark.parametrize("block", [2, 9])
+def test_classes_of_cut_lists_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rows = near_copies(3)
+    got = ngram_join.jaccard_classes(frame(spark, rows), 4, 85, share=0.8, least=3)
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()) == brute_classes(rows, 4, 85)
+
+
 # tokens ---------------------------------------------------------------------------------------
 
 BITS = ["a", "b", "the", "  ", " ", "\n", "é", "日", "😀", "▁", "\t", "\0", "aaaa", "****", "'s", "'store", " don't", "\xa0", "\x85", "<s>", "</s>", "<unk>", "<|endoftext|>", "123", "　", "½", "ing", "\x1c"]
