@@ -3,6 +3,8 @@ complete-order quarantine, cascades, repairs, contracts and reconciliations."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import marts, quality
@@ -320,6 +322,63 @@ def q13_missing_profile(ctx):
     )
 
 
+#: Each table the context builds: its attribute and primary key.
+TABLES = {
+    "restaurants": ("restaurants", ["restaurant_id"]),
+    "products": ("products", ["product_id"]),
+    "transactions": ("raw_transactions", ["transaction_line_id"]),
+    "labour": ("raw_labour", ["shift_id"]),
+    "customer_feedback": ("raw_customer_feedback", ["feedback_id"]),
+    "loyalty": ("raw_loyalty", ["loyalty_event_id"]),
+    "promotions": ("promotions", ["promotion_id"]),
+    "waste": ("raw_waste", ["waste_id"]),
+    "targets": ("targets", ["restaurant_id", "month"]),
+    "operating_costs": ("operating_costs", ["cost_id"]),
+    "delivery": ("raw_delivery", ["order_id"]),
+    "calendar": ("calendar", ["business_date", "state"]),
+}
+NULLABLE = OPTIONAL | {"holiday_name", "overall_score", "food_score", "service_score"}
+DATES = (
+    "business_date event_date start_date end_date timestamp_local actual_start actual_end scheduled_start scheduled_end"
+).split()
+MONEY = (
+    "list_revenue discount_amount net_revenue gst_amount ingredient_cost "
+    "hourly_cost labour_cost waste_cost campaign_cost amount revenue_target"
+).split()
+
+
+def _tables(ctx):
+    """(name, rows, keys, required columns) of every table."""
+    for name, (source, keys) in TABLES.items():
+        df = getattr(ctx, source)
+        if name == "transactions":
+            df = df.select(*TX_COLUMNS)
+            keys_and = {*keys, "order_id"}
+        else:
+            keys_and = set(keys)
+        yield name, df, keys, [c for c in df.columns if c not in NULLABLE or c in keys_and]
+
+
+@query("q12_table_contracts")
+def q12_table_contracts(ctx):
+    """Contract checks on every table, exact repeats removed (Q12, Q03)."""
+    out = [
+        quality.contract_checks(
+            df.dropDuplicates(), name, keys, required, df.columns,
+            store_ids=ctx.restaurants, date_fields=DATES, money_fields=MONEY,
+        )
+        for name, df, keys, required in _tables(ctx)
+    ]
+    return reduce(lambda a, b: a.unionByName(b), out).withColumnRenamed("table", "tbl")
+
+
+@query("q13_table_profiles")
+def q13_table_profiles(ctx):
+    """Missing values per column of every table (Q13)."""
+    out = [quality.missing_profile(df, name, required) for name, df, _, required in _tables(ctx)]
+    return reduce(lambda a, b: a.unionByName(b), out).withColumnsRenamed({"table": "tbl", "column": "col"})
+
+
 @query(
     "q14_revenue_reconciliation",
     typed(

@@ -171,3 +171,24 @@ def test_answers_come_in_order(ctx):
     for q in ("a15_kpi_sql", "a21_target_yoy"):
         rows = [(r.restaurant_id, r.month) for r in run(q)]
         assert rows == sorted(rows)
+
+
+def test_contracts_and_profiles_cover_every_table(ctx):
+    """Every table is judged; counts equal those of plain pandas (Q12, Q13)."""
+    from opsledger.plans import q_quality as q
+
+    checks = {(r.tbl, r.rule): r.invalid_rows for r in q.q12_table_contracts(ctx).collect()}
+    missing = {(r.tbl, r.col): (r.missing_rows, r.total_rows) for r in q.q13_table_profiles(ctx).collect()}
+    assert {t for t, _ in checks} == {t for t, _ in missing} == set(q.TABLES)
+    for name, (source, keys) in q.TABLES.items():
+        d = getattr(ctx, source).toPandas()
+        for c in d.columns:
+            if (name, c) in missing:
+                assert missing[name, c] == (d[c].isna().sum(), len(d)), (name, c)
+        d = d.drop_duplicates()
+        assert checks[name, "Unique primary key"] == d.duplicated(keys).sum(), name
+        for m in (c for c in d.columns if c in q.MONEY):
+            assert checks[name, f"Valid {m}"] == (~(d[m] >= 0)).sum(), (name, m)
+    assert checks["labour", "Valid hourly_cost"] > 0 and missing["customer_feedback", "overall_score"][0] > 0
+    old = {(r.tbl, r.rule): r.invalid_rows for r in q.q12_contract_checks(ctx).collect()}
+    assert all(checks[k] == n for k, n in old.items())
