@@ -35,7 +35,15 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """
     path = f"{shared_folder(df.sparkSession)}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a table that ``stored`` wrote, once what was made of it is stored itself."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def private(df: DataFrame) -> str:

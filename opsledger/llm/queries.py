@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_vectors, ngram_join, packing, quality, token_counts, topk, toxicity, url_filter
+from . import ball_kmeans, fill_in_middle, html_text, line_dedup, mixing, near_vectors, ngram_join, packing, quality, token_counts, topk, toxicity, url_filter
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -97,9 +97,25 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(docs, tokenizer("piece_bpe_32k.model"), 4096)
 
 
+def op11_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page, by the wrapper of its host."""
+    return html_text.main_text(table(spark, folder, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
+
+
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of four bytes for every usable embedding."""
+    return ball_kmeans.vector_codes(table(spark, folder, "embeddings").select("vec_id", "embedding", "label"))
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in its fill-in-middle form, as fingerprints."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return fill_in_middle.digests(docs).select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_source_mix, op2_url_filter, op3_embedding_near_dedup, op4_best_fit_packing, op5_quality, op6_top_inner_products, op7_toxicity, op8_line_dedup, op8_site_lines, op9_ngram_jaccard_join, op10_token_counts)
+    for f in (op1_source_mix, op2_url_filter, op3_embedding_near_dedup, op4_best_fit_packing, op5_quality, op6_top_inner_products, op7_toxicity, op8_line_dedup, op8_site_lines, op9_ngram_jaccard_join, op10_token_counts, op11_html_text, op12_vector_codes, op13_fill_in_middle)
 }
 
 _WORDS = "length(regexp_replace(regexp_replace(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+', 'x', 'g'), '[\\x20\\x09-\\x0D]+', '', 'g'))"
@@ -201,10 +217,77 @@ SELECT doc_id, coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(len(lines) -
 FROM k
 """
 
+
+
+#: The text of the article element, for pages that have one and whose article holds only blocks and inline markup.
+_OP11 = r"""
+WITH a AS (
+  SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '<article[^>]*>(.*?)</article>', 1, 's'), '\s+', ' ', 'g') AS body FROM pages
+), b AS (
+  SELECT page_id, url, string_split(regexp_replace(regexp_replace(regexp_replace(body, '</?(p|h[1-6]|div|ul|ol|li|section|blockquote)( [^>]*)?>', chr(10), 'g'), '<br */?>', ' ', 'g'), '<[^>]*>', '', 'g'), chr(10)) AS blocks FROM a
+), c AS (
+  SELECT page_id, url, list_transform(blocks, lambda x: trim(regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(x,
+    '&quot;?', '"', 'g'), '&lt;?', '<', 'g'), '&gt;?', '>', 'g'), '&#39;', chr(39)), '&#x27;', chr(39)), '&apos;', chr(39)), '&nbsp;', ' '), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS blocks FROM b
+), d AS (SELECT page_id, url, array_to_string(list_filter(blocks, lambda x: x <> ''), chr(10)) AS text FROM c)
+SELECT page_id, url, coalesce(text, '') AS text, length(coalesce(text, ''))::BIGINT AS n_chars FROM d
+"""
+
+
+def _op12() -> str:
+    """Plain rounds of all distances, one pair of steps per round."""
+    steps = [
+        """v AS MATERIALIZED (
+  SELECT vec_id, label, p, list_transform(embedding[p * len(embedding) // 4 + 1 : (p + 1) * len(embedding) // 4], lambda x: floor(1024 * x::DOUBLE)) AS e
+  FROM embeddings, (SELECT unnest(range(4)) AS p)
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""",
+        "c0 AS MATERIALIZED (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS i, e FROM v QUALIFY i < 256)",
+    ]
+    for k in range(5):
+        steps.append(f"""a{k} AS MATERIALIZED (
+  SELECT vec_id, any_value(v.label) AS label, v.p, any_value(v.e) AS e, min({{'d': list_dot_product(v.e, v.e) - 2 * list_dot_product(v.e, c.e) + list_dot_product(c.e, c.e), 'i': c.i}}) AS best
+  FROM v JOIN c{k} c ON v.p = c.p GROUP BY vec_id, v.p
+)""")
+        if k < 4:
+            steps.append(f"""m{k} AS (
+  SELECT p, i, list(m ORDER BY j) AS e FROM (
+    SELECT p, best.i AS i, j, floor(sum(e[j]) / count(*)) AS m FROM a{k}, (SELECT unnest(range(1, (SELECT max(len(e)) FROM v) + 1)) AS j) GROUP BY p, best.i, j
+  ) GROUP BY p, i
+), c{k + 1} AS MATERIALIZED (SELECT c.p, c.i, coalesce(m.e, c.e) AS e FROM c{k} c LEFT JOIN m{k} m ON c.p = m.p AND c.i = m.i)""")
+    return "WITH " + ", ".join(steps) + """, r AS (
+  SELECT vec_id, any_value(label) AS label, string_agg(lpad(lower(hex(best.i)), 2, '0'), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error FROM a4 GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(list_transform(e, lambda x: x::BIGINT::VARCHAR), ','), ',' ORDER BY p, i)) FROM c4) AS codebooks_sha256
+FROM r
+"""
+
+
+_OP13 = """
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS x,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS lines FROM documents
+), d AS (
+  SELECT *, len(lines) AS n, ('0x' || x[1:8])::BIGINT % (len(lines) + 1) AS h1, ('0x' || x[9:16])::BIGINT % (len(lines) + 1) AS h2,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+              WHEN ('0x' || x[25:32])::BIGINT % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM h
+), p AS (
+  SELECT *, array_to_string(lines[1:least(h1, h2)], '') AS a, array_to_string(lines[least(h1, h2) + 1:greatest(h1, h2)], '') AS b,
+         array_to_string(lines[greatest(h1, h2) + 1:n], '') AS c FROM d
+)
+SELECT doc_id, n::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(a) END::BIGINT AS prefix_chars, CASE WHEN form <> 'plain' THEN length(b) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || a || '<S>' || c || '<M>' || b ELSE '<S>' || c || '<P>' || a || '<M>' || b END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
 ORACLE: dict[str, str] = {
     "op1_source_mix": _OP1,
     "op2_url_filter": _OP2,
     "op3_embedding_near_dedup": _OP3,
     "op6_top_inner_products": _OP6,
     "op8_line_dedup": _OP8,
+    "op11_html_text": _OP11,
+    "op12_vector_codes": _op12(),
+    "op13_fill_in_middle": _OP13,
 }
