@@ -1,4 +1,4 @@
-"""Feature matrix and the calendar-ridge challenger.
+"""Feature matrix, the calendar-ridge and the boosted challenger.
 
 Features per (site, day): site and weekday indicators, site x weekend,
 annual sine / cosine, trend in years, public holiday, and the lagged values
@@ -19,13 +19,20 @@ ordinary column expression and only the lag part recurses: per site one SQL
 from __future__ import annotations
 
 import math
-from pyspark.ml.feature import VectorAssembler
+import sys
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import broadcast_if_small, clip_lower, weekday
+from ..functions.semantics import broadcast_if_small, clip_lower, money_sum, weekday
+from . import histogram_boosting as boosting
 from .grouped_ridge import GroupedFit, fit_grouped
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 MODEL = "Calendar ridge"
 LAGS = ("lag7", "lag28", "mean28")
 
@@ -64,23 +71,6 @@ def feature_rows(history: DataFrame, restaurants: DataFrame, calendar: DataFrame
     )
 
 
-def design(site_ids: list[int]) -> dict[str, Column]:
-    """Raw (unscaled) design columns in a fixed order."""
-    cols: dict[str, Column] = {}
-    for s in site_ids:
-        cols[f"store_{s}"] = (F.col("restaurant_id") == s).cast("double")
-    for d in range(7):
-        cols[f"weekday_{d}"] = (F.col("weekday") == d).cast("double")
-    for s in site_ids:
-        cols[f"weekend_store_{s}"] = ((F.col("restaurant_id") == s) & (F.col("weekday") >= 5)).cast("double")
-    for c in ("annual_sin", "annual_cos", "trend_years"):
-        cols[c] = F.col(c).cast("double")
-    cols["holiday"] = F.col("holiday").cast("double")
-    for c in LAGS:
-        cols[c] = F.col(c).cast("double")
-    return cols
-
-
 def site_features() -> dict[str, Column]:
     """What every site has a coefficient of its own for."""
     return {"store": F.lit(1.0), "weekend_store": (F.col("weekday") >= 5).cast("double")}
@@ -193,75 +183,71 @@ def ridge_backtest(
 
 # ---------------------------------------------------------------- F04
 GBT_MODEL = "Gradient boosting"
-
-
-def fit_gbt(train: DataFrame, site_ids: list[int], seed: int = 42):
-    """Gradient-boosted trees on the raw design (trees need no scaling).
-
-    Spark's GBT is a different algorithm from histogram boosting with leaf
-    limits and L2 leaf regularisation: iterations, learning rate and a depth
-    giving at most 16 leaves are the usual ones; numbers are not expected to
-    agree with it, only the protocol (fit through the origin, recursive days)."""
-    from pyspark.ml.regression import GBTRegressor
-
-    cols = design(site_ids)
-    x = train.select(*[c.alias(n) for n, c in cols.items()], F.col("revenue").cast("double").alias("label"))
-    vec = VectorAssembler(inputCols=list(cols), outputCol="features").transform(x)
-    gbt = GBTRegressor(maxIter=120, maxDepth=4, stepSize=0.06, seed=seed, maxBins=32, subsamplingRate=1.0)
-    return gbt.fit(vec), list(cols)
-
-
-def recursive_gbt_forecast(
-    model,
-    names: list[str],
-    history: DataFrame,
-    restaurants: DataFrame,
-    calendar: DataFrame,
-    origin: str,
-    start_date: str,
-    horizon: int = 28,
-    checkpoint_every: int = 7,
+CALENDAR = ("weekday", "annual_sin", "annual_cos", "trend_years", "holiday")
+BOOST_FEATURES = ["site_level", *CALENDAR, *LAGS]
+
+
+def boosted_rows(rows: DataFrame, origins: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Training rows of every origin (fold = its place in the list), and each site's level per fold.
+
+    The site enters as one number, its mean revenue up to the origin, which the model bins like any
+    other feature: no column and no list per site."""
+    o = F.array(*(F.struct(F.lit(k).alias("fold"), F.lit(d).cast("date").alias("origin_date")) for k, d in enumerate(origins)))
+    train = rows.select("*", F.explode(o).alias("_o")).select(*rows.columns, "_o.*")
+    train = train.filter(F.col("business_date") <= F.col("origin_date"))
+    level = train.groupBy("fold", "restaurant_id").agg((money_sum("revenue") / F.count("revenue")).alias("site_level"))
+    return train.join(level, ["fold", "restaurant_id"]).withColumn("target", F.col("revenue").cast("double")), level
+
+
+def _boosted_days(models: dict, horizon: int):
+    """Sites' horizons, one day after the other: each day's prediction feeds the lags of the next."""
+
+    def predict(batches):
+        for batch in batches:
+            for fold, part in batch.groupby("fold"):
+                model = models[fold]
+                state = np.stack(part["state"].to_numpy()).astype(np.float64)
+                days = np.array([[[d[c] for c in CALENDAR] for d in row] for row in part["days"]], np.float64)
+                level = part["site_level"].fillna(model.base).to_numpy(np.float64)
+                for h in range(horizon):
+                    lags = np.column_stack([state[:, -7], state[:, -28], state[:, -28:].mean(1)])
+                    day = np.maximum(model.predict(np.column_stack([level, days[:, h], lags])), 0.0)
+                    state = np.column_stack([state, day])
+                n = len(part)
+                yield pd.DataFrame(
+                    {
+                        "fold": fold, "restaurant_id": np.repeat(part["restaurant_id"].to_numpy(), horizon),
+                        "horizon_day": np.tile(np.arange(1, horizon + 1), n), "forecast_revenue": state[:, 28:].ravel(),
+                    }
+                )
+
+    return predict
+
+
+def boosted_forecast(
+    models: dict, level: DataFrame, history: DataFrame, restaurants: DataFrame, calendar: DataFrame, origins: list[str], start_date: str, horizon: int = 28
 ) -> DataFrame:
-    """Recursive GBT forecast: one ``transform`` per horizon day over one row per
-    site; the 28-value state array is carried as a column.  The loop length is the
-    horizon (not the data); lineage is cut with reliable ``checkpoint()`` every
-    ``checkpoint_every`` days (files under spark.checkpoint.dir)."""
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(history.sparkSession)  # the cluster's folder; a scratch one only when unset
-    site_ids = [int(n.split("_")[1]) for n in names if n.startswith("store_")]
-    cols = design(site_ids)
-    o = F.lit(origin).cast("date")
+    """Recursive forecasts of every origin and site in one job; history after an origin is not read.
+
+    A site needs 28 days up to the origin; one that no training row has gets the mean level."""
+    o = F.array(*(F.struct(F.lit(k).alias("fold"), F.lit(d).cast("date").alias("origin_date")) for k, d in enumerate(origins)))
     hol = calendar.select("business_date", "state", F.col("is_public_holiday").alias("holiday"))
-    state = (
-        history.filter((F.col("business_date") <= o) & (F.col("business_date") > F.date_sub(o, 28)))
-        .groupBy("restaurant_id")
-        .agg(F.array_sort(F.collect_list(F.struct("business_date", "revenue"))).alias("tail"))
-        .select("restaurant_id", F.transform("tail", lambda s: s["revenue"].cast("double")).alias("state"))
-        .join(restaurants.select("restaurant_id", "state").withColumnRenamed("state", "region"), "restaurant_id")
-    )
-    for step in range(1, horizon + 1):
-        n = F.size("state")
-        day = state.withColumn("business_date", F.date_add(o, step)).join(
-            hol.withColumnRenamed("state", "region"), ["business_date", "region"], "left"
-        ).fillna(0, subset=["holiday"]).withColumns(calendar_columns(start_date)).withColumns(
-            {
-                "lag7": F.element_at("state", n - 6),
-                "lag28": F.element_at("state", n - 27),
-                "mean28": F.aggregate(F.slice("state", n - 27, 28), F.lit(0.0), lambda a, v: a + v) / F.lit(28.0),
-            }
-        )
-        x = day.select("restaurant_id", "region", "state", *[c.alias(nm) for nm, c in cols.items()])
-        x = VectorAssembler(inputCols=names, outputCol="features").transform(x)
-        p = model.transform(x).select(
-            "restaurant_id", "region",
-            F.concat("state", F.array(F.greatest(F.col("prediction"), F.lit(0.0)))).alias("state"),
-        )
-        state = p.checkpoint() if step % checkpoint_every == 0 else p
-    out = state.select("restaurant_id", F.posexplode(F.slice("state", 29, horizon)).alias("i", "forecast_revenue"))
+    fut = restaurants.select("restaurant_id", "state", F.explode(o).alias("_o")).select("restaurant_id", "state", "_o.*")
+    fut = fut.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("horizon_day"))
+    fut = fut.withColumn("business_date", F.date_add("origin_date", F.col("horizon_day"))).join(hol, ["business_date", "state"], "left")
+    fut = fut.fillna(0, subset=["holiday"]).withColumns(calendar_columns(start_date))
+    fut = fut.groupBy("fold", "restaurant_id").agg(F.array_sort(F.collect_list(F.struct("horizon_day", *(F.col(c).cast("double").alias(c) for c in CALENDAR)))).alias("days"))
+    tail = history.select("restaurant_id", "business_date", F.col("revenue").cast("double").alias("revenue"), F.explode(o).alias("_o"))
+    tail = tail.select("*", "_o.*").filter((F.col("business_date") <= F.col("origin_date")) & (F.col("business_date") > F.date_sub("origin_date", 28)))
+    tail = tail.groupBy("fold", "restaurant_id").agg(F.array_sort(F.collect_list(F.struct("business_date", "revenue"))).alias("tail")).filter(F.size("tail") == 28)
+    state = F.transform("tail", lambda x: x["revenue"]).alias("state")
+    rows = fut.join(tail, ["fold", "restaurant_id"]).join(level, ["fold", "restaurant_id"], "left").select("fold", "restaurant_id", "days", state, "site_level")
+    kind = dict(restaurants.dtypes)["restaurant_id"]
+    out = rows.mapInPandas(_boosted_days(models, horizon), f"fold int, restaurant_id {kind}, horizon_day int, forecast_revenue double")
+    at = F.element_at(F.array(*(F.lit(d).cast("date") for d in origins)), F.col("fold") + 1)
     return out.select(
-        "restaurant_id", F.date_add(o, F.col("i") + 1).alias("business_date"), (F.col("i") + 1).alias("horizon_day"),
-        "forecast_revenue", F.lit(GBT_MODEL).alias("model"), o.alias("origin_date"),
+        "fold", "restaurant_id", F.date_add(at, F.col("horizon_day")).alias("business_date"), "horizon_day", "forecast_revenue",
+        F.lit(GBT_MODEL).alias("model"), at.alias("origin_date"),
     )
 
 
@@ -273,22 +259,17 @@ def gbt_backtest(
     start_date: str,
     rows: DataFrame | None = None,
     horizon: int = 28,
+    params: boosting.Params = boosting.Params(),
 ) -> DataFrame:
-    """GBT traces for each (period, fold, origin), joined to actuals."""
-    site_ids = [int(r["restaurant_id"]) for r in restaurants.select("restaurant_id").orderBy("restaurant_id").collect()]
+    """Boosted traces for each (period, fold, origin), joined to actuals.
+
+    All origins are fitted side by side: one pass per tree level serves every fold."""
     if rows is None:
         rows = feature_rows(history, restaurants, calendar, start_date)
+    dates = [d for _, _, d in origins]
+    train, level = boosted_rows(rows, dates)
+    models = boosting.fit(train, BOOST_FEATURES, params)
+    f = boosted_forecast(models, level, history, restaurants, calendar, dates, start_date, horizon)
+    named = {c: F.element_at(F.array(*(F.lit(o[k]) for o in origins)), F.col("_o") + 1) for k, c in enumerate(("evaluation_period", "fold"))}
     actual = history.select("restaurant_id", "business_date", F.col("revenue").alias("actual_revenue"))
-    parts = []
-    for period, fold, origin in origins:
-        model, names = fit_gbt(rows.filter(F.col("business_date") <= F.lit(origin).cast("date")), site_ids)
-        f = recursive_gbt_forecast(model, names, history, restaurants, calendar, origin, start_date, horizon)
-        parts.append(
-            f.withColumns({"evaluation_period": F.lit(period), "fold": F.lit(fold)}).join(
-                actual, ["restaurant_id", "business_date"]
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return f.withColumnRenamed("fold", "_o").withColumns(named).drop("_o").join(actual, ["restaurant_id", "business_date"])

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -53,3 +54,21 @@ def local_session(cores: int | str = "*", app: str = "opsledger") -> SparkSessio
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the checkpoint folder and read it back.
+
+    For steps of an iterative job: the lineage ends at files that all executors see."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/opsledger-steps/{tag}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    return out
+
+
+def dropped(table: DataFrame) -> None:
+    """Delete a table that :func:`stored` wrote, once its successor is stored."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -24,13 +24,16 @@ def ctx(spark):
     return Context(spark, SF)
 
 
-@pytest.fixture(scope="session")
+@pytest.fixture
 def duck():
+    """A DuckDB connection of the test's own, on one thread: an internal error in one statement makes
+    its whole database unusable, which must not spread to other tests."""
     import duckdb
 
     from opsledger.sources.tables import DRIVER_TABLES
 
-    con = duckdb.connect()
+    con = duckdb.connect(config={"threads": 1})
     for t in DRIVER_TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
-    return con
+    yield con
+    con.close()

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from opsledger.operators import histogram_boosting as boosting
 from opsledger.operators import actions, forecast_models, planning, promotions
 from opsledger.sources.adapters import HISTORY_START
 
@@ -82,9 +83,17 @@ def ridge(ctx):
     return hist, cal, ids, train, fit
 
 
+def dense_design(site_ids):
+    """The ridge's features with a column per site, for the dense closed form."""
+    cols = {f"store_{k}": (F.col("restaurant_id") == k).cast("double") for k in site_ids}
+    cols |= {f"weekday_{d}": (F.col("weekday") == d).cast("double") for d in range(7)}
+    cols |= {f"weekend_store_{k}": ((F.col("restaurant_id") == k) & (F.col("weekday") >= 5)).cast("double") for k in site_ids}
+    return cols | {c: F.col(c).cast("double") for c in ("annual_sin", "annual_cos", "trend_years", "holiday", *forecast_models.LAGS)}
+
+
 def test_ridge_matches_closed_form(ridge):
     hist, cal, ids, train, fit = ridge
-    cols = forecast_models.design(ids)
+    cols = dense_design(ids)
     pdf = train.select(*[c.alias(n) for n, c in cols.items()], "revenue").toPandas()
     x = pdf[list(cols)].to_numpy(float)
     y = pdf.revenue.to_numpy(float)
@@ -291,8 +300,9 @@ def test_gbt_forecast_ignores_poisoned_future(ctx):
     )
     cal = ctx.forecast_calendar
     o = [("Validation", 1, ORIGIN)]
-    a = forecast_models.gbt_backtest(hist, ctx.restaurants, cal, o, HISTORY_START, horizon=7)
-    b = forecast_models.gbt_backtest(poisoned, ctx.restaurants, cal, o, HISTORY_START, horizon=7)
+    p = boosting.Params(iterations=12)
+    a = forecast_models.gbt_backtest(hist, ctx.restaurants, cal, o, HISTORY_START, horizon=7, params=p)
+    b = forecast_models.gbt_backtest(poisoned, ctx.restaurants, cal, o, HISTORY_START, horizon=7, params=p)
     cols = ["restaurant_id", "business_date", "forecast_revenue"]
     ra, rb = sorted(a.select(*cols).collect()), sorted(b.select(*cols).collect())
     assert len(ra) == ctx.restaurants.count() * 7
