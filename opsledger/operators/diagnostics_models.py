@@ -21,6 +21,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.indexing import dense_index
 from ..functions.semantics import broadcast_if_small, ratio
 from .grouped_ridge import fit_grouped
 
@@ -125,21 +126,16 @@ def site_bootstrap(res: DataFrame, reps: int = 400, seed: int = 42) -> DataFrame
         F.sum(F.col("x_res") * F.col("x_res")).alias("sxx"), F.sum(F.col("y_res") * F.col("y_res")).alias("syy"),
         F.sum(F.col("x_res") * F.col("y_res")).alias("sxy"),
     )
-    # sites are a dimension (one row each): a global index over them is cheap
-    idx = sums.withColumn("site_index", F.row_number().over(Window.orderBy("restaurant_id")) - 1)  # one row per site
-    n_sites = F.count(F.lit(1)).over(Window.partitionBy())
-    idx = idx.withColumn("n_sites", n_sites)
-    draws = (
-        idx.select("n_sites").limit(1)
-        .select("n_sites", F.explode(F.sequence(F.lit(0), F.lit(reps - 1))).alias("rep"))
-        .select("n_sites", "rep", F.explode(F.sequence(F.lit(0), F.col("n_sites") - 1)).alias("pos"))
-    )
+    idx, n_sites = dense_index(sums, "restaurant_id", "site_index")
+    if not n_sites:
+        return idx.select(F.lit(0).cast("long").alias("rep"), F.lit(None).cast("double").alias("correlation"))
+    # the draw table is a range cut over tasks: row i is draw i mod n of replicate i div n
+    at = F.col("id")
+    draws = res.sparkSession.range(reps * n_sites).select(F.floor(at / n_sites).alias("rep"), (at % n_sites).alias("pos"))
     h = F.md5(F.concat_ws("|", F.col("rep").cast("string"), F.col("pos").cast("string"), F.lit(str(seed))))
-    draws = draws.select(
-        "rep", F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.col("n_sites").cast("long")).alias("site_index")
-    )
+    draws = draws.select("rep", F.pmod(F.conv(F.substring(h, 1, 8), 16, 10).cast("long"), F.lit(n_sites).cast("long")).alias("site_index"))
     weights = draws.groupBy("rep", "site_index").agg(F.count(F.lit(1)).cast("double").alias("w"))
-    j = weights.join(broadcast_if_small(idx.drop("n_sites")), "site_index")
+    j = weights.join(broadcast_if_small(idx), "site_index")
     agg = j.groupBy("rep").agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")])
     return agg.select("rep", _corr(*[F.col(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]).alias("correlation"))
 

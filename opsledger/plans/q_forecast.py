@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import forecast, forecast_models
 from ..sources.adapters import HISTORY_END, HISTORY_START
-from .oracle_base import typed, with_ctes
+from .oracle_base import cte, typed, with_ctes
 from .registry import query
 
 FEATURE_SQL = f"""WITH h AS (
@@ -108,13 +108,76 @@ def d01_store_segments(ctx):
     )
 
 
-@query("d03_staffing_association")
+# The oracle solves the dense normal equations (a column per site, weekday and month) by elimination.
+cte(
+    "staffing_residuals",
+    ["store_day_ledger"],
+    """WITH RECURSIVE s AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY restaurant_id, business_date) AS r, * FROM (
+    SELECT restaurant_id, business_date, weekday, month, transactions, transactions / nullif(service_hours * 6, 0) AS x, satisfaction_score AS y
+    FROM store_day_ledger WHERE survey_responses >= 3)
+  WHERE x IS NOT NULL AND y IS NOT NULL),
+e AS MATERIALIZED (
+  SELECT r, 's' || restaurant_id AS f, 1.0::DOUBLE AS v FROM s UNION ALL SELECT r, 'd' || weekday, 1.0 FROM s
+  UNION ALL SELECT r, 'm' || month, 1.0 FROM s UNION ALL SELECT r, 'l', ln(1 + transactions) FROM s),
+t AS (SELECT count(*)::DOUBLE AS n, avg(x) AS mx, avg(y) AS my FROM s),
+f AS MATERIALIZED (SELECT f, row_number() OVER (ORDER BY f) AS j, sum(v) / (SELECT n FROM t) AS m FROM e GROUP BY f),
+a AS (SELECT p.f AS p, q.f AS q, sum(p.v * q.v) AS v FROM e p JOIN e q USING (r) GROUP BY p.f, q.f),
+b AS (SELECT f, sum(v * x) AS bx, sum(v * y) AS by_ FROM e JOIN s USING (r) GROUP BY f),
+rows_ AS (
+  SELECT p.f, p.j, list(coalesce(a.v, 0) - t.n * p.m * q.m + CASE WHEN p.j = q.j THEN 1.0 ELSE 0.0 END ORDER BY q.j) AS left_
+  FROM f p CROSS JOIN f q CROSS JOIN t LEFT JOIN a ON a.p = p.f AND a.q = q.f GROUP BY p.f, p.j),
+g(i, m) AS (
+  SELECT 0, list(list_concat(left_, [bx - n * f.m * mx, by_ - n * f.m * my]) ORDER BY rows_.j)
+  FROM rows_ JOIN b USING (f) JOIN f USING (f) CROSS JOIN t
+  UNION ALL
+  SELECT i + 1, list_transform(m, lambda w, k: CASE WHEN k = i + 1 THEN list_transform(w, lambda z: z / w[i + 1])
+           ELSE list_transform(list_zip(w, m[i + 1]), lambda z: z[1] - w[i + 1] / m[i + 1][i + 1] * z[2]) END)
+  FROM g WHERE i < len(m)),
+solved AS MATERIALIZED (SELECT f.f, f.m, m.m[f.j][-2] AS wx, m.m[f.j][-1] AS wy FROM f, (SELECT m FROM g ORDER BY i DESC LIMIT 1) m),
+p AS (SELECT r, sum(v * wx) AS px, sum(v * wy) AS py FROM e JOIN solved USING (f) GROUP BY r),
+c AS (SELECT sum(m * wx) AS cx, sum(m * wy) AS cy FROM solved)
+SELECT restaurant_id, business_date, x - mx - px + cx AS x_res, y - my - py + cy AS y_res FROM s JOIN p USING (r) CROSS JOIN c CROSS JOIN t""",
+)
+cte(
+    "site_resamples",
+    ["staffing_residuals"],
+    """WITH u AS (
+  SELECT row_number() OVER (ORDER BY restaurant_id) - 1 AS k, count(*)::DOUBLE AS n, sum(x_res) AS sx, sum(y_res) AS sy,
+         sum(x_res * x_res) AS sxx, sum(y_res * y_res) AS syy, sum(x_res * y_res) AS sxy
+  FROM staffing_residuals GROUP BY restaurant_id),
+d AS (
+  SELECT rep, ('0x' || substr(md5(concat_ws('|', rep, pos, 42)), 1, 8))::BIGINT % (SELECT count(*) FROM u) AS k
+  FROM range(400) a(rep), range((SELECT count(*) FROM u)) b(pos)),
+q AS (SELECT rep, sum(n) AS n, sum(sx) AS sx, sum(sy) AS sy, sum(sxx) AS sxx, sum(syy) AS syy, sum(sxy) AS sxy FROM d JOIN u USING (k) GROUP BY rep)
+SELECT rep, (n * sxy - sx * sy) / nullif(sqrt((n * sxx - sx * sx) * (n * syy - sy * sy)), 0) AS correlation FROM q""",
+)
+
+
+@query(
+    "d03_staffing_association",
+    typed(
+        with_ctes(
+            ["site_resamples"],
+            """SELECT (SELECT corr(x_res, y_res) FROM staffing_residuals) AS controlled_correlation,
+       quantile_cont(correlation, 0.025) AS ci_low, quantile_cont(correlation, 0.975) AS ci_high,
+       (SELECT count(*) FROM staffing_residuals) AS store_days,
+       'Correlation of ridge residuals; sites resampled with their residuals kept' AS method,
+       'An association only: who answers a survey is not random' AS interpretation
+FROM site_resamples""",
+        ),
+        "controlled_correlation:d, ci_low:d, ci_high:d, store_days:i, method:s, interpretation:s",
+    ),
+)
 def d03_staffing_association(ctx):
     """Residualised service-pressure / satisfaction correlation with a site bootstrap range."""
     return diagnostics_models.staffing_association(ctx.store_day)
 
 
-@query("d04_association_bootstrap")
+@query(
+    "d04_association_bootstrap",
+    typed(with_ctes(["site_resamples"], "SELECT rep, correlation FROM site_resamples"), "rep:i, correlation:d"),
+)
 def d04_association_bootstrap(ctx):
     """The 400 site-resample correlations behind the D03 range."""
     res = diagnostics_models.residualised(diagnostics_models.association_sample(ctx.store_day))
