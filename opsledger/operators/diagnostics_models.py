@@ -1,9 +1,9 @@
 """Model-based diagnostics: site clustering, residualised staffing association and
 its site-cluster bootstrap (D01, D03, D04, K04).
 
-* D01: k-means (k = 3) on population-standardised site rates; several seeds,
-  the lowest within-cluster cost kept (restarts); clusters are
-  named by ascending mean operating margin.
+* D01: k-means (k = 3) on population-standardised site rates; all starts run side by side in
+  one table, the lowest within-cluster cost is kept; clusters are named by ascending mean
+  operating margin.
 * D03: both series are residualised on site, weekday and month indicators plus
   log1p(orders) with an unstandardised ridge (alpha = 1), solved in
   closed form with site coefficients eliminated (grouped_ridge).
@@ -16,15 +16,22 @@ its site-cluster bootstrap (D01, D03, D04, K04).
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
+import sys
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.indexing import dense_index
 from ..functions.semantics import broadcast_if_small, ratio
+from ..session import stored
 from .grouped_ridge import fit_grouped
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 SEGMENT_FEATURES = [
     "operating_margin_pct",
     "labour_cost_pct",
@@ -36,46 +43,83 @@ SEGMENT_FEATURES = [
 SEGMENT_NAMES = ["Needs support", "Stable", "Efficient"]
 
 
+#: Whole units per unit of a standardised rate: their sums don't depend on the order of addition.
+UNITS = 10**9
+
+
+def _lloyd_sums(centroids: np.ndarray):
+    """Per task: (start, cluster, n, sums, cost) of the sites nearest to each centroid of every start."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        starts, k, d = centroids.shape
+        n, sums, cost = np.zeros((starts, k), np.int64), np.zeros((starts, k, d), np.int64), np.zeros((starts, k))
+        for batch in batches:
+            z = np.stack(batch["z"].to_numpy()).astype(np.int64)
+            gap = ((z[:, None, None, :] / UNITS - centroids[None]) ** 2).sum(3)
+            near = gap.argmin(2)
+            for s in range(starts):
+                np.add.at(n[s], near[:, s], 1)
+                np.add.at(sums[s], near[:, s], z)
+                np.add.at(cost[s], near[:, s], gap[np.arange(len(z)), s, near[:, s]])
+        used = np.argwhere(n)
+        yield pd.DataFrame({"start": used[:, 0], "cluster": used[:, 1], "n": [n[s, c] for s, c in used], "sums": [sums[s, c].tolist() for s, c in used], "cost": [cost[s, c] for s, c in used]})
+
+    return add
+
+
+def best_centroids(z: DataFrame, key: str, k: int, n_init: int, seed: int, max_iter: int = 300) -> np.ndarray:
+    """k centroids of the start with the lowest cost, from rows (key, z array of whole units).
+
+    All starts are one table: a step is one job that sums every (start, cluster), and only
+    ``n_init`` x ``k`` centroids come to the driver. A start begins at the k rows whose hash is
+    smallest, so it depends neither on partitions nor on other starts; a cluster without rows
+    keeps its centroid. Equal costs: the first start."""
+    first = z.select("z", key, F.explode(F.sequence(F.lit(0), F.lit(n_init - 1))).alias("start"))
+    by_hash = F.md5(F.concat_ws("|", F.col("start").cast("string"), F.col(key).cast("string"), F.lit(str(seed))))
+    rank = F.row_number().over(Window.partitionBy("start").orderBy(by_hash, key))  # limited to k per task before the shuffle
+    picked = first.withColumn("nth", rank).filter(F.col("nth") <= k).select("start", "nth", "z").orderBy("start", "nth").collect()
+    if not picked:
+        raise ValueError("no site has all segment rates")
+    k = max(r["nth"] for r in picked)
+    centroids = np.array([r["z"] for r in picked], np.float64).reshape(n_init, k, -1) / UNITS
+    for _ in range(max_iter):
+        found = z.mapInPandas(_lloyd_sums(centroids), "start int, cluster int, n long, sums array<long>, cost double")
+        wide = [F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(centroids.shape[2])]
+        found = found.groupBy("start", "cluster").agg(F.sum("n").alias("n"), F.sum("cost").alias("cost"), F.array(*wide).alias("sums")).collect()
+        moved, cost = centroids.copy(), np.zeros(n_init)
+        for r in found:
+            moved[r["start"], r["cluster"]] = np.array(r["sums"], np.float64) / r["n"] / UNITS
+            cost[r["start"]] += r["cost"]
+        if (moved == centroids).all():
+            break
+        centroids = moved
+    return centroids[int(np.argmin(np.round(cost, 9)))]
+
+
 def site_segments(
     totals: DataFrame, k: int = 3, n_init: int = 20, seed: int = 42, features: list[str] = SEGMENT_FEATURES
 ) -> DataFrame:
-    """Cluster sites on standardised rates and name clusters by mean margin."""
+    """Cluster sites on population-standardised rates; cluster_id and name follow the rank of the
+    cluster's mean margin (D01, K04). Sites without all rates are left out."""
     complete = totals.dropna(subset=features)
     stats = complete.agg(
         *[F.avg(c).alias(f"m_{i}") for i, c in enumerate(features)],
         *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(features)],
     ).first()
-    z = complete.select(
-        "*",
-        *[
-            ((F.col(c) - F.lit(stats[f"m_{i}"])) / F.lit(stats[f"s_{i}"] or 1.0)).alias(f"_z{i}")
-            for i, c in enumerate(features)
-        ],
-    )
-    vec = VectorAssembler(inputCols=[f"_z{i}" for i in range(len(features))], outputCol="_features").transform(z)
-    # every start reads the same standardised sites: materialise them once in the
-    # cluster's checkpoint folder (reliable, survives executor loss) instead of
-    # recomputing the site totals for each fit
-    from ..session import checkpoint_dir
-
-    checkpoint_dir(vec.sparkSession)
-    vec = vec.checkpoint()
-    best = None
-    for i in range(n_init):  # one small fit per start; the data are one row per site
-        model = KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="cluster_id", maxIter=300).fit(vec)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0] - 1e-12:
-            best = (cost, model)
-    labelled = best[1].transform(vec).drop("_features", *[f"_z{i}" for i in range(len(features))])
-    rank = labelled.groupBy("cluster_id").agg(F.avg("operating_margin_pct").alias("_m"))
-    rank = rank.select(
-        "cluster_id",
-        F.element_at(
-            F.array(*[F.lit(n) for n in SEGMENT_NAMES]),
-            F.row_number().over(Window.orderBy("_m", "cluster_id")).cast("int"),  # k rows
-        ).alias("store_segment"),
-    )
-    return labelled.join(F.broadcast(rank), "cluster_id")  # k rows
+    z = [(F.col(c) - F.lit(stats[f"m_{i}"])) / F.lit(stats[f"s_{i}"] or 1.0) for i, c in enumerate(features)]
+    rows = stored(complete.withColumn("z", F.array(*(F.round(c * UNITS).cast("long") for c in z))), "segments")
+    centroids = best_centroids(rows.select("restaurant_id", "z"), "restaurant_id", k, n_init, seed)
+
+    def gap(centre) -> Column:
+        parts = [F.pow(F.col("z")[i] / F.lit(float(UNITS)) - F.lit(float(v)), F.lit(2)) for i, v in enumerate(centre)]
+        return sum(parts[1:], parts[0])
+
+    near = F.array_min(F.array(*(F.struct(gap(c).alias("d"), F.lit(j).alias("cluster")) for j, c in enumerate(centroids))))
+    labelled = rows.withColumn("_c", near["cluster"])
+    rank = labelled.groupBy("_c").agg(F.avg("operating_margin_pct").alias("_m"))
+    rank = rank.select("_c", (F.row_number().over(Window.orderBy("_m", "_c")) - 1).alias("cluster_id"))  # k rows
+    name = F.element_at(F.array(*[F.lit(n) for n in SEGMENT_NAMES]), F.col("cluster_id") + 1)
+    return labelled.join(F.broadcast(rank), "_c").withColumn("store_segment", name).drop("_c", "z")  # k rows
 
 
 def association_sample(daily: DataFrame, min_surveys: int = 3, orders_per_service_hour: float = 6.0) -> DataFrame:

@@ -208,7 +208,7 @@ def _boosted_days(models: dict, horizon: int):
                 model = models[fold]
                 state = np.stack(part["state"].to_numpy()).astype(np.float64)
                 days = np.array([[[d[c] for c in CALENDAR] for d in row] for row in part["days"]], np.float64)
-                level = part["site_level"].fillna(model.base).to_numpy(np.float64)
+                level = part["site_level"].fillna(model.mean).to_numpy(np.float64)
                 for h in range(horizon):
                     lags = np.column_stack([state[:, -7], state[:, -28], state[:, -28:].mean(1)])
                     day = np.maximum(model.predict(np.column_stack([level, days[:, h], lags])), 0.0)

@@ -10,8 +10,9 @@ data. Some hundred short passes are why this one loop runs on partitions of the
 Growing level by level is exact: a level also asks for the children of every open leaf that could
 still be split within the leaf budget, so the best-first order never waits for a leaf twice.
 
-Gradients are whole numbers (residual x ``SCALE``, rounded), so sums don't depend on partitions or
-retries, and neither does the model. Rows are stored as blocks of bytes with their prediction;
+Targets, leaf values and predictions are whole numbers of 1/``SCALE``, so gradient sums don't
+depend on partitions or retries, and neither does the model; and a new tree's root needs no pass:
+its histogram is that of the last tree's leaves, each moved by its value. Rows are stored as blocks of bytes with their prediction;
 tasks replay only the trees grown since the last store (every ``STORE_EVERY`` trees).
 """
 
@@ -33,10 +34,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Equal-width cells between a feature's least and largest value; bins are runs of cells.
 CELLS = 1 << 16
-#: Whole gradient units per unit of the target.
+#: Whole units per unit of the target.
 SCALE = 1000
 #: Rows of a block; trees between two stores of the predictions.
-BLOCK, STORE_EVERY = 1 << 16, 15
+BLOCK, STORE_EVERY = 1 << 15, 10
+#: Tasks whose sums the driver adds up at once; beyond, tasks add up each other's first.
+FEW = 16
 _BLOCKS = "fold int, n int, bins binary, target binary, prediction binary"
 
 
@@ -58,7 +61,7 @@ class Tree:
 
     splits: list[tuple[int, int, int]] = field(default_factory=list)
     nodes: list[int] = field(default_factory=list)
-    values: list[float] = field(default_factory=list)
+    values: list[int] = field(default_factory=list)
 
     def add_to(self, prediction: np.ndarray, bins: np.ndarray) -> None:
         at = routed(bins, self.splits)
@@ -74,9 +77,14 @@ class Model:
     low: np.ndarray
     high: np.ndarray
     bounds: list[np.ndarray]
-    base: float
+    base: int
     trees: list[Tree] = field(default_factory=list)
 
+    @property
+    def mean(self) -> float:
+        """Mean of the training targets."""
+        return self.base / SCALE
+
     def binned(self, values: np.ndarray) -> np.ndarray:
         """Bin of every value: bounds below its cell."""
         cell = cells(values, self.low, self.high)
@@ -84,10 +92,10 @@ class Model:
 
     def predict(self, values: np.ndarray) -> np.ndarray:
         bins = self.binned(values)
-        out = np.full(len(bins), self.base)
+        out = np.full(len(bins), self.base, np.int64)
         for tree in self.trees:
             tree.add_to(out, bins)
-        return out
+        return out / SCALE
 
 
 def cells(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -126,7 +134,8 @@ class Growing:
 
     def __init__(self, p: Params) -> None:
         self.p = p
-        self.known: dict[int, tuple[tuple[float, int, int] | None, float]] = {}  # split, value
+        self.known: dict[int, tuple[tuple[float, int, int] | None, int]] = {}  # split, value
+        self.sums: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def _grown(self) -> tuple[list[int], set[int]]:
         """Nodes split best first, and the leaves; stops at a leaf that is not known yet."""
@@ -156,8 +165,9 @@ class Growing:
 
     def learn(self, nodes: list[int], n: np.ndarray, g: np.ndarray) -> None:
         """Take in the histograms (nodes, features, bins) that were wanted."""
-        rows, gradient = n[:, 0].sum(1), g[:, 0].sum(1) / SCALE
-        values = -self.p.step * gradient / (rows + self.p.l2)
+        rows, gradient = n[:, 0].sum(1), g[:, 0].sum(1)
+        values = np.rint(-self.p.step * gradient / (rows + self.p.l2)).astype(np.int64)
+        self.sums.update(zip(nodes, zip(n, g, strict=True), strict=True))
         self.known.update(zip(nodes, zip(best_splits(n, g, self.p), values.tolist(), strict=True), strict=True))
 
     def tree(self) -> Tree:
@@ -165,14 +175,16 @@ class Growing:
         nodes = sorted(leaves)
         return Tree([(k, *self.known[k][0][1:]) for k in done], nodes, [self.known[k][1] for k in nodes])
 
-
-def gradients(prediction: np.ndarray, target: np.ndarray) -> np.ndarray:
-    return np.rint((prediction - target) * SCALE)
+    def next_root(self) -> tuple[np.ndarray, np.ndarray]:
+        """Histograms of all rows once this tree is in the predictions."""
+        _, leaves = self._grown()
+        moved = [(n, g + self.known[k][1] * n) for k, (n, g) in ((k, self.sums[k]) for k in sorted(leaves))]
+        return sum(n for n, _ in moved)[None], sum(g for _, g in moved)[None]
 
 
 def _decoded(row, n_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     bins = np.frombuffer(row.bins, np.uint8).reshape(row.n, n_features)
-    return bins, np.frombuffer(row.target, "<f8"), np.frombuffer(row.prediction, "<f8").copy()
+    return bins, np.frombuffer(row.target, "<i8"), np.frombuffer(row.prediction, "<i8").copy()
 
 
 def _histograms(n_features: int, trees: dict[int, list[Tree]], asked: dict[int, tuple[list, list[int]]]):
@@ -194,7 +206,7 @@ def _histograms(n_features: int, trees: dict[int, list[Tree]], asked: dict[int,
             size = len(nodes) * n_features * 256
             sums = held.setdefault(row.fold, np.zeros((2, size)))
             sums[0] += np.bincount(key, minlength=size)
-            sums[1] += np.bincount(key, np.repeat(gradients(prediction, target)[here], n_features), minlength=size)
+            sums[1] += np.bincount(key, np.repeat((prediction - target)[here], n_features), minlength=size)
         yield held
 
     return count
@@ -235,8 +247,8 @@ def _blocks(models: dict[int, Model], features: list[str]):
     def pack(fold: int, parts: list[pd.DataFrame]) -> pd.DataFrame:
         rows = pd.concat(parts)
         bins = models[fold].binned(rows[features].to_numpy(np.float64))
-        start = np.full(len(rows), models[fold].base)
-        return pd.DataFrame([{"fold": fold, "n": len(rows), "bins": bins.tobytes(), "target": rows["target"].to_numpy("<f8").tobytes(), "prediction": start.tobytes()}])
+        start, target = np.full(len(rows), models[fold].base, "<i8"), rows["target"].to_numpy("<i8")
+        return pd.DataFrame([{"fold": fold, "n": len(rows), "bins": bins.tobytes(), "target": target.tobytes(), "prediction": start.tobytes()}])
 
     return make
 
@@ -247,10 +259,10 @@ def feature_bins(rows: DataFrame, features: list[str], bins: int) -> dict[int, M
     A window runs over one feature's cells of one fold: ``CELLS`` rows at most."""
     ends = rows.groupBy("fold").agg(
         F.array(*(F.min(c).cast("double") for c in features)).alias("low"), F.array(*(F.max(c).cast("double") for c in features)).alias("high"),
-        F.sum(F.round(F.col("target") * SCALE).cast("long")).alias("total"), F.count("*").alias("n"),
+        F.sum("target").alias("total"), F.count("*").alias("n"),
     ).collect()
     models = {
-        r.fold: Model(features, np.array(r.low), np.array(r.high), [np.empty(0, np.int64)] * len(features), r.total / SCALE / r.n) for r in ends
+        r.fold: Model(features, np.array(r.low), np.array(r.high), [np.empty(0, np.int64)] * len(features), round(r.total / r.n)) for r in ends
     }
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -282,7 +294,7 @@ def fit(rows: DataFrame, features: list[str], p: Params = Params()) -> dict[int,
     """A model per fold from (fold int, features, target); null features are not allowed."""
     if p.bins > 255:
         raise ValueError("at most 255 bins")
-    rows = stored(rows.select(F.col("fold").cast("int").alias("fold"), *(F.col(c).cast("double").alias(c) for c in features), F.col("target").cast("double").alias("target")), "boost-rows")
+    rows = stored(rows.select(F.col("fold").cast("int").alias("fold"), *(F.col(c).cast("double").alias(c) for c in features), F.rint(F.col("target").cast("double") * SCALE).cast("long").alias("target")), "boost-rows")
     n = rows.count()
     if not n:
         raise ValueError("no training rows for the boosted trees")
@@ -290,10 +302,14 @@ def fit(rows: DataFrame, features: list[str], p: Params = Params()) -> dict[int,
     blocks = stored(rows.repartition(max(1, -(-n // BLOCK))).mapInPandas(_blocks(models, features), _BLOCKS), "boost-blocks")
     dropped(rows)
     pending: dict[int, list[Tree]] = {fold: [] for fold in models}
+    growing: dict[int, Growing] = {}
     for k in range(p.iterations):
-        growing = {fold: Growing(p) for fold in models}
+        last_trees, growing = growing, {fold: Growing(p) for fold in models}
+        for fold, t in last_trees.items():
+            growing[fold].learn([1], *t.next_root())
         while asked := {fold: (t.splits(), sorted(t.wanted())) for fold, t in growing.items() if t.wanted()}:
-            sums = blocks.rdd.mapPartitions(_histograms(len(features), pending, asked)).treeReduce(_added)
+            sums = blocks.rdd.mapPartitions(_histograms(len(features), pending, asked))
+            sums = sums.reduce(_added) if sums.getNumPartitions() <= FEW else sums.treeReduce(_added)
             for fold, (_, nodes) in asked.items():
                 n_, g_ = sums[fold].reshape(2, len(nodes), len(features), 256)
                 growing[fold].learn(nodes, n_, g_)

@@ -410,7 +410,9 @@ def with_ctes(names: list[str], body: str) -> str:
     stripped = body.lstrip()
     if stripped[:4].upper() == "WITH":
         # merge the body's own CTE list into ours
-        return "WITH " + ",\n".join(parts) + ",\n" + stripped[4:].lstrip()
+        own = stripped[4:].lstrip()
+        start = "WITH RECURSIVE " if own[:9].upper() == "RECURSIVE" else "WITH "
+        return start + ",\n".join(parts) + ",\n" + (own[9:] if start != "WITH " else own).lstrip()
     return "WITH " + ",\n".join(parts) + "\n" + body
 
 

@@ -95,9 +95,39 @@ def _comparison(ctx):
 
 # ---------------------------------------------------------------- diagnostics models
 from ..operators import diagnostics_models, kpi  # noqa: E402
+from .q_analysis import RATE_SQL, SUMS_SQL  # noqa: E402
 
 
-@query("d01_store_segments")
+_Z = ", ".join(f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)" for c in diagnostics_models.SEGMENT_FEATURES)
+_SEGMENT_SQL = f"""WITH RECURSIVE t AS (
+  SELECT * FROM (SELECT *, {RATE_SQL} FROM (SELECT restaurant_id, {SUMS_SQL} FROM store_day_ledger GROUP BY restaurant_id))
+  WHERE {' AND '.join(f'{c} IS NOT NULL' for c in diagnostics_models.SEGMENT_FEATURES)}),
+z AS MATERIALIZED (SELECT restaurant_id, [{_Z}] AS z FROM t),
+p AS (SELECT list(z ORDER BY restaurant_id) AS p FROM z),
+l(i, s, c) AS (
+  SELECT 0, s, list(z ORDER BY md5(concat_ws('|', s, restaurant_id, 42)))[1:3] FROM z, range(20) u(s) GROUP BY s
+  UNION ALL
+  SELECT i + 1, s, list_transform(c, lambda q, j: CASE WHEN len(list_filter(a, lambda x: x = j)) = 0 THEN q ELSE
+           list_transform(range(1, len(q) + 1), lambda d: list_avg(list_transform(list_filter(list_zip(p, a), lambda m: m[2] = j), lambda m: m[1][d]))) END)
+  FROM (SELECT i, s, c, p, list_transform(p, lambda x: list_position(list_transform(c, lambda q: list_distance(x, q)), list_min(list_transform(c, lambda q: list_distance(x, q))))) AS a
+        FROM l, p WHERE i < 40)),
+best AS (
+  SELECT c FROM l, p WHERE i = 40
+  ORDER BY round(list_sum(list_transform(p, lambda x: pow(list_min(list_transform(c, lambda q: list_distance(x, q))), 2))), 9), s LIMIT 1),
+n AS (SELECT restaurant_id, list_position(list_transform(c, lambda q: list_distance(z, q)), list_min(list_transform(c, lambda q: list_distance(z, q)))) AS j FROM z, best),
+k AS (SELECT j, row_number() OVER (ORDER BY avg(operating_margin_pct), j) - 1 AS cluster_id FROM n JOIN t USING (restaurant_id) GROUP BY j)
+SELECT t.restaurant_id, r.restaurant_name, r.location_type, {', '.join('t.' + c for c in diagnostics_models.SEGMENT_FEATURES)}, cluster_id,
+       {[*diagnostics_models.SEGMENT_NAMES]!r}[cluster_id + 1] AS store_segment
+FROM t JOIN n USING (restaurant_id) JOIN k USING (j) JOIN restaurants r USING (restaurant_id)"""
+
+
+@query(
+    "d01_store_segments",
+    typed(
+        with_ctes(["store_day_ledger", "restaurants"], _SEGMENT_SQL),
+        "restaurant_id:i, restaurant_name:s, location_type:s, " + "".join(f"{c}:d, " for c in diagnostics_models.SEGMENT_FEATURES) + "cluster_id:i, store_segment:s",
+    ),
+)
 def d01_store_segments(ctx):
     """k-means (k=3, best of 20 seeds) on standardised site rates, named by margin rank."""
     totals = kpi.store_totals(ctx.store_day, ctx.restaurants)
