@@ -86,6 +86,11 @@ def select_winner(fold_metrics: DataFrame) -> DataFrame:
     return m.agg(F.min_by("model", F.struct("mean_validation_mae", "model")).alias("winner"))
 
 
+def chosen(rows: DataFrame, winner: DataFrame) -> DataFrame:
+    """Rows (traces or forecasts) of the model that the selection names: a semi join on its one row."""
+    return rows.join(F.broadcast(winner.select(F.col("winner").alias("model"))), "model", "left_semi")
+
+
 def error_bands(traces: DataFrame, quantile: float = 0.8) -> DataFrame:
     """Per-site quantile of absolute validation error."""
     v = traces.filter(F.col("evaluation_period") == "Validation")

@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import broadcast_if_small, clip_lower, money_sum, weekday
+from ..functions.semantics import broadcast_if_small, clip_lower, money_sum, snap, weekday
 from . import histogram_boosting as boosting
 from .grouped_ridge import GroupedFit, fit_grouped
 
@@ -143,7 +143,7 @@ def recursive_forecast(
         "restaurant_id",
         F.date_add(o, F.col("i") + 1).alias("business_date"),
         (F.col("i") + 1).alias("horizon_day"),
-        clip_lower(F.col("forecast_revenue"), 0.0).alias("forecast_revenue"),
+        snap(clip_lower(F.col("forecast_revenue"), 0.0), 2).alias("forecast_revenue"),  # whole cents
         F.lit(MODEL).alias("model"),
         o.alias("origin_date"),
     )

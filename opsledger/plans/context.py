@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from datetime import date, timedelta
 from functools import cache, cached_property
 from pathlib import Path
 
@@ -214,8 +215,6 @@ class Context:
     @cached_property
     def forecast_calendar(self) -> DataFrame:
         """Calendar through the last forecast day (history end + 28 days)."""
-        from datetime import date, timedelta
-
         end = (date.fromisoformat(HISTORY_END) + timedelta(days=28)).isoformat()
         return self.src.calendar(HISTORY_START, end)
 
@@ -260,14 +259,87 @@ class Context:
         hist = self.store_day.select("restaurant_id", "business_date", "revenue")
         return forecast.backtest(hist, self.restaurants.select("restaurant_id"), HISTORY_END)
 
+    @cached_property
+    def revenue_history(self) -> DataFrame:
+        return self.store_day.select("restaurant_id", "business_date", "revenue")
+
+    @cached_property
+    def forecast_features(self) -> DataFrame:
+        from ..operators import forecast_models
+
+        return self.stored(
+            "forecast_features",
+            lambda: forecast_models.feature_rows(self.revenue_history, self.restaurants, self.calendar, HISTORY_START),
+        )
+
+    @cached_property
+    def origins(self) -> list[tuple[str, int, str]]:
+        """(period, fold, origin) of the validation folds and the holdout."""
+        from ..operators import forecast
+
+        last = date.fromisoformat(HISTORY_END)
+        return [(p, k, str(last - timedelta(days=back))) for p, k, back in forecast.folds(HISTORY_END)]
+
+    @cached_property
+    def ridge_traces(self) -> DataFrame:
+        """Traces of the ridge's four fits, written once."""
+        from ..operators import forecast_models
+
+        return self.stored(
+            "ridge_traces",
+            lambda: forecast_models.ridge_backtest(
+                self.revenue_history, self.restaurants, self.forecast_calendar, self.origins, HISTORY_START, rows=self.forecast_features
+            ),
+        )
+
+    @cached_property
+    def boosted_traces(self) -> DataFrame:
+        """Traces of the boosted challenger, written once (the fit is some hundred passes)."""
+        from ..operators import forecast_models
+
+        return self.stored(
+            "boosted_traces",
+            lambda: forecast_models.gbt_backtest(
+                self.revenue_history, self.restaurants, self.forecast_calendar, self.origins, HISTORY_START, rows=self.forecast_features
+            ),
+        )
+
+    def model_traces(self, boosted: bool = False) -> DataFrame:
+        """Stored traces of the candidates among which a model is chosen."""
+        cols = ["restaurant_id", "business_date", "horizon_day", "forecast_revenue", "model", "origin_date", "evaluation_period", "fold", "actual_revenue"]
+        out = self.forecast_traces.select(*cols).unionByName(self.ridge_traces.select(*cols))
+        return out.unionByName(self.boosted_traces.select(*cols)) if boosted else out
+
+    @cached_property
+    def winner(self) -> DataFrame:
+        """One row: the candidate with the lowest mean validation error."""
+        from ..operators import forecast
+
+        return forecast.select_winner(forecast.metrics(self.model_traces(), ["evaluation_period", "fold", "model"]))
+
+    def _final_forecasts(self) -> DataFrame:
+        """Every candidate's refit from the last history date."""
+        from ..operators import forecast, forecast_models
+
+        naive = forecast.naive_forecasts(self.revenue_history, self.restaurants.select("restaurant_id"), [("Future", 0, HISTORY_END)])
+        fit = forecast_models.fit_ridge(self.forecast_features)
+        ridge = forecast_models.recursive_forecast(fit, self.revenue_history, self.restaurants, self.forecast_calendar, HISTORY_END, HISTORY_START)
+        cols = ["restaurant_id", "business_date", "origin_date", "forecast_revenue", "model"]
+        return naive.select(*cols).unionByName(ridge.select(*cols))
+
     @cached_property
     def forecast_daily(self) -> DataFrame:
-        """Final refit from the last history date with empirical bands."""
+        """The chosen model's forecast from the last history date, with its own empirical bands.
+
+        The choice is a semi join of the stored traces and refits on the winner: the plan that
+        follows it has no branch on the driver."""
         from ..operators import forecast
 
-        hist = self.store_day.select("restaurant_id", "business_date", "revenue")
-        final = forecast.naive_forecasts(hist, self.restaurants.select("restaurant_id"), [("Future", 0, HISTORY_END)])
-        return forecast.with_bands(final, forecast.error_bands(self.forecast_traces))
+        def build() -> DataFrame:
+            bands = forecast.error_bands(forecast.chosen(self.model_traces(), self.winner))
+            return forecast.with_bands(forecast.chosen(self._final_forecasts(), self.winner), bands)
+
+        return self.stored("forecast_daily", build)
 
     # ---- materialised marts ---------------------------------------------
     def stored(self, name: str, build) -> DataFrame:

@@ -400,6 +400,7 @@ TRACE_SPEC = (
     "evaluation_period:s, fold:i, actual_revenue:d"
 )
 cte("traces", ["restaurants", "store_day_ledger"], TRACE_SQL)
+from . import oracle_ridge  # noqa: E402,F401
 
 
 def _traces(ctx):
@@ -467,57 +468,28 @@ def f09_holdout_coverage(ctx):
     )
 
 
-@query(
-    "f08_model_selection",
-    typed(
-        with_ctes(
-            ["traces"],
-            f"""SELECT arg_min(model, (mae, model)) AS winner FROM (SELECT model, avg(mae) AS mae FROM ({_MET})
-WHERE evaluation_period = 'Validation' GROUP BY model)""",
-        ),
-        "winner:s",
-    ),
-)
-def f08_model_selection(ctx):
-    """Winner by mean validation MAE."""
-    return forecast.select_winner(forecast.metrics(_traces(ctx), ["evaluation_period", "fold", "model"]))
-
-
 @query(
     "f11_forecast_plot",
     typed(
         with_ctes(
-            ["store_day_ledger", "restaurants", "traces"],
-            f"""WITH b AS (SELECT restaurant_id, quantile_cont(abs(actual_revenue - forecast_revenue), 0.8) AS band
-           FROM traces WHERE evaluation_period = 'Validation' GROUP BY restaurant_id),
-fut AS (SELECT r.restaurant_id, CAST(DATE '{HISTORY_END}' + h AS DATE) AS business_date,
-               greatest(s.revenue, 0.0) AS revenue
-        FROM restaurants r, (SELECT CAST(range AS INTEGER) AS h FROM range(1, 29)) t
-        LEFT JOIN store_day_ledger s ON s.restaurant_id = r.restaurant_id
-             AND s.business_date = CAST(DATE '{HISTORY_END}' - 6 + ((h - 1) % 7) AS DATE))
-SELECT restaurant_id, business_date, revenue, CAST(NULL AS DOUBLE) AS lower_80, CAST(NULL AS DOUBLE) AS upper_80,
+            ["store_day_ledger", "forecast_daily"],
+            """SELECT restaurant_id, business_date, revenue, CAST(NULL AS DOUBLE) AS lower_80, CAST(NULL AS DOUBLE) AS upper_80,
        'History' AS record_kind FROM store_day_ledger
 UNION ALL
-SELECT f.restaurant_id, f.business_date, f.revenue,
-       CASE WHEN f.revenue - b.band IS NOT NULL THEN greatest(f.revenue - b.band, 0.0) END, f.revenue + b.band,
-       'Forecast estimate' FROM fut f LEFT JOIN b USING (restaurant_id)""",
+SELECT restaurant_id, business_date, forecast_revenue, lower_80, upper_80, 'Forecast estimate' FROM forecast_daily""",
         ),
         "restaurant_id:i, business_date:t, revenue:d, lower_80:d, upper_80:d, record_kind:s",
     ),
 )
 def f11_forecast_plot(ctx):
-    """Final refit from the last date with bands, unioned with history."""
+    """The chosen model's forecast with bands, unioned with history."""
     from pyspark.sql import functions as F
 
-    hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
-    sites = ctx.restaurants.select("restaurant_id")
-    final = forecast.naive_forecasts(hist, sites, [("Future", 0, HISTORY_END)])
-    final = forecast.with_bands(final, forecast.error_bands(_traces(ctx)))
-    fut = final.select(
+    fut = ctx.forecast_daily.select(
         "restaurant_id", "business_date", F.col("forecast_revenue").alias("revenue"), "lower_80", "upper_80",
         F.lit("Forecast estimate").alias("record_kind"),
     )
-    return hist.withColumn("record_kind", F.lit("History")).unionByName(fut, allowMissingColumns=True)
+    return ctx.revenue_history.withColumn("record_kind", F.lit("History")).unionByName(fut, allowMissingColumns=True)
 
 
 # ---------------------------------------------------------------- promotions

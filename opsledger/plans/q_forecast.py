@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import date, timedelta
-
 from pyspark.sql import functions as F
 
 from ..operators import forecast, forecast_models
-from ..sources.adapters import HISTORY_END, HISTORY_START
+from ..sources.adapters import HISTORY_START
 from .oracle_base import cte, typed, with_ctes
+from .q_analysis import RATE_SQL, SUMS_SQL, TRACE_SPEC
 from .registry import query
 
 FEATURE_SQL = f"""WITH h AS (
@@ -43,59 +42,51 @@ def f01_feature_matrix(ctx):
     )
 
 
-def _origins():
-    last = date.fromisoformat(HISTORY_END)
-    return [(p, k, str(last - timedelta(days=back))) for p, k, back in forecast.folds(HISTORY_END)]
-
-
-def _ridge_traces(ctx):
-    hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
-    rows = ctx.stored(
-        "forecast_features",
-        lambda: forecast_models.feature_rows(hist, ctx.restaurants, ctx.calendar, HISTORY_START),
-    )
-    # four fits feed f03, f08 and x10: write the traces once under the checkpoint folder
-    return ctx.stored(
-        "ridge_traces",
-        lambda: forecast_models.ridge_backtest(
-            hist, ctx.restaurants, ctx.forecast_calendar, _origins(), HISTORY_START, rows=rows
-        ),
-    )
-
-
-@query("f03_ridge_backtest")
+@query("f03_ridge_backtest", typed(with_ctes(["ridge_traces"], "SELECT * FROM ridge_traces"), TRACE_SPEC))
 def f03_ridge_backtest(ctx):
     """Calendar ridge (alpha 60, standardised) recursive 28-day traces per fold and holdout."""
-    return _ridge_traces(ctx).select(
+    return ctx.ridge_traces.select(
         "restaurant_id", "business_date", "horizon_day", "forecast_revenue", "model", "origin_date",
         "evaluation_period", "fold", "actual_revenue",
     )
 
 
-@query("f08_model_comparison")
+_METRICS = """SELECT evaluation_period, fold, model,
+       avg(abs(actual_revenue - forecast_revenue)) AS mae,
+       sqrt(avg((actual_revenue - forecast_revenue) * (actual_revenue - forecast_revenue))) AS rmse,
+       avg(CASE WHEN actual_revenue > 0 THEN abs(actual_revenue - forecast_revenue) / actual_revenue END) * 100 AS mape,
+       sum(abs(actual_revenue - forecast_revenue)) / nullif(sum(actual_revenue), 0) * 100 AS wape,
+       count(*) AS observations, model = (SELECT winner FROM winner) AS is_winner
+FROM model_traces GROUP BY evaluation_period, fold, model"""
+
+
+@query(
+    "f08_model_comparison",
+    typed(
+        with_ctes(["model_traces", "winner"], _METRICS),
+        "evaluation_period:s, fold:i, model:s, mae:d, rmse:d, mape:d, wape:d, observations:i, is_winner:b",
+    ),
+)
 def f08_model_comparison(ctx):
     """Per period / fold / model metrics of seasonal naive and ridge, with the
     validation-MAE winner flagged (F06, F08)."""
     return _comparison(ctx)
 
 
-def _comparison(ctx):
-    traces = ctx.forecast_traces.select(
-        "restaurant_id", "business_date", "forecast_revenue", "model", "evaluation_period", "fold", "actual_revenue"
-    ).unionByName(
-        _ridge_traces(ctx).select(
-            "restaurant_id", "business_date", "forecast_revenue", "model", "evaluation_period", "fold",
-            "actual_revenue",
-        )
-    )
-    m = forecast.metrics(traces, ["evaluation_period", "fold", "model"])
+def _comparison(ctx, boosted: bool = False):
+    m = forecast.metrics(ctx.model_traces(boosted), ["evaluation_period", "fold", "model"])
     winner = forecast.select_winner(m)
     return m.crossJoin(F.broadcast(winner)).withColumn("is_winner", F.col("model") == F.col("winner")).drop("winner")
 
 
+@query("f08_model_selection", typed(with_ctes(["winner"], "SELECT winner FROM winner"), "winner:s"))
+def f08_model_selection(ctx):
+    """The candidate with the lowest mean validation MAE, which the forecast and the plan follow."""
+    return ctx.winner
+
+
 # ---------------------------------------------------------------- diagnostics models
 from ..operators import diagnostics_models, kpi  # noqa: E402
-from .q_analysis import RATE_SQL, SUMS_SQL  # noqa: E402
 
 
 _Z = ", ".join(f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)" for c in diagnostics_models.SEGMENT_FEATURES)
@@ -214,26 +205,11 @@ def d04_association_bootstrap(ctx):
     return diagnostics_models.site_bootstrap(res)
 
 
-def _gbt_traces(ctx):
-    """Boosted traces, written once under the checkpoint folder (the fit is some hundred passes)."""
-    hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
-    rows = ctx.stored(
-        "forecast_features",
-        lambda: forecast_models.feature_rows(hist, ctx.restaurants, ctx.calendar, HISTORY_START),
-    )
-    return ctx.stored(
-        "gbt_traces",
-        lambda: forecast_models.gbt_backtest(
-            hist, ctx.restaurants, ctx.forecast_calendar, _origins(), HISTORY_START, rows=rows
-        ),
-    )
-
-
 @query("f04_gbt_backtest")
 def f04_gbt_backtest(ctx):
     """Histogram-boosting challenger: 120 iterations, 15 leaves, step 0.06, L2 8, recursive
     28-day traces per fold and holdout (F04, F05); pytest compares the trees with numpy."""
-    return _gbt_traces(ctx).select(
+    return ctx.boosted_traces.select(
         "restaurant_id", "business_date", "horizon_day", "forecast_revenue", "model", "origin_date",
         "evaluation_period", "fold", "actual_revenue",
     )
@@ -243,15 +219,7 @@ def f04_gbt_backtest(ctx):
 def f08_three_model_comparison(ctx):
     """Seasonal naive, calendar ridge and GBT metrics per period and fold, with the
     mean-validation-MAE winner flagged; the holdout never selects (F06, F08)."""
-    cols = ["restaurant_id", "business_date", "forecast_revenue", "model", "evaluation_period", "fold", "actual_revenue"]
-    traces = (
-        ctx.forecast_traces.select(*cols)
-        .unionByName(_ridge_traces(ctx).select(*cols))
-        .unionByName(_gbt_traces(ctx).select(*cols))
-    )
-    m = forecast.metrics(traces, ["evaluation_period", "fold", "model"])
-    winner = forecast.select_winner(m)
-    return m.crossJoin(F.broadcast(winner)).withColumn("is_winner", F.col("model") == F.col("winner")).drop("winner")
+    return _comparison(ctx, boosted=True)
 
 
 @query("x10_findings")
@@ -275,25 +243,13 @@ def x10_findings(ctx):
     )
 
 
-@query("f10_winner_forecast")
+@query(
+    "f10_winner_forecast",
+    typed(
+        with_ctes(["forecast_daily"], "SELECT * FROM forecast_daily"),
+        "restaurant_id:i, business_date:t, origin_date:t, forecast_revenue:d, lower_80:d, upper_80:d, model:s",
+    ),
+)
 def f10_winner_forecast(ctx):
-    """Final 28-day refit with the validation winner of naive vs ridge, with that
-    model's empirical 80 % bands (F08 -> F09 -> F10).  The winner is a one-row
-    scalar; the refit is one fit on all history through the last date."""
-    from ..operators import forecast
-
-    winner = forecast.select_winner(_comparison(ctx)).first()["winner"]
-    if winner != forecast_models.MODEL:
-        f = ctx.forecast_daily.withColumn("model", F.lit(forecast.MODEL))
-    else:
-        hist = ctx.store_day.select("restaurant_id", "business_date", "revenue")
-        rows = ctx.stored(
-            "forecast_features",
-            lambda: forecast_models.feature_rows(hist, ctx.restaurants, ctx.calendar, HISTORY_START),
-        )
-        fit = forecast_models.fit_ridge(rows)
-        final = forecast_models.recursive_forecast(
-            fit, hist, ctx.restaurants, ctx.forecast_calendar, HISTORY_END, HISTORY_START
-        )
-        f = forecast.with_bands(final, forecast.error_bands(_ridge_traces(ctx)))
-    return f.select("restaurant_id", "business_date", "origin_date", "forecast_revenue", "lower_80", "upper_80", "model")
+    """Final 28-day refit of the validation winner, with that model's empirical 80 % bands and its name (F08 -> F09 -> F10)."""
+    return ctx.forecast_daily.select("restaurant_id", "business_date", "origin_date", "forecast_revenue", "lower_80", "upper_80", "model")

@@ -5,26 +5,13 @@ from __future__ import annotations
 
 from ..operators import planning
 from ..sources.adapters import HISTORY_END
+from . import q_analysis  # noqa: F401  (defines the forecast tables of the oracle)
 from .oracle_base import cte, snap, typed, with_ctes
 from .registry import query
 
 A = planning.PlanningAssumptions()
 CAPACITY = A.orders_per_service_hour * A.utilisation
 
-cte(
-    "forecast_daily",
-    ["traces", "restaurants", "store_day_ledger"],
-    f"""WITH b AS (SELECT restaurant_id, quantile_cont(abs(actual_revenue - forecast_revenue), 0.8) AS band
-           FROM traces WHERE evaluation_period = 'Validation' GROUP BY restaurant_id),
-f AS (SELECT r.restaurant_id, CAST(DATE '{HISTORY_END}' + h AS DATE) AS business_date, DATE '{HISTORY_END}' AS origin_date,
-             CASE WHEN s.revenue IS NOT NULL THEN greatest(s.revenue, 0.0) END AS forecast_revenue
-      FROM restaurants r, (SELECT CAST(range AS INTEGER) AS h FROM range(1, 29)) t
-      LEFT JOIN store_day_ledger s ON s.restaurant_id = r.restaurant_id
-           AND s.business_date = CAST(DATE '{HISTORY_END}' - 6 + ((h - 1) % 7) AS DATE))
-SELECT f.*, CASE WHEN f.forecast_revenue - b.band IS NOT NULL THEN greatest(f.forecast_revenue - b.band, 0.0) END AS lower_80,
-       f.forecast_revenue + b.band AS upper_80
-FROM f LEFT JOIN b USING (restaurant_id)""",
-)
 cte(
     "scheduled_hour",
     ["labour"],
