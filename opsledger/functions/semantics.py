@@ -137,6 +137,24 @@ def checked_join(
     return left.join(right, keys, how)
 
 
+def unique_on(dim: DataFrame, on: str | list[str]) -> DataFrame:
+    """The dimension itself, but a repeated key fails the job that reads it.
+
+    The guard is part of the plan: one aggregate over the dimension, no job of its own and no pass
+    over the facts, and every retry checks again. The raised error sits in the key columns, which
+    a join always evaluates, so it can't be pruned."""
+    keys = [on] if isinstance(on, str) else list(on)
+    rest = [c for c in dim.columns if c not in keys]
+    held = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.any_value(F.struct(*rest) if rest else F.lit(1)).alias("_rest"))
+    types = dict(dim.dtypes)
+
+    def checked(key: str) -> Column:
+        says = F.concat(F.lit(f"join keys {keys} are not unique: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+        return F.when(F.col("_n") > 1, F.raise_error(says).cast(types[key])).otherwise(F.col(key)).alias(key)
+
+    return held.select(*(checked(k) if k in keys else F.col("_rest")[k].alias(k) for k in dim.columns))
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of a plan (no job is run)."""
     try:

@@ -10,8 +10,11 @@ counts and the last status across bucket boundaries.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Fixed values of the workflow: allowed next statuses per status.
 STATUSES = ("proposed", "approved", "in progress", "completed", "cancelled")
@@ -165,19 +168,70 @@ def verify_fingerprints(stored: DataFrame, events: DataFrame) -> DataFrame:
     return kept.join(now, "action_id", "full_outer").select("action_id", state.alias("state"))
 
 
+# ---------------------------------------------------------------- E01
+def _store(spark: SparkSession, path: str):
+    """(file system, Hadoop path maker) of the log's store."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def log_version(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Latest version of an event log and the data folders it admits, in order of commit."""
+    fs, make = _store(spark, path)
+    root = make(f"{path}/manifest")
+    if not fs.exists(root):
+        return 0, []
+    versions = sorted(str(f.getPath().getName()) for f in fs.listStatus(root) if str(f.getPath().getName()).isdigit())
+    folders = []
+    for v in versions:
+        names = [str(f.getPath().getName()) for f in fs.listStatus(make(f"{path}/manifest/{v}")) if f.isFile()]
+        folders += [f"{path}/data/append={n}" for n in names if not n.startswith((".", "_"))]
+    return (int(versions[-1]) if versions else 0), folders
+
+
+def read_events(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The committed events; files of writers that have not committed are not read."""
+    _, folders = log_version(spark, path)
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", f"{path}/data").parquet(*folders).select(*schema.names)
+
+
+def _commit(spark: SparkSession, path: str, version: int, folder: str) -> bool:
+    """Admit a data folder as ``version``; false when another writer has that version.
+
+    A folder with one file named after the data is renamed into place. Where the version is
+    taken, a rename either fails or puts the folder inside the winner's, so the file is missing
+    from the place that counts."""
+    fs, make = _store(spark, path)
+    own, place = f"{path}/manifest/.{folder}", f"{path}/manifest/{version:020d}"
+    fs.create(make(f"{own}/{folder}"), False).close()
+    won = bool(fs.rename(make(own), make(place))) and bool(fs.exists(make(f"{place}/{folder}")))
+    if not won:
+        fs.delete(make(own), True)
+        fs.delete(make(f"{place}/.{folder}"), True)
+    return won
+
+
 def append_events(events: DataFrame, path: str, key: str = "event_id") -> int:
-    """Append-only event table (E01): rows whose ``key`` is already stored are
-    skipped (left anti join), so a retried append adds nothing twice; existing
-    files are never rewritten.  Partitioned by event date.  Returns rows added."""
+    """Append the events whose ``key`` the log does not hold yet (E01); returns how many.
+
+    Every append is a data folder of its own, partitioned by event date, and a version of the
+    manifest that admits it. Keys are checked against one version and admitted as the next: when
+    another writer takes that version first, the rows are checked again and written anew. So each
+    event is added once, by retries and by writers at the same time, and no file is rewritten."""
     spark = events.sparkSession
-    jvm = spark._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark._jsc.hadoopConfiguration())
-    new = events
-    if fs.exists(hpath):
-        new = events.join(spark.read.parquet(path).select(key), key, "left_anti")
-    new = new.withColumn("event_date", F.to_date("created_at"))
-    n = new.count()
-    if n:
-        new.write.mode("append").partitionBy("event_date").parquet(path)
-    return n
+    fs, make = _store(spark, path)
+    new = events.dropDuplicates([key]).withColumn("event_date", F.to_date("created_at"))
+    while True:
+        version, _ = log_version(spark, path)
+        rows = new.join(read_events(spark, path, new.schema).select(key), key, "left_anti")
+        folder = uuid.uuid4().hex
+        counted = Observation()
+        rows.observe(counted, F.count(F.lit(1)).alias("n")).write.partitionBy("event_date").parquet(f"{path}/data/append={folder}")
+        added = spark.read.parquet(f"{path}/data/append={folder}").count() if counted.get["n"] else 0
+        if added and _commit(spark, path, version + 1, folder):
+            return added
+        fs.delete(make(f"{path}/data/append={folder}"), True)
+        if not added:
+            return 0

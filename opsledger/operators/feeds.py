@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import broadcast_if_small, money_sum, ratio
+from .marts import staffing_status
 from .marts import COSTS
 
 
@@ -134,3 +135,23 @@ def scope_lists(monthly: DataFrame) -> DataFrame:
         F.element_at("_months", 1).alias("latest_month"),
         F.element_at("_months", -1).alias("first_month"),
     )
+
+
+#: Benchmark orders per service hour, tolerated gap in orders and spare share of the capacity feed.
+CAPACITY_CASES = [(6.0, 2.0, 0.45), (5.0, 1.0, 0.50), (8.0, 3.0, 0.40)]
+
+
+def capacity_thresholds(store_hour: DataFrame, cases: list[tuple[float, float, float]] = CAPACITY_CASES) -> DataFrame:
+    """Hours by staffing status per site under each case of benchmark, gap and spare share.
+
+    The cases are an exploded parameter array, so any number of them is one pass and one shuffle."""
+    names = ("orders_per_service_hour", "gap_tolerance", "spare_threshold")
+    grid = F.array(*(F.struct(*(F.lit(float(v)).alias(n) for n, v in zip(names, case, strict=True))) for case in cases))
+    rows = store_hour.select("restaurant_id", "transactions", "service_hours", F.explode(grid).alias("_c")).select("*", "_c.*")
+    capacity = F.col("service_hours") * F.col("orders_per_service_hour")
+    status = staffing_status(F.col("transactions"), capacity, F.col("gap_tolerance"), F.col("spare_threshold"))
+    return rows.withColumn("_s", status).groupBy("restaurant_id", *names).agg(
+        F.count(F.lit(1)).alias("hours"), F.count_if(F.col("_s") == "Pressure").alias("pressure_hours"),
+        F.count_if(F.col("_s") == "Spare capacity").alias("spare_hours"), F.count_if(F.col("_s") == "Balanced").alias("balanced_hours"),
+        ratio(F.count_if(F.col("_s") == "Pressure"), F.count(F.lit(1))).alias("pressure_share"),
+    )

@@ -27,7 +27,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import broadcast_if_small, clip_lower, money_sum, snap, weekday
+from ..functions.semantics import broadcast_if_small, clip_lower, money_sum, snap, unique_on, weekday
 from . import histogram_boosting as boosting
 from .grouped_ridge import GroupedFit, fit_grouped
 
@@ -64,8 +64,8 @@ def feature_rows(history: DataFrame, restaurants: DataFrame, calendar: DataFrame
     hol = calendar.select("business_date", "state", F.col("is_public_holiday").alias("holiday"))
     sites = restaurants.select("restaurant_id", "state")
     return (
-        h.join(broadcast_if_small(sites), "restaurant_id")
-        .join(hol, ["business_date", "state"])
+        h.join(broadcast_if_small(unique_on(sites, "restaurant_id")), "restaurant_id")
+        .join(unique_on(hol, ["business_date", "state"]), ["business_date", "state"])
         .drop("state")
         .withColumns(calendar_columns(start_date))
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.semantics import broadcast_if_small, clamp, money_sum, ratio
+from ..functions.semantics import broadcast_if_small, clamp, money_sum, ratio, unique_on
 from .marts import ADDITIVE_DAY, COSTS
 
 # Everything of the daily ledger that may be summed: its facts, its cost lines and the result.
@@ -106,8 +106,10 @@ def scores(df: DataFrame, weights: dict[str, float] = INDEX_WEIGHTS) -> DataFram
 def store_month_kpis(daily: DataFrame, targets: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Monthly KPIs per site with targets, growth and Performance Index."""
     monthly = calculate(sum_additive(daily, ["restaurant_id", "month"]))
-    monthly = monthly.join(targets, ["restaurant_id", "month"]).join(
-        broadcast_if_small(restaurants), "restaurant_id"
+    # a month without a target stays, its achievement and index null
+    keys = ["restaurant_id", "month"]
+    monthly = monthly.join(unique_on(targets, keys), keys, "left").join(
+        broadcast_if_small(unique_on(restaurants, "restaurant_id")), "restaurant_id"
     )
     monthly = growth(monthly, "restaurant_id", "month")
     return scores(monthly)
@@ -115,4 +117,5 @@ def store_month_kpis(daily: DataFrame, targets: DataFrame, restaurants: DataFram
 
 def store_totals(daily: DataFrame, restaurants: DataFrame) -> DataFrame:
     """Full-history site totals with rates."""
-    return calculate(sum_additive(daily, ["restaurant_id"])).join(broadcast_if_small(restaurants), "restaurant_id")
+    sites = broadcast_if_small(unique_on(restaurants, "restaurant_id"))
+    return calculate(sum_additive(daily, ["restaurant_id"])).join(sites, "restaurant_id")

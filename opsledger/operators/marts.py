@@ -28,6 +28,7 @@ from ..functions.semantics import (
     ratio,
     snap,
     weekday,
+    unique_on,
 )
 
 ADDITIVE_DAY = [
@@ -130,7 +131,7 @@ def product_month(tx: DataFrame, products: DataFrame) -> DataFrame:
         F.sum("quantity").alias("units"),
         F.countDistinct("order_id").alias("orders_with_product"),
     )
-    out = agg.join(products, "product_id")
+    out = agg.join(unique_on(products, "product_id"), "product_id")
     return out.withColumn("gross_contribution", F.col("revenue") - F.col("ingredient_cost"))
 
 
@@ -162,7 +163,7 @@ def waste_detail(waste: DataFrame, products: DataFrame) -> DataFrame:
     agg = waste.groupBy("restaurant_id", "business_date", "product_id", "reason").agg(
         F.sum("waste_units").alias("waste_units"), money_sum("waste_cost").alias("waste_cost")
     )
-    return agg.join(products.select("product_id", "product_name", "category"), "product_id")
+    return agg.join(unique_on(products.select("product_id", "product_name", "category"), "product_id"), "product_id")
 
 
 def feedback_day(feedback: DataFrame) -> DataFrame:
@@ -231,7 +232,8 @@ class Facts:
 
 def spine(restaurants: DataFrame, cal: DataFrame) -> DataFrame:
     """Sites x calendar days on the shared state."""
-    return restaurants.join(broadcast_if_small(cal), "state")
+    days = unique_on(cal, ["business_date", "state"])
+    return unique_on(restaurants, "restaurant_id").join(broadcast_if_small(days), "state")
 
 
 # ---------------------------------------------------------------- J02 / A10
@@ -325,8 +327,8 @@ EPS = 1e-9  # float-noise tolerance on threshold tests of allocated hours
 def staffing_status(
     transactions: Column,
     capacity: Column,
-    pressure_gap: float = 2.0,
-    spare_share: float = 0.45,
+    pressure_gap: float | Column = 2.0,
+    spare_share: float | Column = 0.45,
 ) -> Column:
     """Pressure when demand exceeds capacity by more than ``pressure_gap`` orders,
     Spare when demand is under ``spare_share`` of capacity, else Balanced

@@ -14,7 +14,8 @@ from datetime import date, timedelta
 from functools import cache, cached_property
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import kpi, marts, quality
 from ..session import checkpoint_dir, configure
@@ -60,6 +61,27 @@ def fingerprint(spark: SparkSession, folder: str) -> str:
     return h.hexdigest()[:16]
 
 
+_KEY_DAY = {"key is populated": "restaurant_id IS NULL OR business_date IS NULL"}
+#: What no row of a stored mart may be; unknown counts as a breach.
+CONTRACTS: dict[str, dict[str, str]] = {
+    "transactions": {
+        "line and order are populated": "transaction_line_id IS NULL OR order_id IS NULL OR restaurant_id IS NULL",
+        "amounts are finite": "NOT (net_revenue >= 0 AND net_revenue < double('inf') AND list_revenue >= net_revenue - 0.011)",
+        "day is known": "business_date IS NULL",
+    },
+    "labour": {"shift has hours and a rate": "NOT (paid_hours BETWEEN 0 AND 16 AND hourly_cost >= 0)"},
+    "orders": {"key is populated": "order_id IS NULL OR restaurant_id IS NULL", "order has a day": "business_date IS NULL"},
+    "store_day": _KEY_DAY
+    | {
+        "ledger adds up": "abs(revenue - ingredient_cost - waste_cost - labour_cost - commission_cost - coalesce(overhead_cost, 0) - campaign_cost - operating_profit) > 0.01",
+        "counts are not negative": "transactions < 0 OR deliveries < late_deliveries OR survey_responses < 0",
+    },
+    "store_hour": _KEY_DAY | {"hour is a trading hour": "hour IS NULL OR hour NOT BETWEEN 11 AND 21"},
+    "store_month_kpis": {"key is populated": "restaurant_id IS NULL OR month IS NULL", "index lies in 0 to 100": "performance_index IS NOT NULL AND performance_index NOT BETWEEN 0 AND 100"},
+    "forecast_daily": _KEY_DAY | {"band holds the forecast": "forecast_revenue IS NULL OR NOT (lower_80 <= forecast_revenue AND forecast_revenue <= upper_80)"},
+}
+
+
 class Context:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = configure(spark)
@@ -346,6 +368,9 @@ class Context:
         """Write ``build()`` once as Parquet under the cluster checkpoint folder
         and read it back.
 
+        Breaches of the mart's contract (:data:`CONTRACTS`) are counted while it is written; one is
+        enough to delete what was written and raise before the folder gets its name (Q02, Q19).
+
         The clean facts and daily marts feed most queries; storing them cuts the
         lineage (a lost executor recomputes from durable files, not from the raw
         scans) and keeps every downstream plan small.  The folder comes from
@@ -359,12 +384,25 @@ class Context:
             if not fs.exists(done):
                 # each job writes a folder of its own; the first to rename it wins
                 own = f"{path}.{uuid.uuid4().hex}"
-                build().write.parquet(own)
+                self._write(name, build(), own)
                 if not fs.rename(_hadoop(self.spark, own)[1], _hadoop(self.spark, path)[1]) or not fs.exists(done):
                     path = own
             _STORED[key] = path
         return self.spark.read.parquet(path)
 
+    def _write(self, name: str, df: DataFrame, path: str) -> None:
+        rules = CONTRACTS.get(name, {})
+        seen = Observation() if rules else None
+        if rules:
+            df = df.observe(seen, *(F.count_if(F.coalesce(F.expr(rule), F.lit(True))).alias(what) for what, rule in rules.items()))
+        df.write.parquet(path)
+        # a task that ran twice may count twice, but none that finds nothing counts at all
+        broken = {what: n for what, n in (seen.get if rules else {}).items() if n}
+        if broken:
+            fs, own = _hadoop(self.spark, path)
+            fs.delete(own, True)
+            raise ValueError(f"mart {name} breaks its contract: " + ", ".join(f"{what} ({n} rows)" for what, n in broken.items()))
+
     @cached_property
     def fingerprint(self) -> str:
         return fingerprint(self.spark, self.folder)

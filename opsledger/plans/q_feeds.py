@@ -3,10 +3,10 @@ weekly forecast, hourly demand mix, cost shares (A34, A36, A39, A42)."""
 
 from __future__ import annotations
 
-from ..operators import diagnostics, feeds, marts
+from ..operators import diagnostics, feeds, kpi, management, marts
 from ..operators.marts import COSTS
 from .oracle_base import cte, msum, typed, with_ctes
-from .q_analysis import RATE_SQL, SUMS_SQL, _profiles
+from .q_analysis import LEDGER_SPEC, RATE_COLS, RATE_SQL, SUMS_SQL, _profiles
 from .registry import query
 
 cte(
@@ -304,3 +304,50 @@ def a39_mean_fold_metrics(ctx):
         F.avg("mae").alias("mean_mae"), F.avg("rmse").alias("mean_rmse"), F.avg("mape").alias("mean_mape"),
         F.avg("wape").alias("mean_wape"), F.count(F.lit(1)).alias("folds"),
     )
+
+
+_CASES = ", ".join(f"({a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE)" for a, b, c in feeds.CAPACITY_CASES)
+
+
+@query(
+    "a42_capacity_thresholds",
+    typed(
+        with_ctes(
+            ["store_hour"],
+            f"""WITH c(orders_per_service_hour, gap_tolerance, spare_threshold) AS (VALUES {_CASES}),
+s AS (
+  SELECT restaurant_id, c.*, CASE WHEN transactions - service_hours * orders_per_service_hour > gap_tolerance + 1e-9 THEN 'P'
+         WHEN transactions < service_hours * orders_per_service_hour * spare_threshold - 1e-9 THEN 'S' ELSE 'B' END AS status
+  FROM store_hour CROSS JOIN c)
+SELECT restaurant_id, orders_per_service_hour, gap_tolerance, spare_threshold, count(*) AS hours,
+       count(*) FILTER (WHERE status = 'P') AS pressure_hours, count(*) FILTER (WHERE status = 'S') AS spare_hours,
+       count(*) FILTER (WHERE status = 'B') AS balanced_hours, count(*) FILTER (WHERE status = 'P') / count(*) AS pressure_share
+FROM s GROUP BY ALL""",
+        ),
+        "restaurant_id:i, orders_per_service_hour:d, gap_tolerance:d, spare_threshold:d, hours:i, pressure_hours:i, spare_hours:i, "
+        "balanced_hours:i, pressure_share:d",
+    ),
+)
+def a42_capacity_thresholds(ctx):
+    """Pressure, spare and balanced hours per site under several benchmarks and thresholds."""
+    return feeds.capacity_thresholds(ctx.store_hour)
+
+
+_SCOPE = ("AMERICA", "ASIA")
+
+
+@query(
+    "p01_scope_totals",
+    typed(
+        with_ctes(
+            ["store_day_ledger", "restaurants"],
+            f"""SELECT *, {RATE_SQL} FROM (SELECT {SUMS_SQL} FROM store_day_ledger
+WHERE month = '2025-06' AND restaurant_id IN (SELECT restaurant_id FROM restaurants WHERE state IN {_SCOPE!r}))""",
+        ),
+        LEDGER_SPEC,
+    ),
+)
+def p01_scope_totals(ctx):
+    """Totals and rates of the sites of two regions in one month."""
+    ids = ctx.restaurants.where(ctx.restaurants["state"].isin(*_SCOPE))
+    return management.aggregate_scope(ctx.store_day, ids, "2025-06").select(*kpi.ADDITIVE, *RATE_COLS)

@@ -359,26 +359,141 @@ def _tables(ctx):
         yield name, df, keys, [c for c in df.columns if c not in NULLABLE or c in keys_and]
 
 
-@query("q12_table_contracts")
+#: Rules beyond keys, types and amounts: the operator's conditions, and the same in SQL.
+_RULES = {"transactions": quality.line_contract_rules, "products": quality.product_contract_rules}
+_TAXONOMY = sorted(set(quality.CATEGORY_ALIASES.values()))
+_RULE_SQL = {
+    "transactions": [
+        ("Net revenue reconciles", "abs(list_revenue - discount_amount - net_revenue) <= 0.011", "list less discount is net"),
+        ("GST reconciles", "abs(net_revenue * 0.1 - gst_amount) <= 0.011", "a tenth of net"),
+        ("Known channel", "channel IN ('Dine-in', 'Takeaway', 'Delivery')", "Dine-in, Takeaway, Delivery"),
+    ],
+    "products": [("Approved category", f"category IN ({', '.join(map(repr, _TAXONOMY))})", ", ".join(_TAXONOMY))],
+}
+#: Columns of every table with their SQL types; the raw products have categories as exported.
+_SQL_COLUMNS = {
+    "restaurants": "restaurant_id restaurant_name state location_type area seats open_hour close_hour",
+    "products": "product_id product_name category menu_price_ex_gst standard_ingredient_cost",
+    "transactions": " ".join(TX_COLUMNS),
+    "labour": "shift_id restaurant_id employee_id role business_date daypart scheduled_start scheduled_end actual_start actual_end break_hours paid_hours hourly_cost",
+    "customer_feedback": "feedback_id order_id restaurant_id business_date overall_score food_score service_score",
+    "loyalty": "loyalty_event_id customer_id restaurant_id order_id event_date event_type points",
+    "promotions": "promotion_id restaurant_id campaign_name start_date end_date discount_rate eligible_category campaign_cost",
+    "waste": "waste_id restaurant_id product_id business_date waste_units waste_cost reason",
+    "targets": "restaurant_id month revenue_target operating_margin_target labour_pct_target waste_pct_target satisfaction_target",
+    "operating_costs": "cost_id restaurant_id month cost_category amount",
+    "delivery": "order_id restaurant_id promised_minutes actual_minutes commission_cost delivery_fee status",
+    "calendar": "business_date state holiday_name is_public_holiday weekday is_weekend month season school_holiday_proxy",
+}
+
+
+#: Oracle table of each table, where it is not the source's name.
+_ORACLE_SOURCE = {"restaurants": "site_master"}
+cte("site_master", ["restaurants"], "SELECT *, 40 + (restaurant_id % 5) * 10 AS seats, 11 AS open_hour, 22 AS close_hour FROM restaurants")
+
+
+def _required(name: str, columns: list[str]) -> list[str]:
+    keys = {*TABLES[name][1]} | ({"order_id"} if name == "transactions" else set())
+    return [c for c in columns if c not in NULLABLE or c in keys]
+
+
+def _table_contract_sql() -> str:
+    parts = []
+    for name, (source, keys) in TABLES.items():
+        columns = _SQL_COLUMNS[name].split()
+        required = _required(name, columns)
+        bad = {
+            "Primary key populated": (" OR ".join(f"{k} IS NULL" for k in keys), "no key part may be null"),
+            "Required values": (" OR ".join(f"{c} IS NULL" for c in required), ", ".join(sorted(required))),
+        }
+        if "restaurant_id" in columns:
+            bad["Restaurant relationship"] = ("restaurant_id IS NULL OR restaurant_id NOT IN (SELECT restaurant_id FROM restaurants)", "site is in the site master")
+        bad |= {f"Valid {c}": (f"try_cast({c} AS TIMESTAMP) IS NULL", "reads as a date or time") for c in DATES if c in columns}
+        bad |= {f"Valid {c}": (f"{c} IS NULL OR isnan({c}) OR isinf({c}) OR {c} < 0", "finite amount, zero or more") for c in MONEY if c in columns}
+        bad |= {rule: (f"NOT coalesce({holds}, false)", detail) for rule, holds, detail in _RULE_SQL.get(name, [])}
+        source = _ORACLE_SOURCE.get(name, source)
+        d = f"(SELECT DISTINCT {', '.join(columns)} FROM {source})"
+        parts.append(f"SELECT '{name}' AS tbl, 'Schema columns' AS rule, 0 AS invalid_rows, 'all expected columns are there' AS detail")
+        parts.append(f"SELECT '{name}', 'Unique primary key', (SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM {d} GROUP BY {', '.join(keys)})), '{', '.join(keys)}'")
+        parts += [f"SELECT '{name}', '{rule}', (SELECT count(*) FROM {d} WHERE {cond}), '{detail}'" for rule, (cond, detail) in bad.items()]
+    return "SELECT tbl, rule, invalid_rows, CASE WHEN invalid_rows > 0 THEN 'FAIL' ELSE 'PASS' END AS status, detail FROM (" + "\nUNION ALL\n".join(parts) + ")"
+
+
+_SOURCES = sorted({source for source, _ in TABLES.values()} | {"restaurants", *_ORACLE_SOURCE.values()})
+
+
+@query(
+    "q12_table_contracts",
+    typed(with_ctes(_SOURCES, _table_contract_sql()), "tbl:s, rule:s, invalid_rows:i, status:s, detail:s"),
+)
 def q12_table_contracts(ctx):
-    """Contract checks on every table, exact repeats removed (Q12, Q03)."""
+    """Contract checks on every table, exact repeats removed, with the amount, channel and taxonomy rules (Q12, Q03)."""
     out = [
         quality.contract_checks(
             df.dropDuplicates(), name, keys, required, df.columns,
-            store_ids=ctx.restaurants, date_fields=DATES, money_fields=MONEY,
+            store_ids=ctx.restaurants, date_fields=DATES, money_fields=MONEY, rules=_RULES[name]() if name in _RULES else None,
         )
         for name, df, keys, required in _tables(ctx)
     ]
     return reduce(lambda a, b: a.unionByName(b), out).withColumnRenamed("table", "tbl")
 
 
-@query("q13_table_profiles")
+def _profile_sql() -> str:
+    parts = []
+    for name, (source, _) in TABLES.items():
+        source, columns = _ORACLE_SOURCE.get(name, source), _SQL_COLUMNS[name].split()
+        required = _required(name, columns)
+        parts += [
+            f"SELECT '{name}' AS tbl, '{c}' AS col, (SELECT count(*) FROM {source} WHERE {c} IS NULL) AS missing_rows, "
+            f"(SELECT count(*) FROM {source}) AS total_rows, {str(c in required).lower()} AS required"
+            for c in columns
+        ]
+    return "\nUNION ALL\n".join(parts)
+
+
+@query(
+    "q13_table_profiles",
+    typed(with_ctes(_SOURCES, _profile_sql()), "tbl:s, col:s, missing_rows:i, total_rows:i, required:b"),
+)
 def q13_table_profiles(ctx):
     """Missing values per column of every table (Q13)."""
     out = [quality.missing_profile(df, name, required) for name, df, _, required in _tables(ctx)]
     return reduce(lambda a, b: a.unionByName(b), out).withColumnsRenamed({"table": "tbl", "column": "col"})
 
 
+#: Cleaned tables whose rows the quality summary counts: context attribute and oracle table.
+_CLEAN = ("transactions", "labour", "customer_feedback", "loyalty", "waste", "delivery")
+
+
+@query(
+    "a41_table_rows",
+    typed(
+        with_ctes([*_CLEAN], " UNION ALL ".join(f"SELECT '{t}' AS tbl, (SELECT count(*) FROM {t}) AS rows" for t in _CLEAN)),
+        "tbl:s, rows:i",
+    ),
+)
+def a41_table_rows(ctx):
+    """Rows of every cleaned table."""
+    return quality.rows_per_table({t: getattr(ctx, t) for t in _CLEAN})
+
+
+@query(
+    "a39_imputed_shifts",
+    typed(
+        with_ctes(
+            ["repaired_labour"],
+            """SELECT role, count(*) AS shifts, count(*) FILTER (WHERE hours_repaired) AS repaired_hours, sum(rate_imputed) AS imputed_rates,
+       sum(rate_imputed) / count(*) AS imputed_share, avg(CASE WHEN rate_imputed = 1 THEN hourly_cost END) AS mean_imputed_rate
+FROM repaired_labour GROUP BY role""",
+        ),
+        "role:s, shifts:i, repaired_hours:i, imputed_rates:i, imputed_share:d, mean_imputed_rate:d",
+    ),
+)
+def a39_imputed_shifts(ctx):
+    """Repaired hours and imputed rates per role."""
+    return quality.imputed_shift_summary(quality.repair_labour(ctx.raw_labour, ctx.restaurants, ctx.calendar))
+
+
 @query(
     "q14_revenue_reconciliation",
     typed(
