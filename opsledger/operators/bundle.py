@@ -72,25 +72,6 @@ def source_manifest(spark: SparkSession, folder: str, names: list[str]) -> DataF
     )
 
 
-def schema_dictionary(spark: SparkSession, tables: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
-    """(table, field, type, nullable, is_pk) from the declared schemas.
-
-    Reads only metadata (schemas), never rows."""
-    rows = [
-        (t, f.name, f.dataType.simpleString(), f.nullable, f.name in keys.get(t, []))
-        for t, df in tables.items()
-        for f in df.schema.fields
-    ]
-    return spark.createDataFrame(rows, "table string, field string, type string, nullable boolean, is_pk boolean")
-
-
-def grain_catalog(spark: SparkSession) -> DataFrame:
-    """(dataset, keys) of the grain register."""
-    return spark.createDataFrame(
-        [(k, ", ".join(v)) for k, v in KEYS.items()], "dataset string, grain_keys string"
-    )
-
-
 def _checks(df: DataFrame, breaches: dict[str, F.Column]) -> DataFrame:
     """One row per named count of breaches: (check_name, status). One aggregate for all of them."""
     names = list(breaches)

@@ -51,3 +51,4 @@ def load_all() -> None:
     from . import q_forecast  # noqa: F401
     from . import q_bundle  # noqa: F401
     from . import q_feeds  # noqa: F401
+    from . import q_catalog  # noqa: F401

@@ -25,8 +25,11 @@ def read_csv(
 
     Empty fields stay null (never 0); nothing is inferred.
     """
-    base = os.path.join(folder, name)
-    path = base + ".csv" if os.path.exists(base + ".csv") else base + ".csv.gz"
+    path = f"{folder.rstrip('/')}/{name}.csv"
+    # asked of the store that holds the folder: it need not be a local disk
+    plain = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not plain.getFileSystem(spark._jsc.hadoopConfiguration()).exists(plain):
+        path += ".gz"
     return (
         spark.read.schema(schema)
         .option("header", True)

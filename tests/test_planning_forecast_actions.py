@@ -320,14 +320,19 @@ def test_append_only_event_log_is_idempotent(ctx):
     assert actions.read_events(ctx.spark, path, ev.schema).count() == n
 
 
-def test_schema_dictionary_and_grain_catalog(ctx, spark):
-    from opsledger.operators import bundle
-
-    d = bundle.schema_dictionary(spark, {"store_day": ctx.store_day}, bundle.KEYS).collect()
-    assert {r["field"] for r in d} == set(ctx.store_day.columns)
-    assert {r["field"] for r in d if r["is_pk"]} == {"restaurant_id", "business_date"}
-    g = {r["dataset"]: r["grain_keys"] for r in bundle.grain_catalog(spark).collect()}
-    assert g["store_hour"] == "restaurant_id, business_date, hour"
+def test_stored_marts_carry_their_dictionary(ctx, spark):
+    from opsledger.operators import catalog
+
+    mart = ctx.stored("described_store_month", lambda: catalog.described("store_month_kpis", ctx.store_month_kpis))
+    again = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in mart.inputFiles()})  # a reader that knows only the files
+    rows = {r.field: r for r in catalog.schema_dictionary(spark, {"store_month_kpis": again}).collect()}
+    assert set(rows) == set(ctx.store_month_kpis.columns) and all(r.definition for r in rows.values())
+    assert {c for c, r in rows.items() if r.is_pk} == {"restaurant_id", "month"}
+    g = catalog.grain_catalog({"store_month_kpis": again, "twice": again.unionByName(again)}).collect()
+    assert [r.repeated_keys for r in g] == [0, again.count()] and g[0].rows == again.count()
+    assert g[0].grain_keys == "restaurant_id, month" and "targets" in g[0].lineage
+    with pytest.raises(KeyError):
+        catalog.described("store_month_kpis", ctx.store_month_kpis.withColumn("unheard_of", F.lit(1)))
 
 
 def test_bundle_gate_passes_and_fails(ctx, spark):
