@@ -1,12 +1,13 @@
 """Line deduplication by site-relative frequency, in DataFrame functions.
 
-A line is boilerplate of a host when it stands on more than a given share of the host's pages.
+A line is boilerplate of a host when it stands on more than a given share of the host's pages and
+on some pages at least: one rule for hosts of every size, without a size from which it holds.
 Pages with equal text count once, so copies of a page do not turn its content into boilerplate.
 Lines are counted by a 64-bit hash first; only the few hashes above the share are counted
 again with their real text, so a chance collision removes nothing.
 
-``drop_site_lines`` is the stricter rule: one for hosts of all sizes, where pages that share most
-of their lines vote once, so a cluster of near copies keeps its own text.
+``drop_site_lines`` is the stricter rule, where pages that share most of their lines vote once, so
+a cluster of near copies keeps its own text.
 """
 
 from __future__ import annotations
@@ -30,24 +31,23 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(pages: DataFrame, ratio: float, least_pages: int) -> DataFrame:
-    """host, line, n_pages, host_pages of the lines above the share.
+    """host, line, n_pages, host_pages of the lines above the share on ``least_pages`` or more.
 
-    ``pages`` has host and text. A host needs ``least_pages`` distinct pages for its shares to
-    mean something. Blank lines are none. Counts are summed before every shuffle.
+    ``pages`` has host and text. Blank lines are none. Counts are summed before every shuffle.
     """
     seen = pages.where(F.col("text").isNotNull()).select("host", F.xxhash64("text").alias("page"), "text")
-    totals = seen.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages")).where(F.col("host_pages") >= least_pages)
+    totals = seen.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("host_pages"))
     totals = stored(totals, "hosts")
     lines = seen.select("host", "page", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), lambda x: F.xxhash64(_trimmed(x))))).alias("line"))
     counted = lines.distinct().groupBy("host", "line").agg(F.count("*").alias("n"))
-    often = counted.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where(F.col("n") > ratio * F.col("host_pages"))
+    often = counted.join(totals.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h"))).where((F.col("n") >= least_pages) & (F.col("n") > ratio * F.col("host_pages")))
     often = stored(often.select(F.col("host").alias("h"), F.col("line").alias("hash"), "host_pages"), "often")
     if often.count() <= BROADCAST_LINES:
         often = F.broadcast(often)
     texts = seen.select("host", "page", F.explode(F.array_distinct(F.transform(_lines(F.col("text")), _trimmed))).alias("line")).where("line <> ''")
     hits = texts.join(often, F.col("host").eqNullSafe(F.col("h")) & (F.xxhash64("line") == F.col("hash")))
     exact = hits.select("host", "line", "page", "host_pages").distinct().groupBy("host", "line", "host_pages").agg(F.count("*").alias("n_pages"))
-    return exact.where(F.col("n_pages") > ratio * F.col("host_pages")).select("host", "line", "n_pages", "host_pages")
+    return exact.where((F.col("n_pages") >= least_pages) & (F.col("n_pages") > ratio * F.col("host_pages"))).select("host", "line", "n_pages", "host_pages")
 
 
 def _without(pages: DataFrame, lines: DataFrame, host: str, text: str) -> DataFrame:
@@ -66,8 +66,8 @@ def _without(pages: DataFrame, lines: DataFrame, host: str, text: str) -> DataFr
     return out.withColumn(text, F.array_join(f"{p}kept", "\n")).drop(f"{p}host", f"{p}lines", f"{p}kept")
 
 
-def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.02, least_pages: int = 50) -> DataFrame:
-    """Remove from every text the lines that stand on more than ``ratio`` of its host's pages.
+def drop_boilerplate(pages: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.05, least_pages: int = 5) -> DataFrame:
+    """Remove from every text the lines on ``least_pages`` pages and more than ``ratio`` of its host's.
 
     Returns all columns with the shorter text, and n_lines, n_dropped. Lines compare without
     white space at their ends; all their copies on a page go. Blank lines stay. Null is a host

@@ -203,11 +203,11 @@ SELECT query_id, n::INTEGER AS rank, vec_id, score FROM r WHERE n <= 5
 _TRIM = "trim(x, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 _OP8 = f"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents),
-n AS (SELECT source, count(DISTINCT text) AS pages FROM d GROUP BY source HAVING count(DISTINCT text) >= 50),
+n AS (SELECT source, count(DISTINCT text) AS pages FROM d GROUP BY source),
 l AS (SELECT DISTINCT source, text, unnest(list_transform(lines, lambda x: {_TRIM})) AS line FROM d),
 b AS (
   SELECT l.source, line FROM l JOIN n ON l.source IS NOT DISTINCT FROM n.source WHERE line <> ''
-  GROUP BY l.source, line, pages HAVING count(DISTINCT text) > 0.02 * pages
+  GROUP BY l.source, line, pages HAVING count(DISTINCT text) >= 5 AND count(DISTINCT text) > 0.05 * pages
 ), o AS (SELECT source, list(line) AS bad FROM b GROUP BY source),
 k AS (SELECT r, doc_id, text, lines, list_filter(lines, lambda x: NOT list_contains(coalesce(bad, []), {_TRIM})) AS kept
       FROM d LEFT JOIN o ON d.source IS NOT DISTINCT FROM o.source)

@@ -115,9 +115,8 @@ def brute_lines(rows, ratio, least):
     gap = " \t\n\x0b\x0c\r"
     bad = set()
     for s, texts in pages.items():
-        if len(texts) >= least:
-            n = Counter(x for t in texts for x in {y.strip(gap) for y in t.split("\n")} if x)
-            bad |= {(s, x) for x, k in n.items() if k > ratio * len(texts)}
+        n = Counter(x for t in texts for x in {y.strip(gap) for y in t.split("\n")} if x)
+        bad |= {(s, x) for x, k in n.items() if k >= least and k > ratio * len(texts)}
     out = []
     for d, t, s in rows:
         lines = [] if t is None else t.split("\n")
@@ -137,6 +136,15 @@ def test_lines_equal_brute_force(spark):
     assert line_dedup.drop_boilerplate(frame(spark, [])).count() == 0
 
 
+def test_small_hosts_are_judged(spark):
+    """A footer on six of eight pages goes; what stands on four pages stays, also when that is all of a host."""
+    rows = [(i, f"own {i}\n{'footer' if i < 6 else 'other'}", "small") for i in range(8)]
+    rows += [(100 + i, f"own {i}\nfooter", "tiny") for i in range(4)]
+    got = line_dedup.drop_boilerplate(frame(spark, rows)).collect()
+    assert Counter((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got) == brute_lines(rows, 0.05, 5)
+    assert {r.doc_id for r in got if r.n_dropped} == set(range(6))
+
+
 def brute_site_lines(rows, ratio, least, alike):
     gap = " \t\n\x0b\x0c\r"
     pages = defaultdict(dict)

@@ -288,7 +288,7 @@ def test_pipeline_stages(spark):
     chain = toxicity.judge_toxicity(docs, spark.read.parquet(f"{SF}/labels.parquet")).where("NOT rejected")
     assert clean.columns == docs.columns and sorted(r[0] for r in read(clean)) == sorted(r.doc_id for r in chain.collect())
     lines = steps["line_dedup"](spark, clean, SF).cache()
-    assert Counter((d, t) for d, t, _ in read(lines)) == Counter({(d, t): n for (d, _, _, t), n in brute_lines(read(clean), 0.02, 50).items()})
+    assert Counter((d, t) for d, t, _ in read(lines)) == Counter({(d, t): n for (d, _, _, t), n in brute_lines(read(clean), 0.05, 5).items()})
     one = steps["near_copies"](spark, lines.unionByName(lines.limit(5)), SF).cache()
     want = {d for d, _, c in brute_classes(read(lines), 5, 80) if d == c}
     assert one.columns == docs.columns and sorted(r[0] for r in read(one)) == sorted(want)
