@@ -1,5 +1,5 @@
-"""Export bundle operators: previews, trailing-window slices, source manifest,
-schema dictionary, grain catalog and the mart bundle checks (S08-S12, Q17, Q19).
+"""Export bundle operators: previews, trailing-window slices, source manifest
+and the mart bundle checks (S08-S10, Q17, Q19).
 
 Checks are one-row aggregates unioned into a single (check, status) frame, so
 the whole audit runs as one job; the gate (:func:`raise_on_fail`) is a

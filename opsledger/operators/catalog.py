@@ -65,6 +65,7 @@ channel: Dine-in, takeaway or delivery
 cohort_month: Month of a customer's first visit
 commission_cost: Commission of delivery partners
 comparison_start: First day of the window before the campaign
+close_hour: Hour from which the site is closed
 complete: Whether both weeks have all seven days
 contribution_before_campaign: Extra sales less extra variable cost and labour, before the spend
 contribution_high95: Upper end of the resampled 95 percent range of the net contribution
@@ -128,6 +129,7 @@ observations: Days of the weekday in the profile window
 observed_orders: Orders during the campaign
 observed_revenue: Net sales during the campaign
 observed_variable_cost: Ingredient, waste and commission cost during the campaign
+open_hour: Hour from which the site is open
 operating_margin_pct: Operating profit over net sales
 operating_margin_target: Target of operating profit over net sales
 operating_profit: Net sales less the six costs
@@ -175,6 +177,7 @@ score_satisfaction: Satisfaction against target, 0 to 100
 score_sum: Sum of survey scores
 score_waste: Waste share against target, 0 to 100
 season: Season of the southern year
+seats: Seats of the site
 segment: Customer segment by recency and visits
 service_capacity_orders: Orders that the service hours can handle
 service_gap_hours: Suggested less template service hours
