@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import math
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -165,10 +166,11 @@ def ridge_backtest(
     if rows is None:
         rows = feature_rows(history, restaurants, calendar, start_date)
     actual = history.select("restaurant_id", "business_date", F.col("revenue").alias("actual_revenue"))
+    # a fit is a chain of short jobs: those of different origins run side by side
+    with ThreadPoolExecutor(len(origins)) as pool:
+        fits = list(pool.map(lambda o: fit_ridge(rows.filter(F.col("business_date") <= F.lit(o[2]).cast("date")), alpha), origins))
     parts = []
-    for period, fold, origin in origins:
-        train = rows.filter(F.col("business_date") <= F.lit(origin).cast("date"))
-        fit = fit_ridge(train, alpha)
+    for (period, fold, origin), fit in zip(origins, fits, strict=True):
         f = recursive_forecast(fit, history, restaurants, calendar, origin, start_date, horizon)
         parts.append(
             f.withColumns({"evaluation_period": F.lit(period), "fold": F.lit(fold)}).join(
