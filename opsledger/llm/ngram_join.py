@@ -5,9 +5,9 @@ link when ``100 * |A & B| >= percent * |A | B|``. Any fixed order of shingles gi
 prefix filter; here shingles follow their 64-bit hash, after those that a bounded sample
 shows in many documents (they would open long posting lists and go to the far end).
 
-1. Each document becomes one narrow row: set size, set hash, prefix and a 256-bit parity
-   sketch whose differing bits bound the symmetric difference from below. Documents with
-   equal sets are one class.
+1. Each document becomes one narrow row: set size, set hash, prefix and a parity sketch, as wide as
+   the set is large, whose differing bits bound the symmetric difference from below. Documents
+   with equal sets are one class.
 2. Classes with the same size and prefix collapse into one group.
 3. Groups meet in the posting lists of their prefix shingles. First a list, ordered by size,
    pairs each group only with a few others (rows in proportion to postings); these pairs, and
@@ -94,12 +94,52 @@ def _prefix(tokens: np.ndarray, percent: int, bits: np.ndarray) -> tuple[np.ndar
     return np.concatenate([tokens[~late], tokens[late]])[:length], min(length, n - int(late.sum()))
 
 
+#: Widths of a sketch in bits: a power of two of about three to six bits per shingle.
+LEAST_BITS, MOST_BITS = 256, 4096
+#: Pairs compared at once.
+CHUNK = 1 << 14
+
+
 def _sketch(tokens: np.ndarray) -> bytes:
-    """Parity of the tokens on each of 256 bits."""
-    at = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & 255, minlength=256) & 1
+    """Parity of the tokens on each of 256 to 4096 bits, by the size of the set.
+
+    Each differing bit of two sketches of one width is a shingle that one set has alone. Halves of a
+    sketch or-ed exclusively are the sketch of half the width.
+    """
+    m = 1 << int(np.clip(np.ceil(np.log2(3 * tokens.size)), np.log2(LEAST_BITS), np.log2(MOST_BITS)))
+    at = np.bincount((tokens >> np.uint64(20)).astype(np.int64) & (m - 1), minlength=m) & 1
     return np.packbits(at.astype(np.uint8)).tobytes()
 
 
+class Sketches:
+    """Sketches of many rows, comparable at the width that two of them share."""
+
+    def __init__(self, rows) -> None:
+        self.width = np.array([len(x) // 8 for x in rows], np.int64)
+        self.level: dict[int, np.ndarray] = {}
+        for w in sorted(set(self.width.tolist()) | {LEAST_BITS // 64}, reverse=True):
+            table = np.zeros((len(rows), w), np.uint64)
+            for i in np.unique(self.width[self.width >= w]).tolist():
+                at = np.flatnonzero(self.width == i)
+                x = np.frombuffer(b"".join(rows[j] for j in at.tolist()), np.uint64).reshape(-1, i)
+                table[at] = np.bitwise_xor.reduce(x.reshape(-1, i // w, w), axis=1)
+            self.level[w] = table
+
+    def _at(self, a: np.ndarray, b: np.ndarray, w: int) -> np.ndarray:
+        table = self.level[w]
+        parts = [np.bitwise_count(table[a[i : i + CHUNK]] ^ table[b[i : i + CHUNK]]).sum(1, dtype=np.int64) for i in range(0, a.size, CHUNK)]
+        return np.concatenate(parts) if parts else np.empty(0, np.int64)
+
+    def within(self, a: np.ndarray, b: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Whether rows a and b differ on at most so many bits: at the least width, then at their common one."""
+        ok = self._at(a, b, LEAST_BITS // 64) <= most
+        common = np.minimum(self.width[a], self.width[b])
+        for w in np.unique(common[ok]).tolist():
+            at = np.flatnonzero(ok & (common == w))
+            ok[at] = self._at(a[at], b[at], w) <= most[at]
+        return ok
+
+
 #: Frequent shingles of a prefix that a posting carries, and the filler behind them.
 FIRST, _LAST = 8, np.uint64(2**64 - 1)
 _SIGNED = "doc_id long, n long, cid long, prefix_hash long, prefix binary, early int, sketch binary, first binary"
@@ -302,7 +342,7 @@ def _open_pairs(percent: int, block: int = 512):
         for rows in _tasks(batches):
             task, side, token, gid, comp, n, own = (rows[c].to_numpy() for c in ("task", "side", "token", "gid", "comp", "n", "own"))
             late, short = rows["late"].to_numpy(), rows["short"].to_numpy()
-            sketch = np.frombuffer(b"".join(rows["sketch"]), np.uint64).reshape(-1, 4)
+            sketch = Sketches(rows["sketch"].to_list())
             first = np.frombuffer(b"".join(rows["first"]), np.uint64).reshape(-1, FIRST)
             uniform = rows["uniform"].to_numpy()
             starts = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
@@ -329,8 +369,10 @@ def _open_pairs(percent: int, block: int = 512):
                         if late[lo]:
                             ok &= np.minimum(n[a] - own[a], n[b] - own[b]) >= need
                             ok &= n[a] + n[b] - 2 * need >= own[a] + own[b]
-                        differ = np.bitwise_count(sketch[a] ^ sketch[b]).sum(1, dtype=np.int64)
-                        ok &= ~(uniform[a] & uniform[b]) | (differ <= n[a] + n[b] - 2 * need)
+                        a, b, need = a[ok], b[ok], need[ok]
+                        ok = ~(uniform[a] & uniform[b])
+                        bare = np.flatnonzero(~ok)
+                        ok[bare] = sketch.within(a[bare], b[bare], (n[a] + n[b] - 2 * need)[bare])
                         a, b = a[ok], b[ok]
                         if late[lo] and a.size:
                             u, v = first[a][:, :, None], first[b][:, None, :]
@@ -422,21 +464,27 @@ def _passing(pairs: DataFrame, tokens: DataFrame, chunk: int, make: Callable) ->
     return rows.repartition("a", "chunk").sortWithinPartitions("a", "chunk", "b").mapInPandas(_tested(make), "a long, b long")
 
 
-def _wanted(ids: DataFrame, log2_bits: int) -> bytes:
-    """Fixed-size table of the ids that pairs need, or-ed together from partial tables."""
+def _wanted(ids: DataFrame) -> bytes:
+    """Table of the ids that pairs need, or-ed together from partial tables.
+
+    It has 8 to 16 bits an id, so about one other text in ten is shingled in vain, from 2**16 up to
+    2**28 bits in all; the driver gets it as 64-bit words, 2**22 of them at most.
+    """
+    log2_bits = int(np.clip(np.ceil(np.log2(max(1, ids.count()))) + 3, 16, 28))
 
     def part(batches):
         bits = np.zeros((1 << log2_bits) // 8, np.uint8)
         for batch in batches:
             at = mix(batch["doc_id"].to_numpy(np.int64).view(np.uint64)) & np.uint64((1 << log2_bits) - 1)
             np.bitwise_or.at(bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
-        at = np.flatnonzero(bits)
-        yield pd.DataFrame({"at": at, "v": bits[at].astype(np.int64)})
+        words = bits.view(np.int64)
+        at = np.flatnonzero(words)
+        yield pd.DataFrame({"at": at, "v": words[at]})
 
     rows = ids.mapInPandas(part, "at long, v long").groupBy("at").agg(F.bit_or("v").alias("v")).toPandas()
-    bits = np.zeros((1 << log2_bits) // 8, np.uint8)
-    bits[rows["at"].to_numpy(np.int64)] = rows["v"].to_numpy(np.int64).astype(np.uint8)
-    return bits.tobytes()
+    words = np.zeros((1 << log2_bits) // 64, np.int64)
+    words[rows["at"].to_numpy(np.int64)] = rows["v"].to_numpy(np.int64)
+    return words.tobytes()
 
 
 def _sets(words: int, wanted):
@@ -453,14 +501,14 @@ def _sets(words: int, wanted):
     return run
 
 
-def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int, chunk: int, log2_bits: int = 22) -> DataFrame:
+def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int, percent: int, chunk: int) -> DataFrame:
     """Pairs of classes whose real sets reach the threshold.
 
     Sets are made again from the texts of only those documents that stand for a class of a
-    pair, found through a table of fixed size (a false hit costs time only).
+    pair, found through a table of bits (a false hit costs time only).
     """
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct().join(classes.select("cid", F.col("rep").alias("doc_id")), "cid")
-    wanted = docs.sparkSession.sparkContext.broadcast(_wanted(ends.select("doc_id"), log2_bits))
+    wanted = docs.sparkSession.sparkContext.broadcast(_wanted(stored(ends.select("doc_id"), "wanted")))
     sets = docs.mapInPandas(_sets(words, wanted), "cid long, n long, tokens binary").groupBy("cid").agg(F.first("n").alias("n"), F.first("tokens").alias("tokens"))
     return stored(_passing(pairs, sets, chunk, _by_sets(percent)), "links")
 

@@ -5,6 +5,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import types as T
 
@@ -254,6 +255,42 @@ def test_classes_of_given_documents_equal_brute_force(spark):
     assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_classes(rows, 4, 85)
 
 
+def test_sketches_bound_the_difference():
+    """Sketches of any two widths never differ on more bits than the sets, and tell near misses apart."""
+    r = np.random.default_rng(3)
+    sets = [np.unique(r.integers(0, 2**63, k).astype(np.uint64)) for k in (1, 5, 80, 300, 500, 900, 5000)]
+    sets += [np.unique(np.concatenate([x[: max(1, x.size * 8 // 10)], r.integers(0, 2**63, 1 + x.size // 5).astype(np.uint64)])) for x in sets]
+    sketches = ngram_join.Sketches([ngram_join._sketch(x) for x in sets])
+    assert len(set(sketches.width.tolist())) >= 4
+    a, b = (x.ravel() for x in np.indices((len(sets), len(sets))))
+    differ = np.array([np.setxor1d(sets[i], sets[j]).size for i, j in zip(a, b)])
+    assert sketches.within(a, b, differ).all()
+    # A pair of 300 shingles at Jaccard 2/3 is far from the 66 differing shingles that 0.8 allows.
+    assert not sketches.within(np.array([3]), np.array([10]), np.array([66]))[0]
+    one = ngram_join.Sketches([])
+    assert one.within(np.array([], int), np.array([], int), np.array([], int)).size == 0
+
+
+def test_near_misses_are_settled_where_they_meet(spark):
+    """A cluster whose members share most text but stay below the threshold sends hardly any pair on."""
+    random.seed(9)
+    base = [f"b{i}" for i in range(300)]
+    rows = [(i, " ".join(f"x{i}-{j}" if random.random() < 0.05 else w for j, w in enumerate(base))) for i in range(120)]
+    met, original = [], ngram_join._passing
+
+    def counted(pairs, *rest):
+        met.append(pairs.count())
+        return original(pairs, *rest)
+
+    ngram_join._passing = counted
+    try:
+        got = ngram_join.jaccard_classes(frame(spark, rows), 4, 85, share=0.8, least=3).collect()
+    finally:
+        ngram_join._passing = original
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_classes(rows, 4, 85)
+    assert sum(met) < 4 * ngram_join.LOOKS * len(rows)
+
+
 def test_classes_of_nothing(spark):
     assert ngram_join.jaccard_classes(frame(spark, [])).count() == 0
     got = ngram_join.jaccard_classes(frame(spark, [(1, None), (2, ""), (None, None)])).collect()
