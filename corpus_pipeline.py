@@ -1,7 +1,8 @@
 """A corpus pipeline of five stages, each an operator of ``opsledger.llm``.
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; all but the
-last return the columns of ``documents``.
+last return the columns of ``documents``, whatever further columns their input has. Long texts are
+handled whole and an empty table gives an empty one. Decisions go by doc_id, which identifies a document.
 """
 
 from __future__ import annotations
@@ -22,20 +23,31 @@ def _documents(rows: DataFrame) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier chain does not reject."""
+    """Documents that the classifier chain does not reject.
+
+    Null and empty texts are judged as texts without words; null ids and repeated rows are judged
+    like others. Without labels of both kinds nothing is rejected.
+    """
     return _documents(toxicity.keep_clean(docs, queries.table(spark, sf_dir, "labels")))
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source."""
+    """Documents without the boilerplate lines of their source.
+
+    All rows stay. A null source is one like others; null texts stay null, empty ones empty, and
+    repeated rows get the same text.
+    """
     return _documents(line_dedup.drop_boilerplate(docs))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id.
 
-    Five-word shingles, Jaccard 0.8. Repeated rows of the kept id stay one row.
+    Five-word shingles, Jaccard 0.8. Repeated rows of the kept id stay one row. Null, empty and
+    white texts are alone in their groups and stay. A row without an id stays, as nothing names it
+    as lost, and never stands for a group.
     """
+    docs = docs.select(*COLUMNS)
     classes = common.stored(ngram_join.jaccard_classes(docs, words=5, percent=80), "classes")
     lost = classes.where("component_id IS NOT NULL AND doc_id <> component_id").select("doc_id").distinct()
     kept = docs.join(lost, "doc_id", "left_anti")
