@@ -302,3 +302,27 @@ def test_pipeline_stages(spark):
     assert packed.where("piece = 0").count() == mixed.count()
     whole = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"), F.max(F.col("offset") + F.col("length")).alias("end")).collect()
     assert all(r.n == r.end <= 1024 for r in whole)
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    """Null ids and texts, empty and long texts, repeated rows, extra columns and an empty table."""
+    import sys
+    from pathlib import Path
+
+    sys.path.insert(0, str(Path(__file__).parents[2]))
+    import corpus_pipeline as P
+
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, base), (1, base), (2, base), (3, base + "x"), (None, base), (None, None), (4, None), (5, ""), (6, " \t"), (7, " ".join(f"l{i}" for i in range(20_000)))]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, n_lines int, component_id long"
+    docs = spark.createDataFrame([(d, t, None, None if d == 4 else "s", None, 9, 9) for d, t in rows], schema)
+    steps = dict(P.STAGES)
+    read = lambda df: Counter((r.doc_id, r.text, r.n_chars) for r in df.collect())
+    size = lambda t: None if t is None else len(t)
+    clean = steps["toxicity"](spark, docs, SF)
+    assert tuple(clean.columns) == P.COLUMNS and read(clean) == Counter((d, t, size(t)) for d, t in rows)
+    assert read(steps["line_dedup"](spark, docs, SF)) == read(clean)
+    one = steps["near_copies"](spark, docs, SF)
+    assert tuple(one.columns) == P.COLUMNS and read(one) == Counter((d, t, size(t)) for d, t in [rows[0], *rows[4:]])
+    for name in ("line_dedup", "near_copies", "source_mix", "packing"):
+        assert steps[name](spark, docs.limit(0).select(*P.COLUMNS), SF).count() == 0
