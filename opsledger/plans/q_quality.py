@@ -55,7 +55,8 @@ def q01_duplicate_audit(ctx):
             "labour": ctx.raw_labour,
             "customer_feedback": ctx.raw_customer_feedback,
             "waste": ctx.raw_waste,
-        }
+        },
+        {name: keys for name, (_, keys) in TABLES.items()},
     ).withColumnRenamed("table", "tbl")
 
 
@@ -96,7 +97,7 @@ def q02_key_conflicts(ctx):
     """Conflicting and null primary keys after exact dedup (Q02)."""
     out = None
     for name, (src, keys) in _KEYS.items():
-        df = getattr(ctx, src).dropDuplicates()
+        df = quality.without_repeats(getattr(ctx, src), keys)
         part = quality.key_conflicts(df, name, keys).withColumnRenamed("table", "tbl")
         out = part if out is None else out.unionByName(part)
     return out
@@ -289,7 +290,7 @@ def q12_contract_checks(ctx):
     """Contract checks on the deduplicated raw lines (Q12, Q03)."""
     req = [c for c in TX_COLUMNS if c not in OPTIONAL or c == "order_id"]
     out = quality.contract_checks(
-        ctx.raw_transactions.dropDuplicates(),
+        quality.without_repeats(ctx.raw_transactions, ["transaction_line_id"]),
         "transactions",
         ["transaction_line_id"],
         req,
@@ -430,7 +431,7 @@ def q12_table_contracts(ctx):
     """Contract checks on every table, exact repeats removed, with the amount, channel and taxonomy rules (Q12, Q03)."""
     out = [
         quality.contract_checks(
-            df.dropDuplicates(), name, keys, required, df.columns,
+            quality.without_repeats(df, keys), name, keys, required, df.columns,
             store_ids=ctx.restaurants, date_fields=DATES, money_fields=MONEY, rules=_RULES[name]() if name in _RULES else None,
         )
         for name, df, keys, required in _tables(ctx)

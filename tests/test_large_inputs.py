@@ -54,3 +54,52 @@ def test_clean_lines_are_a_view_and_still_checked(spark, monkeypatch):
         raise AssertionError("breach not seen")
     except ValueError as e:
         assert "transactions breaks its contract" in str(e)
+
+
+def test_contract_checks_deal_a_table_once(spark):
+    rows = spark.range(200).selectExpr("id % 150 AS k", "'a' AS restaurant_name", "cast(id % 150 AS double) AS amount")
+    checks = quality.contract_checks(quality.without_repeats(rows, ["k"]), "t", ["k"], ["k"], rows.columns, money_fields=["amount"])
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert checks._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert {r.rule: r.invalid_rows for r in checks.collect()}["Unique primary key"] == 0
+
+
+def test_duplicate_audit_counts_rows_and_kinds_in_one_pass(spark):
+    rows = spark.createDataFrame([(1, None, 0.5), (1, None, 0.5), (1, "x", 0.5), (2, "x", None), (None, None, None), (None, None, None)], "k int, t string, v double")
+    audit = quality.duplicate_audit({"t": rows, "none": rows.limit(0)}, {"t": ["k"]})
+    assert sorted(map(tuple, audit.collect())) == [("none", 0, 0, 0), ("t", 6, 4, 2)]
+    assert audit._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1  # the empty table has none
+
+
+def test_right_children_come_from_their_parents_and_sums_travel_packed():
+    import numpy as np
+
+    from opsledger.operators import histogram_boosting as hb
+
+    rng = np.random.default_rng(3)
+    bins, gradient = rng.integers(0, 40, (900, 2)), rng.integers(-(10**9), 10**9, 900)
+    p = hb.Params(leaves=6)
+    grown = hb.Growing(p)
+    asked = 0
+    while want := grown.wanted():
+        nodes = grown.asked()
+        asked += len(nodes)
+        assert len(nodes) <= len(want) / 2 or want == {1}
+        at = hb.routed(bins, grown.splits())
+        sums = np.zeros((2, len(nodes), 2, 256))
+        for i, node in enumerate(nodes):
+            for f in range(2):
+                here = at == node
+                sums[0, i, f] = np.bincount(bins[here, f], minlength=256)
+                sums[1, i, f] = np.bincount(bins[here, f], gradient[here], minlength=256)
+        packed = hb._packed(sums)
+        assert len(packed) < sums.nbytes / 4 and (hb._unpacked(packed) == sums.ravel()).all()
+        grown.take(nodes, *sums)
+    at = hb.routed(bins, grown.splits())
+    for node, (n, g) in grown.sums.items():
+        here = np.isin(at, [k for k in range(1, 1 << 12) if any(k >> s == node for s in range(12))])
+        if node in grown.tree().nodes:
+            assert n[0].sum() == n[1].sum() == here.sum() and g[0].sum() == gradient[here].sum()
