@@ -1,4 +1,4 @@
-"""N-gram Jaccard self-join of documents by a grouped prefix join.
+"""N-gram Jaccard self-join of documents by a prefix join.
 
 A document's set holds its distinct shingles of ``words`` lower-cased words. Two documents
 link when ``100 * |A & B| >= percent * |A | B|``. Any fixed order of shingles gives a right
@@ -8,13 +8,11 @@ shows in many documents (they would open long posting lists and go to the far en
 1. Each document becomes one narrow row: set size, set hash, prefix and a parity sketch, as wide as
    the set is large, whose differing bits bound the symmetric difference from below. Documents
    with equal sets are one class.
-2. Classes with the same size and prefix collapse into one group.
-3. Groups meet in the posting lists of their prefix shingles. First a list, ordered by size,
-   pairs each group only with a few others (rows in proportion to postings); these pairs, and
-   each group's first class with its others, pass a bound on the prefixes and are then
-   verified on the real sets.
-4. Verified links give components. The lists are read once more for pairs of groups that are
-   not in one component yet; their members are expanded and verified too. A skipped pair
+2. Classes meet in the posting lists of their prefix shingles. First each class looks, in a few
+   of its lists, for the closest sketches among a fixed number of others (rows in proportion to
+   classes); these pairs pass a bound on the prefixes and are then verified on the real sets.
+3. Verified links give components. All lists are read for pairs of classes that are not in one
+   component yet and whose sketches do not keep them apart; they are verified too. A skipped pair
    already lies in one component, so no link that would join two components is lost. A long
    list is dealt in parts to many tasks, and parts of one component do not meet.
 
@@ -142,7 +140,7 @@ class Sketches:
 
 #: Frequent shingles of a prefix that a posting carries, and the filler behind them.
 FIRST, _LAST = 8, np.uint64(2**64 - 1)
-_SIGNED = "doc_id long, n long, cid long, prefix_hash long, prefix binary, early int, sketch binary, first binary"
+_SIGNED = "doc_id long, n long, cid long, prefix binary, early int, sketch binary, first binary"
 
 
 def _signatures(words: int, percent: int, table):
@@ -156,11 +154,10 @@ def _signatures(words: int, percent: int, table):
                     p, early = _prefix(t, percent, bits)
                     first = np.full(FIRST, _LAST, np.uint64)
                     first[: p.size - early] = p[early : early + FIRST]
-                    p = p.tobytes()
-                    out.append((doc, t.size, _class_id(t), xxhash.xxh3_64_intdigest(p) >> 1, p, early, _sketch(t), first.tobytes()))
+                    out.append((doc, t.size, _class_id(t), p.tobytes(), early, _sketch(t), first.tobytes()))
                 else:
-                    out.append((doc, 0, 0, 0, None, 0, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "cid", "prefix_hash", "prefix", "early", "sketch", "first"])
+                    out.append((doc, 0, 0, None, 0, None, None))
+            yield pd.DataFrame(out, columns=["doc_id", "n", "cid", "prefix", "early", "sketch", "first"])
 
     return run
 
@@ -200,7 +197,7 @@ _POSTING = "token long, gid long, n4 long"
 
 
 def _postings(percent: int):
-    """One row per prefix shingle of a group; n4 is four times the set size, plus 1 if the shingle
+    """One row per prefix shingle of a class (gid); n4 is four times the set size, plus 1 if the shingle
     is frequent, plus 2 if it lies in the shorter prefix that suffices to meet larger partners."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -218,7 +215,7 @@ def _postings(percent: int):
 
 
 def _shared_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Drop the postings of lists that hold a single group (rows come sorted by token)."""
+    """Drop the postings of lists that hold a single class (rows come sorted by token)."""
     last, twice = None, False  # the row held back, and whether one before it had its token
     for batch in batches:
         if not len(batch):
@@ -233,37 +230,62 @@ def _shared_lists(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield last
 
 
-#: How far back in a list a group may look for a partner at the first look, and in about how
-#: many of its lists it does.
-RECENT, LOOKS = 64, 8
+#: In about how many of its lists a class looks for partners at first, how far back it looks there,
+#: and how many of these are its nearer half.
+RECENT, LOOKS, NEARER = 64, 8, 8
+_FOLD = ["s0", "s1", "s2", "s3"]
+_LOOK = "token long, gid long, n long, s0 long, s1 long, s2 long, s3 long"
+
+
+def _looks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """About LOOKS prefix shingles of a class with its sketch at the least width.
+
+    The shingle's hash decides, so near copies take much the same ones.
+    """
+    for batch in batches:
+        if len(batch):
+            tokens = [np.frombuffer(p, np.uint64) for p in batch["prefix"]]
+            length = np.array([t.size for t in tokens])
+            token, row = np.concatenate(tokens), np.repeat(np.arange(length.size), length)
+            taken = (mix(token) >> np.uint64(32)) * length[row].astype(np.uint64) < np.uint64(LOOKS << 32)
+            token, row = token[taken], row[taken]
+            fold = Sketches(batch["sketch"].to_list()).level[LEAST_BITS // 64].view(np.int64)[row]
+            out = {"token": token.view(np.int64), "gid": batch["gid"].to_numpy()[row], "n": batch["n"].to_numpy()[row]}
+            yield pd.DataFrame(out | {c: fold[:, i] for i, c in enumerate(_FOLD)})
 
 
 def _first_pairs(percent: int):
-    """Pair a group in a few of its lists, chosen by hash, with the group before it and another one.
+    """Pair a class with the closest of the few before it in a list and of those further back.
 
-    About ``2 * LOOKS`` pairs per group, however long its lists are. Different lists give
-    different partners, so a cluster of near copies becomes one component although few of its
-    pairs are tried.
+    At most ``2 * LOOKS`` pairs per class or so, however long its lists are; pairs whose sketches
+    keep them apart are left out. A list is ordered by size, then by chance, so different
+    lists offer different partners, and a cluster of near copies becomes one component although few
+    of its pairs are tried.
     """
 
     def run(batches):
-        token, recent = None, []
+        rows = None
         for batch in batches:
-            out = []
-            for t, g, n in zip(batch["token"].to_numpy().tolist(), batch["gid"].to_numpy().tolist(), (batch["n4"].to_numpy() >> 2).tolist()):
-                if t != token:
-                    token, recent = t, [(g, n)]
-                    continue
-                mark = (t ^ g) * 0x9E3779B97F4A7C15 >> 20
-                if mark % (n - (-(-percent * n // 100)) + 1) < LOOKS:
-                    for a, size in {recent[-1], recent[(mark >> 24) % len(recent)]}:
-                        if 100 * size >= percent * n:
-                            out.append((a, g))
-                recent.append((g, n))
-                if len(recent) > RECENT:
-                    del recent[0]
-            if out:
-                yield pd.DataFrame(np.unique(np.array(out, np.int64), axis=0), columns=["a", "b"])
+            old = 0 if rows is None else min(len(rows), RECENT)
+            rows = batch if rows is None else pd.concat([rows.iloc[-old:], batch])
+            token, gid, n = (rows[c].to_numpy() for c in ("token", "gid", "n"))
+            fold = np.ascontiguousarray(rows[_FOLD].to_numpy()).view(np.uint64)
+            least, partner = np.full((2, len(rows)), MOST_BITS), np.full((2, len(rows)), -1)
+            for back in range(1, RECENT + 1):
+                i = np.arange(max(old, back), len(rows))
+                i = i[token[i] == token[i - back]]
+                if not i.size:
+                    break
+                both = n[i] + n[i - back]
+                differ = np.bitwise_count(fold[i] ^ fold[i - back]).sum(1, dtype=np.int64)
+                half = int(back > NEARER)
+                ok = (differ <= both - 2 * (-(-percent * both // (100 + percent)))) & (differ < least[half, i])
+                i, differ = i[ok], differ[ok]
+                least[half, i], partner[half, i] = differ, i - back
+            half, i = np.nonzero(partner >= 0)
+            a, b = gid[partner[half, i]], gid[i]
+            if a.size:
+                yield pd.DataFrame(np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0), columns=["a", "b"])
 
     return run
 
@@ -331,9 +353,9 @@ def _tasks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _open_pairs(percent: int, block: int = 512):
     """Pairs of a task that are not in one component yet, by size, own-shingle and sketch bounds.
 
-    ``own`` counts a group's infrequent prefix shingles that no other prefix has. In the list
+    ``own`` counts a class's infrequent prefix shingles that no other prefix has. In the list
     of a frequent shingle both prefixes reach the frequent ones, so they hold all their infrequent
-    shingles: those that are a group's own are in no partner, whatever its suffix. A pair that
+    shingles: those that are a class's own are in no partner, whatever its suffix. A pair that
     shares an earlier frequent shingle, among the first ones that postings carry, is left to that
     list. Rows come sorted by task, side and size.
     """
@@ -344,7 +366,6 @@ def _open_pairs(percent: int, block: int = 512):
             late, short = rows["late"].to_numpy(), rows["short"].to_numpy()
             sketch = Sketches(rows["sketch"].to_list())
             first = np.frombuffer(b"".join(rows["first"]), np.uint64).reshape(-1, FIRST)
-            uniform = rows["uniform"].to_numpy()
             starts = np.flatnonzero(np.r_[True, task[1:] != task[:-1], True])
             found, many = [], 0
             for lo, hi in zip(starts[:-1].tolist(), starts[1:].tolist()):
@@ -370,9 +391,7 @@ def _open_pairs(percent: int, block: int = 512):
                             ok &= np.minimum(n[a] - own[a], n[b] - own[b]) >= need
                             ok &= n[a] + n[b] - 2 * need >= own[a] + own[b]
                         a, b, need = a[ok], b[ok], need[ok]
-                        ok = ~(uniform[a] & uniform[b])
-                        bare = np.flatnonzero(~ok)
-                        ok[bare] = sketch.within(a[bare], b[bare], (n[a] + n[b] - 2 * need)[bare])
+                        ok = sketch.within(a, b, n[a] + n[b] - 2 * need)
                         a, b = a[ok], b[ok]
                         if late[lo] and a.size:
                             u, v = first[a][:, :, None], first[b][:, None, :]
@@ -529,40 +548,32 @@ def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 80, share: f
     signed = stored(docs.mapInPandas(_signatures(words, percent, table), _SIGNED), "signed")
     one = lambda c: F.first(c).alias(c)
 
-    # Documents with equal sets are a class, classes of one size and prefix a group.
+    # Documents with equal sets are a class.
     filled = signed.where("n > 0")
-    classes = stored(filled.groupBy("cid").agg(F.max("doc_id").alias("rep"), one("n"), one("prefix_hash")), "classes")
-    groups = filled.groupBy("n", "prefix_hash").agg(F.min("cid").alias("gid"), one("prefix"), one("early"), one("sketch"), one("first"), (F.min("cid") == F.max("cid")).alias("uniform"))
-    groups = stored(groups, "groups")
-    members = classes.join(groups.select("n", "prefix_hash", "gid"), ["n", "prefix_hash"]).select("cid", "gid")
-    dealt = groups.select("gid", "n", "prefix", "early").mapInPandas(_postings(percent), _POSTING).repartition("token").sortWithinPartitions("token", "n4", "gid")
-    lists = stored(dealt.mapInPandas(_shared_lists, _POSTING), "lists")
-    prefixes = groups.select(F.col("gid").alias("cid"), "n", F.col("prefix").alias("tokens"))
+    classes = filled.groupBy("cid").agg(F.max("doc_id").alias("rep"), one("n"), one("prefix"), one("early"), one("sketch"), one("first"))
+    classes = stored(classes, "classes")
+    units = classes.withColumnRenamed("cid", "gid")
+    prefixes = classes.select("cid", "n", F.col("prefix").alias("tokens"))
     near = lambda pairs: _passing(stored(pairs.distinct(), "met"), prefixes, chunk, _by_prefixes(percent, table))
 
-    # First look: each group with a few others of its lists, and its first class with its others.
-    first = lists.sortWithinPartitions("token", "n4", "gid").mapInPandas(_first_pairs(percent), "a long, b long")
-    inside = members.where("cid <> gid").select(F.col("gid").alias("a"), F.col("cid").alias("b"))
-    links = _verified(docs, stored(near(first).union(inside), "near"), classes, words, percent, chunk)
+    # First look: each class with the closest of a few others in some of its lists.
+    looks = units.select("gid", "n", "prefix", "sketch").mapInPandas(_looks, _LOOK).repartition("token")
+    first = looks.sortWithinPartitions("token", "n", F.xxhash64("token", "gid")).mapInPandas(_first_pairs(percent), "a long, b long")
+    links = _verified(docs, stored(near(first), "near"), classes, words, percent, chunk)
     reached = components(links)
 
-    # Second look: groups of a list that are not in one component. A group in one component
-    # carries it; a group in several stands for itself alone.
-    place = stored(members.join(reached.withColumnRenamed("node", "cid"), "cid", "left").select("cid", "gid", F.coalesce("component", "cid").alias("comp")), "places")
-    label = place.groupBy("gid").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).select("gid", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(-1 - F.col("gid")).alias("comp"))
+    # Second look: classes of a list that are not in one component.
+    dealt = units.select("gid", "n", "prefix", "early").mapInPandas(_postings(percent), _POSTING).repartition("token").sortWithinPartitions("token")
+    lists = stored(dealt.mapInPandas(_shared_lists, _POSTING), "lists")
     met = lists.where("n4 % 2 = 0").groupBy("gid").agg(F.count("*").alias("met"))
-    own = groups.select("gid", "sketch", "first", "uniform", "early").join(met, "gid", "left").withColumn("own", F.col("early") - F.coalesce("met", F.lit(0)))
-    label = label.join(own.drop("early", "met"), "gid")
-    narrow = lists.join(label.select("gid", "comp", "own"), "gid").withColumns({"n": F.shiftright("n4", 2), "late": F.col("n4") % 2 == 1, "short": F.col("n4") % 4 >= 2}).drop("n4")
-    again = _meetings(narrow, percent, BLOCK).join(label.select("gid", "sketch", "first", "uniform"), "gid")
+    label = units.select("gid", "early").join(reached.withColumnRenamed("node", "gid"), "gid", "left").join(met, "gid", "left")
+    label = label.select("gid", F.coalesce("component", "gid").alias("comp"), (F.col("early") - F.coalesce("met", F.lit(0))).alias("own"))
+    narrow = lists.join(label, "gid").withColumns({"n": F.shiftright("n4", 2), "late": F.col("n4") % 2 == 1, "short": F.col("n4") % 4 >= 2}).drop("n4")
+    again = _meetings(narrow, percent, BLOCK).join(units.select("gid", "sketch", "first"), "gid")
     again = again.repartition("task").sortWithinPartitions("task", "side", "n", "gid")
-    between = near(again.mapInPandas(_open_pairs(percent), "a long, b long"))
-    split = label.where("comp < 0").select(F.col("gid").alias("a"), F.col("gid").alias("b"))
-    left, right = (place.select(F.col("gid").alias(k), F.col("cid").alias(f"r{k}"), F.col("comp").alias(f"c{k}")) for k in "ab")
-    wide = between.union(split).join(left, "a").join(right, "b").where("ca <> cb").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).distinct()
-    wide = stored(wide, "open")
-    if not wide.isEmpty():
-        reached = components(links.union(_verified(docs, wide, classes, words, percent, chunk)))
+    between = stored(near(again.mapInPandas(_open_pairs(percent), "a long, b long")), "open")
+    if not between.isEmpty():
+        reached = components(links.union(_verified(docs, between, classes, words, percent, chunk)))
 
     # The smallest id of each component goes to its classes, then to their rows.
     named = classes.select("cid").join(reached.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("component", "cid")).select("cid", "root")

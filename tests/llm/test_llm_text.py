@@ -318,6 +318,23 @@ def test_hot_group_makes_no_pairs(spark):
     assert sum(made) < 300 * 299 // 2 // 4
 
 
+def test_linked_cluster_leaves_few_open_pairs(spark, monkeypatch):
+    """Copies with up to three changed words: the first look joins what links, so the second sends few pairs on."""
+    random.seed(4)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for i in range(400):
+        text = list(base)
+        for at in random.sample(range(150), random.choice([1, 1, 2, 2, 3])):
+            text[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(text)))
+    made, original = [], ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda docs, pairs, *rest: made.append(pairs.count()) or original(docs, pairs, *rest))
+    got = ngram_join.jaccard_classes(frame(spark, rows), 4, 85, share=0.8, least=3).collect()
+    assert Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute_classes(rows, 4, 85)
+    assert made[0] <= 2 * ngram_join.LOOKS * len(rows) and sum(made[1:]) < len(rows)
+
+
 def test_hot_list_is_dealt_to_many_tasks(spark):
     """A list of 3000 groups, all but 20 in one component: no task holds it and no insiders meet."""
     rows = [(7, g, 100 + g % 5, 1 if g < 3000 else g, 0, True, True) for g in range(3020)]
