@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -46,6 +48,30 @@ def dropped(table: DataFrame) -> None:
     path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Bytes of rows that a Python task gets at once; they lie there several times over.
+BATCH_BYTES = 4 << 20
+
+
+def in_small_batches(job: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Let the Python tasks that ``job`` runs before it returns get their rows in batches of few MB.
+
+    A longer row is a batch of its own. The session's setting holds again afterwards.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    @functools.wraps(job)
+    def run(df: DataFrame, *args, **more) -> DataFrame:
+        conf = df.sparkSession.conf
+        before = conf.get(key)
+        conf.set(key, str(BATCH_BYTES))
+        try:
+            return job(df, *args, **more)
+        finally:
+            conf.set(key, before)
+
+    return run
+
+
 def private(df: DataFrame) -> str:
     """A prefix for helper columns that no column of ``df`` begins with."""
     prefix = "__"

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import in_small_batches, stored
 from .components import components
 
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -532,6 +532,7 @@ def _verified(docs: DataFrame, pairs: DataFrame, classes: DataFrame, words: int,
     return stored(_passing(pairs, sets, chunk, _by_sets(percent)), "links")
 
 
+@in_small_batches
 def jaccard_classes(docs: DataFrame, words: int = 5, percent: int = 80, share: float = 0.25, least: int = 4, chunk: int = 4) -> DataFrame:
     """Near-duplicate classes of ``docs`` (doc_id, text; other columns are ignored).
 

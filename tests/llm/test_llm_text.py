@@ -335,6 +335,17 @@ def test_linked_cluster_leaves_few_open_pairs(spark, monkeypatch):
     assert made[0] <= 2 * ngram_join.LOOKS * len(rows) and sum(made[1:]) < len(rows)
 
 
+def test_texts_reach_python_in_small_batches(spark, monkeypatch):
+    """A task of the join holds a few MB of texts at once, whatever the session says for other jobs."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen, original = spark.conf.get(key), [], ngram_join.stored
+    monkeypatch.setattr(ngram_join, "stored", lambda df, tag: seen.append(spark.conf.get(key)) or original(df, tag))
+    text = " ".join(f"w{i}" for i in range(3000))
+    got = ngram_join.jaccard_classes(frame(spark, [(i, text) for i in range(2)]), 4, 85).collect()
+    assert [(r.n_shingles, r.component_id) for r in got] == [(2997, 0)] * 2
+    assert {int(x) for x in seen} == {4 << 20} and spark.conf.get(key) == before
+
+
 def test_hot_list_is_dealt_to_many_tasks(spark):
     """A list of 3000 groups, all but 20 in one component: no task holds it and no insiders meet."""
     rows = [(7, g, 100 + g % 5, 1 if g < 3000 else g, 0, True, True) for g in range(3020)]
