@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
+
 from pyspark.sql import functions as F
 
-from opsledger.operators import quality
+from opsledger.operators import bundle, quality
 from opsledger.plans.context import Context
+from opsledger.sources import blocks
 
 from conftest import SF
 
@@ -103,3 +107,41 @@ def test_right_children_come_from_their_parents_and_sums_travel_packed():
         here = np.isin(at, [k for k in range(1, 1 << 12) if any(k >> s == node for s in range(12))])
         if node in grown.tree().nodes:
             assert n[0].sum() == n[1].sum() == here.sum() and g[0].sum() == gradient[here].sum()
+
+
+def _file_hash(path):
+    with open(path, "rb") as f:
+        return hashlib.file_digest(f, "sha256").hexdigest()
+
+
+def test_manifest_streams_files_of_any_length_and_name(spark, tmp_path, monkeypatch):
+    table, n = tmp_path / "events.parquet", blocks.BLOCK
+    names = ["a, b.parquet", "{x,y}*[z]?.parquet", "back\\slash}.parquet", "per%20cent é.parquet", "packed.gz"]
+    lengths = [1, n - 1, n, n + 1, 2 * n - 1, 2 * n, 2 * n + 1, 5 * n + 7]
+    for i, (name, length) in enumerate([*((x, 3 * n + 5) for x in names), *((f"{x}.parquet", x) for x in lengths)]):
+        folder = table / ("day=1, {2}" if i % 2 else "day=2")
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / name).write_bytes(os.urandom(length))
+    want = {(p.name, p.stat().st_size, _file_hash(p)) for p in table.glob("*/*")}
+    assert len(want) == len(names) + len(lengths)
+    link = "fs.viewfs.mounttable.manifest.link./in"  # a store that only Spark's readers can open
+    spark.conf.set(link, f"file://{tmp_path}")
+    try:
+        for whole, together, folder in ((0, 100, tmp_path), (n, 4, tmp_path), (2 * n, 1, "viewfs://manifest/in"), (1 << 20, 100, tmp_path)):
+            monkeypatch.setattr(bundle, "TOGETHER", together)
+            rows = bundle.source_manifest(spark, str(folder), ["events"], whole).collect()
+            assert {r["table"] for r in rows} == {"events"} and len(rows) == len(want)
+            assert {(r["file"], r["bytes"], r["sha256"]) for r in rows} == want
+    finally:
+        spark.conf.unset(link)
+
+
+def test_manifest_has_files_that_no_cell_holds(spark, tmp_path):
+    path = tmp_path / "lineitem.parquet"
+    with open(path, "wb") as f:  # takes no room on the disk: what is not written is zeros
+        f.write(b"PAR1")
+        f.truncate((2 << 30) + 5)
+    (tmp_path / "nation.parquet").write_bytes(b"small")
+    rows = {r["table"]: r for r in bundle.source_manifest(spark, str(tmp_path), ["lineitem", "nation"]).collect()}
+    assert rows["lineitem"]["bytes"] == (2 << 30) + 5 and rows["lineitem"]["sha256"] == _file_hash(path)
+    assert rows["nation"]["sha256"] == hashlib.sha256(b"small").hexdigest()
